@@ -160,7 +160,7 @@ ranked AS (
                            _STATUS_TOTALS),
     "error_alarm": _with("""
 SELECT window_start, window_end, success, failure,
-       CASE WHEN success > 0 THEN round(failure / success, 6) END AS ratio,
+       CASE WHEN success > 0 THEN round(failure / success, 6) + 0.0 END AS ratio,
        CASE WHEN success + failure <= 100 THEN 'insufficient'
             WHEN failure > 0.5 * success THEN 'alarm' ELSE 'ok' END AS state
 FROM totals""", _STATUS_TOTALS),
