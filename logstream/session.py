@@ -70,3 +70,29 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path) if not path.startswith("/") else path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers on every executor
+    (what ``--py-files`` does at submit time).  Needed only by the few
+    operators that run Python on executors (stateful sessions, the replay
+    source); idempotent per application."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="logstream-pyfiles-"), "logstream.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
