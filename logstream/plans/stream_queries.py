@@ -15,13 +15,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import parse_access_log
+from ..functions.parse import parse_access_log, parse_labeled
+from ..operators.online_ml import LinRegState
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
 from ..operators.windows import sliding_counts
 from ..session import new_work_dir
-from ..sources.fixtures import access_lines, status_json, table
+from ..sources.fixtures import access_lines, regression_lines, status_json, table
 from ..sources.lines import read_lines, read_statuses, status_texts
 from ..streaming.landing import land_in_pieces
+from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
 from ..streaming.sinks import read_latest, sql_per_batch, text_batches, upsert_by_key
 from .oracle import BATCH_SQL
@@ -152,6 +154,27 @@ def q_stream_custom_source(spark, sf_dir):
     return spark.read.parquet(run.out).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_stream_linreg_train_score(spark, sf_dir):
+    """Train on each landed piece, then score it with the updated model."""
+    run = _Run(spark, "stream-ml")
+    src = regression_lines(table(spark, sf_dir, "events"))
+
+    def points():
+        label, feats = parse_labeled(F.col("value"))
+        return _line_stream(spark, run).select("event_id", label.alias("label"),
+                                               feats.alias("features"))
+
+    def start():
+        _tq, sq = train_and_score(points(), points(), LinRegState.zeros(1), f"{run.out}/model",
+                                  f"{run.out}/scored", run.checkpoint)
+        return sq
+
+    _drive(spark, run, src, "event_id", start)
+    scored = spark.read.parquet(f"{run.out}/scored")
+    return scored.select("batch_id", "event_id", F.round("label", 6).alias("label"),
+                         F.round("prediction", 6).alias("prediction"))
+
+
 STREAM_QUERIES = {
     "stream_sliding_url_counts": q_stream_sliding_url_counts,
     "stream_sessions": q_stream_sessions,
@@ -159,6 +182,7 @@ STREAM_QUERIES = {
     "stream_sql_per_batch": q_stream_sql_per_batch,
     "stream_text_batches": q_stream_text_batches,
     "stream_custom_source": q_stream_custom_source,
+    "stream_linreg_train_score": q_stream_linreg_train_score,
 }
 
 # Pieces are equal event_id ranges in order, one micro-batch each (batch ids 0..N-1).
