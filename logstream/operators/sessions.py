@@ -14,8 +14,8 @@ Skew-safe plan (one key may hold a third of all rows):
 3. The first ``max_clicks`` clicks of each bucket (``row_number() <= k``,
    planned as a partial WindowGroupLimit before the shuffle) are the only
    row-level candidates for a session's click stream.
-4. Sessions = bucket aggregates summed per session, joined with the first
-   ``max_clicks`` candidates per session.
+4. Sessions = per-session sums over the candidates (each bucket's first
+   candidate carries the bucket's count), and their first ``max_clicks``.
 
 No step collects a key's rows into one task; no cross join; no row cap.
 """
@@ -62,32 +62,33 @@ def sessionize(clicks: DataFrame, gap: str | int = DEFAULT_GAP,
                                             F.max("_t").alias("_bmax"),
                                             F.count(F.lit(1)).alias("_bn"))
     # 2. session start per bucket: a break where the idle time exceeds the gap
+    #    (one partition per key, at most span / gap rows each)
     wk = Window.partitionBy("_k").orderBy("_b")
     prev = F.lag("_bmax").over(wk)
     starts = (buckets
               .withColumn("_new", prev.isNull() | (F.col("_bmin") - prev > g))
               .withColumn("_s", F.max(F.when(F.col("_new"), F.col("_bmin")))
-                          .over(wk.rowsBetween(Window.unboundedPreceding, 0))))
-    sessions = starts.groupBy("_k", "_s").agg(
-        F.max("_bmax").alias("_e"), F.sum("_bn").cast("long").alias("session_length"))
+                          .over(wk.rowsBetween(Window.unboundedPreceding, 0)))
+              .select(F.col("_k").alias("_mk"), F.col("_b").alias("_mb"), "_s", "_bn", "_bmax"))
 
-    # 3. first max_clicks clicks of every bucket (bounded candidate set)
+    # 3. first max_clicks clicks of every bucket (partial top-k before the
+    #    shuffle), tagged with their bucket's session, count and end
     order = [F.col("_t"), *[F.col(c) for c in tie_cols]]
     wb = Window.partitionBy("_k", "_b").orderBy(*order)
     cand = rows.withColumn("_rb", F.row_number().over(wb)).where(F.col("_rb") <= max_clicks)
-    bucket_map = starts.select(F.col("_k").alias("_mk"), F.col("_b").alias("_mb"), "_s")
-    cand = cand.join(bucket_map, F.col("_k").eqNullSafe(F.col("_mk")) &
+    cand = cand.join(starts, F.col("_k").eqNullSafe(F.col("_mk")) &
                      (F.col("_b") == F.col("_mb")), "inner")
-    ws = Window.partitionBy("_k", "_s").orderBy(*order)
-    firsts = (cand.withColumn("_rs", F.row_number().over(ws))
-              .where(F.col("_rs") <= max_clicks)
-              .groupBy("_k", "_s")
-              .agg(F.sort_array(F.collect_list(F.struct("_rs", "_v"))).alias("_cl")))
 
-    # 4. one row per session
-    firsts = firsts.select(F.col("_k").alias("_fk"), F.col("_s").alias("_fs"), "_cl")
-    out = sessions.join(firsts, F.col("_k").eqNullSafe(F.col("_fk")) &
-                        (F.col("_s") == F.col("_fs")), "inner")
+    # 4. one row per session: counts from the buckets (first candidate of each
+    #    bucket carries it), first max_clicks URLs from at most
+    #    max_clicks x buckets candidates per session
+    ws = Window.partitionBy("_k", "_s").orderBy(*order)
+    out = (cand.withColumn("_rs", F.row_number().over(ws))
+           .groupBy("_k", "_s")
+           .agg(F.sum(F.when(F.col("_rb") == 1, F.col("_bn"))).cast("long").alias("session_length"),
+                F.max("_bmax").alias("_e"),
+                F.sort_array(F.collect_list(
+                    F.when(F.col("_rs") <= max_clicks, F.struct("_rs", "_v")))).alias("_cl")))
     return out.select(
         F.col("_k").alias(key),
         F.timestamp_micros("_s").alias("session_start"),
