@@ -10,6 +10,7 @@ output instead of duplicating it.
 | ``saveAsTextFile`` per batch     | ``text_batches`` (+ ``max_rows`` stop)   |
 | ``saveAsTextFiles``              | ``text_batches(files_per_batch=None)``   |
 | ``saveToCassandra`` (keyed)      | ``upsert_by_key`` + ``read_latest``      |
+|                                  | (``compact_keyed_table`` bounds reads)   |
 | JDBC append (suggested)          | ``jdbc_append``                          |
 | SQL on each batch                | ``sql_per_batch``                        |
 | ``foreachRDD((rdd, time) => …)`` | ``run_batches``                          |
@@ -140,10 +141,38 @@ def upsert_by_key(stream: DataFrame, table_dir: str, key, checkpoint: str,
     return run_batches(stream, write, checkpoint, trigger, output_mode)
 
 
+def _newest_snapshot(spark: SparkSession, table_dir: str) -> tuple[str, int] | None:
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{table_dir}/snapshot")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    best = None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            upto = int(name.split("=", 1)[1])
+            if best is None or upto > best[1]:
+                best = (st.getPath().toString(), upto)
+    return best
+
+
+def _current_rows(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Newest complete snapshot plus the log batches written after it."""
+    log = spark.read.parquet(f"{table_dir}/log")
+    snap = _newest_snapshot(spark, table_dir)
+    if snap is None:
+        return log
+    path, upto = snap
+    newer = log.where(F.col("batch_id") > upto)          # partition pruning
+    return spark.read.parquet(path).unionByName(newer)
+
+
 def read_latest(spark: SparkSession, table_dir: str, key, order_by: Sequence[str],
                 value_cols: Sequence[str] | None = None) -> DataFrame:
     """Current content of a keyed table: the latest row per key by ``order_by``."""
-    log = spark.read.parquet(f"{table_dir}/log")
+    log = _current_rows(spark, table_dir)
     keys = _keys(key)
     if len(keys) == 1:
         return latest_by_key(log, keys[0], order_by, value_cols)
@@ -153,6 +182,21 @@ def read_latest(spark: SparkSession, table_dir: str, key, order_by: Sequence[str
     return out.select(*[F.col("_key")[k].alias(k) for k in keys], *vals)
 
 
+def compact_keyed_table(spark: SparkSession, table_dir: str, key, order_by: Sequence[str]) -> int:
+    """Fold the log into a snapshot ``snapshot/upto=<batch>`` holding one row per
+    key, so reads stop growing with history.  Safe to rerun; readers use the
+    newest snapshot that has finished writing.  Returns the batch id folded up to."""
+    rows = _current_rows(spark, table_dir)
+    upto = rows.agg(F.max("batch_id")).first()[0]        # one number
+    if upto is None:
+        return -1
+    keys = _keys(key)
+    vals = [c for c in rows.columns if c not in keys]
+    latest = read_latest(spark, table_dir, keys if len(keys) > 1 else keys[0], order_by, vals)
+    latest.write.mode("overwrite").parquet(f"{table_dir}/snapshot/upto={int(upto)}")
+    return int(upto)
+
+
 # -- JDBC -----------------------------------------------------------------------
 
 def jdbc_append(stream: DataFrame, url: str, table: str, checkpoint: str,

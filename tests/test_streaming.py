@@ -12,8 +12,8 @@ from logstream.operators.windows import sliding_counts
 from logstream.sources.lines import _source_options, decode_messages, read_lines
 from logstream.streaming.landing import land_piece
 from logstream.streaming.sessions import session_snapshot, sessionize_stream
-from logstream.streaming.sinks import (jdbc_append, ledger_total, read_latest, text_batches,
-                                       upsert_by_key)
+from logstream.streaming.sinks import (compact_keyed_table, jdbc_append, ledger_total,
+                                       read_latest, text_batches, upsert_by_key)
 
 BASE = dt.datetime(2024, 1, 1)
 CLICKS = "event_id long, ts timestamp, ip string, url string"
@@ -131,6 +131,14 @@ def test_upsert_keeps_latest_and_rejects_null_keys(spark, workdir):
     assert latest == {"a": "/2", "b": "/b"}
     rejects = spark.read.parquet(f"{out}/rejects").collect()
     assert [r["url"] for r in rejects] == ["/n"]
+    # compaction folds the log into a snapshot; a later batch still wins
+    assert compact_keyed_table(spark, out, "ip", ["ts", "event_id"]) == 1
+    land_piece(spark, spark.createDataFrame([(5, BASE + dt.timedelta(2), "b", "/b2")], CLICKS),
+               landing, staging, "p2")
+    _run_once(start())
+    latest = {r["ip"]: r["url"] for r in read_latest(spark, out, "ip", ["ts", "event_id"],
+                                                       ["url"]).collect()}
+    assert latest == {"a": "/2", "b": "/b2"}
 
 
 def test_replay_source_resumes_after_restart(spark, workdir):
