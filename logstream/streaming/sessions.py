@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,18 +50,18 @@ def _merge(segs: list[dict], g: int, max_clicks: int) -> list[dict]:
 
 
 def _chunk_segments(pdf: pd.DataFrame, g: int, max_clicks: int) -> list[dict]:
-    pdf = pdf.sort_values(["_t", "_tie"], kind="stable")
-    t = pdf["_t"].to_numpy()
-    brk = (t[1:] - t[:-1]) > g
-    seg_id = pd.Series([0, *brk.cumsum().tolist()]) if len(t) else pd.Series([], dtype=int)
-    pdf = pdf.assign(_seg=seg_id.to_numpy())
+    """Cut one Arrow batch of a key's rows into gap-closed segments."""
+    t = pdf["_t"].to_numpy(dtype="int64")
+    tie = pdf["_tie"].to_numpy(dtype="int64")
+    v = pdf["_v"].to_numpy(dtype=object)
+    order = np.lexsort((tie, t))
+    t, tie, v = t[order], tie[order], v[order]
+    bounds = [0, *(np.flatnonzero(np.diff(t) > g) + 1).tolist(), len(t)]
     segs = []
-    for _, part in pdf.groupby("_seg", sort=True):
-        head = part.head(max_clicks)
-        segs.append({"start": int(part["_t"].iloc[0]), "end": int(part["_t"].iloc[-1]),
-                     "n": int(len(part)),
-                     "firsts": [{"t": int(a), "tie": int(b), "v": c} for a, b, c in
-                                zip(head["_t"], head["_tie"], head["_v"])]})
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        segs.append({"start": int(t[a]), "end": int(t[b - 1]), "n": b - a,
+                     "firsts": [{"t": int(t[i]), "tie": int(tie[i]), "v": v[i]}
+                                for i in range(a, min(b, a + max_clicks))]})
     return segs
 
 
