@@ -6,8 +6,9 @@ that many times (300x for 300 s / 1 s) is the dominant cost at scale.  The
 ``two_step`` strategy first counts per (key, slide-sized slice) -- a tumbling
 window with map-side partial aggregation -- and expands only the slice
 counts, so the expansion happens once per (key, slice) instead of once per row.
-Both forms are plain DataFrame aggregations and also run on streaming frames
-(chained time windows through ``window_time``).
+Both forms are plain DataFrame aggregations and also run on streaming frames:
+the direct form in any output mode, the two-step form (chained time windows
+through ``window_time``) in append mode, which emits each window once closed.
 """
 
 from __future__ import annotations
