@@ -54,7 +54,9 @@ def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAU
     base = df.where(t.isNotNull())
     expansion = _seconds(window) / _seconds(slide)
     if strategy == "auto":
-        strategy = "two_step" if expansion >= TWO_STEP_MIN_EXPANSION else "direct"
+        # streams: direct works in every output mode; two-step only in append
+        big = expansion >= TWO_STEP_MIN_EXPANSION
+        strategy = "two_step" if big and not df.isStreaming else "direct"
     if strategy == "direct":
         return base.groupBy(F.window(t, window, slide).alias("window"), *keys).agg(
             *[F.sum(e).cast("long").alias(n) for n, e in sums.items()])
