@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..sources.fixtures import EVENT_TYPES, KMEANS_START_CENTERS
+from ..sources.fixtures import EVENT_TYPES, KMEANS_START_CENTERS, wide_start_centers
 
 _K = "CAST(regexp_extract(props, '\"k\":\\s*(\\d+)', 1) AS INTEGER)"
 
@@ -97,6 +97,52 @@ _PIVOT = ", ".join(f"max(CASE WHEN cluster = {j} THEN ca END) AS ta{j}, "
                    f"max(CASE WHEN cluster = {j} THEN cb END) AS tb{j}" for j in range(_K_CENT))
 _TRAINED_COLS = [(f"p.ta{j}", f"p.tb{j}") for j in range(_K_CENT)]
 
+_WIDE = wide_start_centers(64)
+_WIDE_VALUES = ", ".join(f"({j}, {d}, {repr(float(c[d]))})"
+                         for j, c in enumerate(_WIDE) for d in range(len(c)))
+_WIDE_ASSIGN = f"""
+pl AS (
+  SELECT vec_id, CAST(d - 1 AS INTEGER) AS d, CAST(embedding[d] AS DOUBLE) AS x
+  FROM embeddings, range(1, len(embedding) + 1) r(d)
+),
+wc(cluster, d, c) AS (VALUES {_WIDE_VALUES}),
+dist AS (
+  SELECT pl.vec_id, wc.cluster, sum((pl.x - wc.c) * (pl.x - wc.c)) AS dd
+  FROM pl JOIN wc ON pl.d = wc.d GROUP BY pl.vec_id, wc.cluster
+),
+asg AS (
+  SELECT vec_id, cluster FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dd, cluster) AS rn FROM dist) z
+  WHERE rn = 1
+)"""
+
+_WIDE_TRAIN = _WIDE_ASSIGN + """,
+cn AS (SELECT cluster, count(*) AS n FROM asg GROUP BY cluster),
+cs AS (SELECT a.cluster, pl.d, sum(pl.x) AS s FROM asg a JOIN pl ON a.vec_id = pl.vec_id
+       GROUP BY a.cluster, pl.d),
+wts AS (SELECT k.cluster, CAST(coalesce(cn.n, 0) AS DOUBLE) AS w
+        FROM (SELECT DISTINCT cluster FROM wc) k LEFT JOIN cn ON k.cluster = cn.cluster),
+upd AS (
+  SELECT wc.cluster, wc.d, CASE WHEN cn.n > 0 THEN cs.s * (1.0 / cn.n) ELSE wc.c END AS c
+  FROM wc LEFT JOIN cn ON wc.cluster = cn.cluster
+          LEFT JOIN cs ON wc.cluster = cs.cluster AND wc.d = cs.d
+),
+ext AS (
+  SELECT (SELECT cluster FROM wts ORDER BY w DESC, cluster LIMIT 1) AS lg,
+         (SELECT cluster FROM wts ORDER BY w ASC, cluster LIMIT 1) AS sm,
+         (SELECT max(w) FROM wts) AS mx, (SELECT min(w) FROM wts) AS mn
+),
+trained AS (
+  SELECT u.cluster, u.d,
+    CASE WHEN e.mn < 1e-8 * e.mx AND u.cluster = e.lg THEN u.c + 1e-14 * greatest(abs(u.c), 1.0)
+         WHEN e.mn < 1e-8 * e.mx AND u.cluster = e.sm THEN l.c - 1e-14 * greatest(abs(l.c), 1.0)
+         ELSE u.c END AS c,
+    CASE WHEN e.mn < 1e-8 * e.mx AND u.cluster IN (e.lg, e.sm) THEN (e.mx + e.mn) / 2
+         ELSE wts.w END AS weight
+  FROM upd u JOIN wts ON u.cluster = wts.cluster CROSS JOIN ext e
+       JOIN upd l ON l.cluster = e.lg AND l.d = u.d
+)"""
+
 ML_SQL = {
     "parse_vector": "WITH " + _CL_PTS.strip() + """
 SELECT event_id, 2 AS dims, (round(a, 6) + 0.0) AS f0, (round(b, 6) + 0.0) AS f1 FROM cpts""",
@@ -127,4 +173,9 @@ scored AS (
   FROM (SELECT cpts.event_id, cpts.label, {_dist('e', _TRAINED_COLS)} FROM cpts, p) z
 )
 SELECT event_id, label, CAST(cluster AS INTEGER) AS cluster FROM scored""",
+    "kmeans_assign_wide": "WITH " + _WIDE_ASSIGN.strip() + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM asg""",
+    "kmeans_train_wide": "WITH " + _WIDE_TRAIN.strip() + """
+SELECT CAST(cluster AS INTEGER) AS cluster, d AS dim, (round(c, 6) + 0.0) AS center,
+       (round(weight, 6) + 0.0) AS weight FROM trained""",
 }

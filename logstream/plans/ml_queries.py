@@ -14,7 +14,7 @@ from ..operators.online_ml import (KMeansState, LinRegState, fit_scaling, kmeans
                                    kmeans_score, kmeans_train_batch, linreg_closed_form,
                                    linreg_score, linreg_train_batch, scale_features)
 from ..sources.fixtures import (KMEANS_START_CENTERS, clustering_lines, regression_lines,
-                                table)
+                                table, wide_start_centers)
 
 
 def _r(c, name):
@@ -103,6 +103,26 @@ def q_kmeans_score(spark, sf_dir):
         "event_id", "label", "cluster")
 
 
+def _embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("features"))
+
+
+def q_kmeans_assign_wide(spark, sf_dir):
+    state = KMeansState.fixed(wide_start_centers(64), weight=0.0)
+    return kmeans_assign(_embeddings(spark, sf_dir), state).select("vec_id", "cluster")
+
+
+def q_kmeans_train_wide(spark, sf_dir):
+    """One training batch on 64-dim vectors: the per-cluster sums are one
+    aggregate of k x 64 numbers, whatever the number of rows."""
+    m = kmeans_train_batch(_embeddings(spark, sf_dir),
+                           KMeansState.fixed(wide_start_centers(64), weight=0.0))
+    rows = [(j, d, round(c[d], 6), round(float(w), 6))
+            for j, (c, w) in enumerate(zip(m.centers, m.weights)) for d in range(len(c))]
+    return spark.createDataFrame(rows, "cluster int, dim int, center double, weight double")
+
+
 ML_QUERIES = {
     "parse_vector": q_parse_vector,
     "parse_labeled": q_parse_labeled,
@@ -113,4 +133,6 @@ ML_QUERIES = {
     "kmeans_assign": q_kmeans_assign,
     "kmeans_train_batch": q_kmeans_train_batch,
     "kmeans_score": q_kmeans_score,
+    "kmeans_assign_wide": q_kmeans_assign_wide,
+    "kmeans_train_wide": q_kmeans_train_wide,
 }

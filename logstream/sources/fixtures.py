@@ -21,6 +21,15 @@ MALFORMED_MODULUS = 50
 EVENT_TYPES = ["signup", "error", "click", "view", "purchase"]
 #   Start centers of the clustering fixture ([value/100, k/100]).
 KMEANS_START_CENTERS = [[0.25, 0.25], [0.75, 0.75], [1.5, 0.25], [2.5, 0.75], [4.0, 0.5]]
+#   Wide clustering (embeddings, 64 dims): center j is WIDE_CENTER_VALUE in the
+#   dimensions d with d % 5 == j and 0 elsewhere (a rule, not a table).
+WIDE_K = 5
+WIDE_CENTER_VALUE = 0.05
+
+
+def wide_start_centers(dim: int = 64) -> list[list[float]]:
+    return [[WIDE_CENTER_VALUE if d % WIDE_K == j else 0.0 for d in range(dim)]
+            for j in range(WIDE_K)]
 # ---------------------------------------------------------------------------
 
 
