@@ -6,6 +6,9 @@ that many times (300x for 300 s / 1 s) is the dominant cost at scale.  The
 ``two_step`` strategy first counts per (key, slide-sized slice) -- a tumbling
 window with map-side partial aggregation -- and expands only the slice
 counts, so the expansion happens once per (key, slice) instead of once per row.
+For batch tables the ``runs`` strategy goes further: slices become +/- change
+points, a running sum per key gives runs of equal counts, and only the output
+rows are generated (no hash aggregation over every (window, key) pair).
 Both forms are plain DataFrame aggregations and also run on streaming frames:
 the direct form in any output mode, the two-step form (chained time windows
 through ``window_time``) in append mode, which emits each window once closed.
@@ -52,14 +55,20 @@ def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAU
     keys = _keys(key)
     t = F.col(time_col)
     base = df.where(t.isNotNull())
-    expansion = _seconds(window) / _seconds(slide)
+    w_us, s_us = int(_seconds(window) * 1e6), int(_seconds(slide) * 1e6)
+    expansion = w_us / s_us
+    aligned = w_us % s_us == 0     # a slide-sized slice then lies in whole windows only
     if strategy == "auto":
-        # streams: direct works in every output mode; two-step only in append
-        big = expansion >= TWO_STEP_MIN_EXPANSION
-        strategy = "two_step" if big and not df.isStreaming else "direct"
+        big = expansion >= TWO_STEP_MIN_EXPANSION and aligned
+        # streams: direct works in every output mode (two-step: append only)
+        strategy = ("direct" if not big else "two_step" if df.isStreaming else "runs")
+    if strategy in ("two_step", "runs") and not aligned:
+        raise ValueError("two_step / runs need a window that is a multiple of the slide")
     if strategy == "direct":
         return base.groupBy(F.window(t, window, slide).alias("window"), *keys).agg(
             *[F.sum(e).cast("long").alias(n) for n, e in sums.items()])
+    if strategy == "runs":
+        return _sliding_runs(base, keys, sums, w_us, s_us, time_col)
     if strategy != "two_step":
         raise ValueError(f"unknown strategy {strategy!r}")
     slices = base.groupBy(F.window(t, slide).alias("_slice"), *keys).agg(
@@ -68,6 +77,45 @@ def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAU
                           *keys).agg(*[F.sum(n).cast("long").alias(n) for n in sums])
 
 
+def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_us: int,
+                  s_us: int, time_col: str) -> DataFrame:
+    """Batch sliding sums from change points (the inverse-function idea as a query).
+
+    Per (key, slice): the sums and the row count (partial aggregation).  A slice
+    starting at ``a`` is inside the windows starting in ``[a - W + slide, a]``, so
+    it adds its values at ``a - W + slide`` and removes them at ``a + slide``.  A
+    running sum over a key's change points gives runs of window starts with the
+    same values; runs with rows are expanded into one row per window start.
+    Per key the window function sees at most 2 x (time span / slide) points,
+    bounded by time, not by the number of rows.
+    """
+    t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    slice_start = t_us - F.pmod(t_us, F.lit(s_us))
+    names = list(sums) + ["_rows"]
+    slices = base.groupBy(*keys, slice_start.alias("_a")).agg(
+        *[F.sum(e).cast("long").alias(n) for n, e in sums.items()],
+        F.count(F.lit(1)).alias("_rows"))
+    deltas = F.array(
+        F.struct((F.col("_a") - F.lit(w_us - s_us)).alias("_p"),
+                 *[F.col(n).alias(n) for n in names]),
+        F.struct((F.col("_a") + F.lit(s_us)).alias("_p"),
+                 *[(-F.col(n)).alias(n) for n in names]))
+    points = (slices.select(*keys, F.explode(deltas).alias("_d"))
+              .groupBy(*keys, F.col("_d._p").alias("_p"))
+              .agg(*[F.sum(F.col(f"_d.{n}")).alias(n) for n in names]))
+    wk = Window.partitionBy(*keys).orderBy("_p")
+    run = wk.rowsBetween(Window.unboundedPreceding, 0)
+    runs = points.select(*keys, "_p", F.lead("_p").over(wk).alias("_q"),
+                         *[F.sum(n).over(run).alias(n) for n in names])
+    runs = runs.where((F.col("_rows") > 0) & F.col("_q").isNotNull())
+    out = runs.select(*keys, *[F.col(n).cast("long").alias(n) for n in sums],
+                      F.explode(F.sequence(F.col("_p"), F.col("_q") - F.lit(s_us),
+                                           F.lit(s_us))).alias("_s"))
+    win = F.struct(F.timestamp_micros("_s").alias("start"),
+                   F.timestamp_micros(F.col("_s") + F.lit(w_us)).alias("end"))
+    return out.select(win.alias("window"), *keys, *list(sums))
+
+
 def sliding_counts(df: DataFrame, key, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,
                    time_col: str = "event_time", count_col: str = "n",
                    strategy: str = "auto") -> DataFrame:

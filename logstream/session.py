@@ -32,6 +32,9 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -34,7 +34,7 @@ def test_sliding_counts_strategies_equal_brute_force(spark):
     df = spark.createDataFrame(rows, "event_time timestamp, url string")
     for window, slide in [(300, 60), (300, 1), (120, 30)]:
         expect = brute(rows, window, slide)
-        for strategy in ("direct", "two_step"):
+        for strategy in ("direct", "two_step", "runs"):
             got = sliding_counts(df, "url", f"{window} seconds", f"{slide} seconds",
                                  strategy=strategy)
             got = {(int(r["s"]), r["url"]): r["n"] for r in got.select(
