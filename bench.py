@@ -23,6 +23,7 @@ HEADLINE = [
     "parse_access_log",
     "url_strict_counts",
     "sliding_url_counts",
+    "sliding_url_counts_1s",
     "top_urls_per_window",
     "error_alarm",
     "agent_counts_per_interval",

@@ -149,6 +149,8 @@ SELECT url_lenient AS url, count(*) AS n FROM req GROUP BY url_lenient"""),
 SELECT status_class, count(*) AS n FROM req GROUP BY status_class"""),
     "sliding_url_counts": _with("SELECT window_start, window_end, url, n FROM urlcounts",
                                 _sliding_url(300, 60)),
+    "sliding_url_counts_1s": _with("SELECT window_start, window_end, url, n FROM urlcounts",
+                                   _sliding_url(300, 1)),
     "top_urls_per_window": _with("""
 SELECT window_start, window_end, url, n, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE rank <= 10""", _sliding_url(300, 60).strip() + """,

@@ -71,6 +71,13 @@ def q_sliding_url_counts(spark, sf_dir):
     return c.select(*_win(c), "url", "n")
 
 
+def q_sliding_url_counts_1s(spark, sf_dir):
+    """The reference's own parameters: 300 s windows sliding every second."""
+    urls = to_urls(_parsed(spark, sf_dir), carry=["ts"])
+    c = sliding_counts(urls, "url", URL_WINDOW, "1 second", time_col="ts")
+    return c.select(*_win(c), "url", "n")
+
+
 def q_top_urls_per_window(spark, sf_dir):
     c = _url_counts(spark, sf_dir)
     c = c.select(*_win(c), "url", "n")
@@ -142,6 +149,7 @@ BATCH_QUERIES = {
     "url_lenient_counts": q_url_lenient_counts,
     "status_class_counts": q_status_class_counts,
     "sliding_url_counts": q_sliding_url_counts,
+    "sliding_url_counts_1s": q_sliding_url_counts_1s,
     "top_urls_per_window": q_top_urls_per_window,
     "status_totals": q_status_totals,
     "error_alarm": q_error_alarm,
