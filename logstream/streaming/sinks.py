@@ -97,6 +97,16 @@ def text_batches(stream: DataFrame, out_dir: str, checkpoint: str, col: str = "v
     return run_batches(stream, write, checkpoint, trigger)
 
 
+def running_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Rows per written batch and the running total after it (the reference's
+    driver-side counter, kept beside the output so it survives restarts).
+    One row per batch; the window runs over this small table only."""
+    from pyspark.sql import Window
+    led = spark.read.schema("batch_id long, rows long").json(f"{out_dir}/_ledger")
+    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    return led.select("batch_id", "rows", F.sum("rows").over(w).alias("total"))
+
+
 def stop_after(query: StreamingQuery, spark: SparkSession, out_dir: str, max_rows: int,
                poll_seconds: float = 1.0) -> int:
     """Stop a running text-batch query once more than ``max_rows`` were written."""

@@ -108,6 +108,9 @@ def test_text_batches_stop_rule_and_restart(spark, workdir):
                    landing, staging, f"p{piece}", "text")
         _run_once(start())
     assert ledger_total(spark, out) == 8      # 4 + 4 (> 5), third batch not written
+    from logstream.streaming.sinks import running_totals
+    assert [(r["rows"], r["total"]) for r in running_totals(spark, out).collect()] == \
+        [(4, 4), (4, 8)]
     written = spark.read.text(f"{out}/batch=*").collect()
     assert sorted(r["value"] for r in written) == sorted(f"t{i}" for i in range(8))
 
