@@ -15,10 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import parse_access_log, parse_labeled
+from ..functions.parse import parse_access_log, parse_labeled, with_status_class
+from ..operators.alarm import error_alarm
 from ..operators.online_ml import LinRegState
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
-from ..operators.windows import sliding_counts
+from ..operators.windows import sliding_counts, status_totals
 from ..session import new_work_dir
 from ..sources.fixtures import access_lines, regression_lines, status_json, table
 from ..sources.lines import read_lines, read_statuses, status_texts
@@ -27,7 +28,7 @@ from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
 from ..streaming.sinks import read_latest, sql_per_batch, text_batches, upsert_by_key
 from .oracle import BATCH_SQL
-from .queries import URL_SLIDE, URL_WINDOW, epoch_s
+from .queries import ALARM_SLIDE, ALARM_WINDOW, URL_SLIDE, URL_WINDOW, epoch_s
 
 N_PIECES = 3
 LINE_SCHEMA = "event_id long, ts timestamp, value string"
@@ -77,6 +78,29 @@ def q_stream_sliding_url_counts(spark, sf_dir):
                        ["window_end", "n"])
 
 
+def q_stream_error_alarm(spark, sf_dir):
+    """Status totals per sliding window kept up to date by the stream (update
+    mode into the keyed sink); the alarm rule runs on the current totals."""
+    run = _Run(spark, "stream-alarm")
+    src = access_lines(spark, sf_dir)
+
+    def start():
+        classified = with_status_class(parse_access_log(_line_stream(spark, run)))
+        totals = status_totals(classified.withWatermark("ts", WATERMARK), ALARM_WINDOW,
+                               ALARM_SLIDE, time_col="ts")
+        rows = totals.select(epoch_s(F.col("window.start")).alias("window_start"),
+                             epoch_s(F.col("window.end")).alias("window_end"),
+                             "success", "failure", "other")
+        return upsert_by_key(rows, run.out, "window_start", run.checkpoint, output_mode="update")
+
+    _drive(spark, run, src, "event_id", start)
+    current = read_latest(spark, run.out, "window_start", ["batch_id"],
+                          ["window_end", "success", "failure", "other"])
+    a = error_alarm(current)
+    return a.select("window_start", "window_end", "success", "failure",
+                    F.round("ratio", 6).alias("ratio"), "state")
+
+
 def q_stream_sessions(spark, sf_dir):
     run = _Run(spark, "stream-sessions")
     src = access_lines(spark, sf_dir)
@@ -177,6 +201,7 @@ def q_stream_linreg_train_score(spark, sf_dir):
 
 STREAM_QUERIES = {
     "stream_sliding_url_counts": q_stream_sliding_url_counts,
+    "stream_error_alarm": q_stream_error_alarm,
     "stream_sessions": q_stream_sessions,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
     "stream_sql_per_batch": q_stream_sql_per_batch,
@@ -196,6 +221,7 @@ FROM req GROUP BY 1, 2""")
 
 STREAM_SQL = {
     "stream_sliding_url_counts": BATCH_SQL["sliding_url_counts"],
+    "stream_error_alarm": BATCH_SQL["error_alarm"],
     "stream_sessions": BATCH_SQL["sessions_30m"],
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
     "stream_sql_per_batch": _SQL_PER_BATCH,
