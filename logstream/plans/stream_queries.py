@@ -19,7 +19,7 @@ from ..functions.parse import parse_access_log, parse_labeled, with_status_class
 from ..operators.alarm import error_alarm
 from ..operators.online_ml import LinRegState
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
-from ..operators.windows import sliding_counts, status_totals
+from ..operators.windows import sliding_counts, status_totals, top_k
 from ..session import new_work_dir
 from ..sources.fixtures import access_lines, regression_lines, status_json, table
 from ..sources.lines import read_lines, read_statuses, status_texts
@@ -60,8 +60,8 @@ def _line_stream(spark, run: _Run) -> DataFrame:
     return read_lines(spark, "files", run.landing, fmt="parquet", schema=LINE_SCHEMA)
 
 
-def q_stream_sliding_url_counts(spark, sf_dir):
-    run = _Run(spark, "stream-sliding")
+def _stream_url_counts(spark, sf_dir, name):
+    run = _Run(spark, name)
     src = access_lines(spark, sf_dir)
 
     def start():
@@ -78,6 +78,18 @@ def q_stream_sliding_url_counts(spark, sf_dir):
                        ["window_end", "n"])
 
 
+def q_stream_sliding_url_counts(spark, sf_dir):
+    return _stream_url_counts(spark, sf_dir, "stream-sliding")
+
+
+def q_stream_top_urls(spark, sf_dir):
+    """Top 10 URLs per window over the counts the stream keeps current (the
+    reference sorts and prints each batch; here any reader ranks the table)."""
+    counts = _stream_url_counts(spark, sf_dir, "stream-top")
+    return top_k(counts.select("window_start", "window_end", "url", "n"), "url", 10,
+                 per="window_start")
+
+
 def q_stream_error_alarm(spark, sf_dir):
     """Status totals per sliding window kept up to date by the stream (update
     mode into the keyed sink); the alarm rule runs on the current totals."""
@@ -201,6 +213,7 @@ def q_stream_linreg_train_score(spark, sf_dir):
 
 STREAM_QUERIES = {
     "stream_sliding_url_counts": q_stream_sliding_url_counts,
+    "stream_top_urls": q_stream_top_urls,
     "stream_error_alarm": q_stream_error_alarm,
     "stream_sessions": q_stream_sessions,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
@@ -221,6 +234,7 @@ FROM req GROUP BY 1, 2""")
 
 STREAM_SQL = {
     "stream_sliding_url_counts": BATCH_SQL["sliding_url_counts"],
+    "stream_top_urls": BATCH_SQL["top_urls_per_window"],
     "stream_error_alarm": BATCH_SQL["error_alarm"],
     "stream_sessions": BATCH_SQL["sessions_30m"],
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
