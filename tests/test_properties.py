@@ -37,3 +37,13 @@ def test_permuting_rows_changes_nothing(spark):
         cb = sliding_counts(to_urls(parse_access_log(src_b), carry=["ts"]), "url",
                             "300 seconds", "60 seconds", time_col="ts")
         assert _rows(ca) == _rows(cb)
+
+
+def test_alarm_states_match_fixture_facts(spark):
+    """FIXTURES.md: at sf0.01, 1-day windows sliding 6 h give 85 ok, 36 alarm,
+    2 insufficient."""
+    import __spark_entry__ as E
+    from conftest import SF_ORACLE
+    got = E.queries()["error_alarm"](spark, SF_ORACLE).groupBy("state").count().collect()
+    assert sorted((r["state"], r["count"]) for r in got) == [("alarm", 36), ("insufficient", 2),
+                                                             ("ok", 85)]
