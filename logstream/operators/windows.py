@@ -100,14 +100,14 @@ def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_u
                  *[F.col(n).alias(n) for n in names]),
         F.struct((F.col("_a") + F.lit(s_us)).alias("_p"),
                  *[(-F.col(n)).alias(n) for n in names]))
-    points = (slices.select(*keys, F.explode(deltas).alias("_d"))
-              .groupBy(*keys, F.col("_d._p").alias("_p"))
-              .agg(*[F.sum(F.col(f"_d.{n}")).alias(n) for n in names]))
+    points = slices.select(*keys, F.explode(deltas).alias("_d")).select(
+        *keys, F.col("_d._p").alias("_p"), *[F.col(f"_d.{n}").alias(n) for n in names])
     wk = Window.partitionBy(*keys).orderBy("_p")
     run = wk.rowsBetween(Window.unboundedPreceding, 0)
     runs = points.select(*keys, "_p", F.lead("_p").over(wk).alias("_q"),
                          *[F.sum(n).over(run).alias(n) for n in names])
-    runs = runs.where((F.col("_rows") > 0) & F.col("_q").isNotNull())
+    # points at one position form empty runs except the last (which has the full sum)
+    runs = runs.where((F.col("_rows") > 0) & (F.col("_q") > F.col("_p")))
     out = runs.select(*keys, *[F.col(n).cast("long").alias(n) for n in sums],
                       F.explode(F.sequence(F.col("_p"), F.col("_q") - F.lit(s_us),
                                            F.lit(s_us))).alias("_s"))
