@@ -52,13 +52,12 @@ def _source_options(kind: str, **kw) -> tuple[str, dict]:
                            "region": kw.get("region", "us-east-1"),
                            "startingPosition": kw.get("starting_position", "LATEST")}
     if kind == "replay":
-        return "replay_lines", {"path": kw["path"],
-                                "maxFilesPerTrigger": str(kw.get("max_files_per_trigger") or 0)}
+        return "replay_lines", {"path": kw["path"]}
     raise ValueError(f"unknown source kind {kind!r}")
 
 
 def read_lines(spark: SparkSession, kind: str, path: str | None = None, *,
-               streaming: bool = True, fmt: str = "text", schema: T.StructType | str | None = None,
+               fmt: str = "text", schema: T.StructType | str | None = None,
                max_files_per_trigger: int | None = None, **kw) -> DataFrame:
     """A frame of log lines (``value STRING``) from one of the source kinds.
 
@@ -81,8 +80,10 @@ def read_lines(spark: SparkSession, kind: str, path: str | None = None, *,
     if kind == "replay":
         from .replay import register_replay_source
         register_replay_source(spark)
+        if max_files_per_trigger:
+            raise ValueError("the replay source reads all newly landed files per trigger; "
+                             "bound batches by the landing cadence")
         kw["path"] = path
-        kw["max_files_per_trigger"] = max_files_per_trigger
     fmt_name, opts = _source_options(kind, **kw)
     df = spark.readStream.format(fmt_name).options(**opts).load()
     if kind in ("kafka", "kinesis"):

@@ -5,7 +5,9 @@ receiver thread that reconnects and stores lines in memory, the source reads
 lines that an agent lands as files, with offsets (number of files, in name
 order) kept in the query checkpoint.  A restarted query therefore resumes
 exactly where it stopped; no line is lost or read twice.  Each landed file is
-one input partition, read on the executors.
+one input partition, read on the executors.  A trigger takes every file landed
+since the last one (Python stream readers have no admission control), so the
+landing cadence bounds the batch size.
 """
 
 from __future__ import annotations
