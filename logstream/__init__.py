@@ -16,7 +16,7 @@ from .operators.sessions import sessionize
 from .operators.windows import (counts_per_interval, rank_counts, sliding_counts,
                                 status_totals, top_k)
 from .session import get_spark, shared_root
-from .sources.lines import read_lines, read_statuses, status_texts
+from .sources.lines import read_lines, read_statuses, status_texts, with_arrival_time
 from .streaming.sessions import session_snapshot, sessionize_stream
 from .streaming.sinks import (compact_keyed_table, jdbc_append, read_latest, run_batches,
                               sql_per_batch, text_batches, to_console, upsert_by_key)

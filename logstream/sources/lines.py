@@ -93,6 +93,13 @@ def read_lines(spark: SparkSession, kind: str, path: str | None = None, *,
     return df
 
 
+def with_arrival_time(df: DataFrame, col: str = "arrival_time") -> DataFrame:
+    """Stamp each row with the time it is processed (the reference's only
+    notion of time).  On a stream this is the micro-batch time; results then
+    depend on when data arrives, so event time is the default elsewhere."""
+    return df.withColumn(col, F.current_timestamp())
+
+
 def read_statuses(spark: SparkSession, path: str, streaming: bool = True,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Tweet-like JSON status documents (one per line) with a fixed schema."""

@@ -247,3 +247,10 @@ def test_streaming_training_equals_sequential_batches(spark, workdir):
     out = spark.read.parquet(scored)
     assert out.count() == 90 and sorted(r["batch_id"] for r in
                                         out.select("batch_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_arrival_time_mode(spark):
+    from logstream.sources.lines import with_arrival_time
+    df = with_arrival_time(spark.createDataFrame([("/a",), ("/b",)], "url string"))
+    c = sliding_counts(df, "url", "300 seconds", "60 seconds", time_col="arrival_time")
+    assert c.agg(F.sum("n")).first()[0] == 2 * 5
