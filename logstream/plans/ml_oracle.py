@@ -155,7 +155,7 @@ SELECT event_id, (round((x - mx) / ((hx - lx) / 2.0), 6) + 0.0) AS x_scaled,
 FROM pts, s""",
     "linreg_closed_form": "WITH " + _REG_PTS.strip() + """
 SELECT (round(regr_slope(y, x), 6) + 0.0) AS slope, (round(regr_intercept(y, x), 6) + 0.0) AS intercept,
-       regr_count(y, x) AS n FROM pts""",
+       CAST(regr_count(y, x) AS BIGINT) AS n FROM pts""",
     "linreg_sgd_batch": "WITH RECURSIVE " + _REG_PTS.strip() + "," + _SGD + """
 SELECT (round(w, 6) + 0.0) AS weight, (round(b, 6) + 0.0) AS intercept, CAST(i AS INTEGER) AS iterations FROM model""",
     "linreg_score": "WITH RECURSIVE " + _REG_PTS.strip() + "," + _SGD + """

@@ -159,7 +159,8 @@ def q_stream_sql_per_batch(spark, sf_dir):
                              run.out, run.checkpoint)
 
     _drive(spark, run, src, "event_id", start)
-    return spark.read.parquet(run.out).select("batch_id", "agent", "total")
+    return spark.read.parquet(run.out).select(F.col("batch_id").cast("long").alias("batch_id"),
+                                              "agent", "total")
 
 
 def q_stream_text_batches(spark, sf_dir):
@@ -207,7 +208,8 @@ def q_stream_linreg_train_score(spark, sf_dir):
 
     _drive(spark, run, src, "event_id", start)
     scored = spark.read.parquet(f"{run.out}/scored")
-    return scored.select("batch_id", "event_id", F.round("label", 6).alias("label"),
+    return scored.select(F.col("batch_id").cast("long").alias("batch_id"), "event_id",
+                         F.round("label", 6).alias("label"),
                          F.round("prediction", 6).alias("prediction"))
 
 

@@ -171,6 +171,7 @@ def _newest_snapshot(spark: SparkSession, table_dir: str) -> tuple[str, int] | N
 def _current_rows(spark: SparkSession, table_dir: str) -> DataFrame:
     """Newest complete snapshot plus the log batches written after it."""
     log = spark.read.parquet(f"{table_dir}/log")
+    log = log.withColumn("batch_id", F.col("batch_id").cast("long"))
     snap = _newest_snapshot(spark, table_dir)
     if snap is None:
         return log

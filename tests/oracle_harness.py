@@ -50,16 +50,28 @@ def rows_duck(con, sql: str) -> tuple[list[str], list[tuple]]:
     return [names[i] for i in order], sorted(data)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+          "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, fn, sql: str, sf_dir: str) -> dict:
-    s_cols, s_rows = rows_spark(fn(spark, sf_dir))
+    df = fn(spark, sf_dir)
+    s_types = {c: _TYPES.get(t, t) for c, t in df.dtypes}
+    s_cols, s_rows = rows_spark(df)
     d_cols, d_rows = rows_duck(con, sql)
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = {"rows_spark": len(s_rows), "rows_oracle": len(d_rows),
-           "cols_match": s_cols == d_cols, "values_match": s_rows == d_rows}
+           "cols_match": s_cols == d_cols, "values_match": s_rows == d_rows,
+           "types_match": s_types == d_types}
     if not res["values_match"]:
         ss, dd = set(s_rows), set(d_rows)
         res["only_spark"] = sorted(ss - dd)[:3]
         res["only_oracle"] = sorted(dd - ss)[:3]
     if not res["cols_match"]:
         res["cols"] = (s_cols, d_cols)
-    res["ok"] = res["cols_match"] and res["values_match"]
+    if not res["types_match"]:
+        res["types"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                        if s_types.get(c) != d_types.get(c)}
+    res["ok"] = res["cols_match"] and res["values_match"] and res["types_match"]
     return res
