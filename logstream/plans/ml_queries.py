@@ -21,6 +21,11 @@ def _r(c, name):
     return F.round(c, 6).alias(name)
 
 
+def _r6(x: float) -> float:
+    """Driver-side rounding as the oracle rounds; -0.0 becomes 0.0."""
+    return round(float(x), 6) + 0.0
+
+
 def regression_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = regression_lines(table(spark, sf_dir, "events"))
     label, feats = parse_labeled(F.col("value"))
@@ -67,7 +72,7 @@ def _trained_linreg(spark, sf_dir) -> LinRegState:
 def q_linreg_sgd_batch(spark, sf_dir):
     m = _trained_linreg(spark, sf_dir)
     return spark.createDataFrame(
-        [(round(m.weights[0], 6), round(m.intercept, 6), m.iterations)],
+        [(_r6(m.weights[0]), _r6(m.intercept), m.iterations)],
         "weight double, intercept double, iterations int")
 
 
@@ -92,7 +97,7 @@ def _trained_kmeans(spark, sf_dir) -> KMeansState:
 
 def q_kmeans_train_batch(spark, sf_dir):
     m = _trained_kmeans(spark, sf_dir)
-    rows = [(j, round(c[0], 6), round(c[1], 6), round(float(w), 6))
+    rows = [(j, _r6(c[0]), _r6(c[1]), _r6(w))
             for j, (c, w) in enumerate(zip(m.centers, m.weights))]
     return spark.createDataFrame(rows, "cluster int, c0 double, c1 double, weight double")
 
@@ -118,7 +123,7 @@ def q_kmeans_train_wide(spark, sf_dir):
     aggregate of k x 64 numbers, whatever the number of rows."""
     m = kmeans_train_batch(_embeddings(spark, sf_dir),
                            KMeansState.fixed(wide_start_centers(64), weight=0.0))
-    rows = [(j, d, round(c[d], 6), round(float(w), 6))
+    rows = [(j, d, _r6(c[d]), _r6(w))
             for j, (c, w) in enumerate(zip(m.centers, m.weights)) for d in range(len(c))]
     return spark.createDataFrame(rows, "cluster int, dim int, center double, weight double")
 
