@@ -80,9 +80,12 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the Python workers on every executor
-    (what ``--py-files`` does at submit time).  Needed only by the few
-    operators that run Python on executors (stateful sessions, the replay
-    source); idempotent per application."""
+    (what ``--py-files`` does at submit time).  The zip is built in memory and
+    written below the shared root (Hadoop FileSystem API), then added with
+    ``addPyFile``.  Needed only by the few operators that run Python on
+    executors (stateful sessions, the replay source); idempotent per application."""
+    import hashlib
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -90,12 +93,24 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg_dir)
-    out = os.path.join(tempfile.mkdtemp(prefix="logstream-pyfiles-"), "logstream.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _dirs, files in os.walk(pkg_dir):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in sorted(os.walk(pkg_dir)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, base))
-    sc.addPyFile(out)
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:16]
+    target = f"{shared_root(spark)}/pyfiles/logstream-{digest}.zip"
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
