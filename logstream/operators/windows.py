@@ -77,8 +77,11 @@ def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAU
                           *keys).agg(*[F.sum(n).cast("long").alias(n) for n in sums])
 
 
+RUNS_CHUNK_US = 86_400 * 1_000_000   # time chunk of the runs strategy (1 day)
+
+
 def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_us: int,
-                  s_us: int, time_col: str) -> DataFrame:
+                  s_us: int, time_col: str, chunk_us: int = RUNS_CHUNK_US) -> DataFrame:
     """Batch sliding sums from change points (the inverse-function idea as a query).
 
     Per (key, slice): the sums and the row count (partial aggregation).  A slice
@@ -86,9 +89,12 @@ def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_u
     it adds its values at ``a - W + slide`` and removes them at ``a + slide``.  A
     running sum over a key's change points gives runs of window starts with the
     same values; runs with rows are expanded into one row per window start.
-    Per key the window function sees at most 2 x (time span / slide) points,
-    bounded by time, not by the number of rows.
+
+    The running sum is computed per (key, time chunk) plus a carried-in offset
+    from a small per-(key, chunk) totals table, so one task holds at most
+    2 x chunk / slide points of one key whatever the time span or row count.
     """
+    chunk_us = max(chunk_us // s_us, 1) * s_us
     t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
     slice_start = t_us - F.pmod(t_us, F.lit(s_us))
     names = list(sums) + ["_rows"]
@@ -100,12 +106,30 @@ def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_u
                  *[F.col(n).alias(n) for n in names]),
         F.struct((F.col("_a") + F.lit(s_us)).alias("_p"),
                  *[(-F.col(n)).alias(n) for n in names]))
-    points = slices.select(*keys, F.explode(deltas).alias("_d")).select(
-        *keys, F.col("_d._p").alias("_p"), *[F.col(f"_d.{n}").alias(n) for n in names])
-    wk = Window.partitionBy(*keys).orderBy("_p")
-    run = wk.rowsBetween(Window.unboundedPreceding, 0)
-    runs = points.select(*keys, "_p", F.lead("_p").over(wk).alias("_q"),
-                         *[F.sum(n).over(run).alias(n) for n in names])
+    points = (slices.select(*keys, F.explode(deltas).alias("_d"))
+              .select(*keys, F.col("_d._p").alias("_p"), *[F.col(f"_d.{n}").alias(n) for n in names])
+              .withColumn("_c", F.expr(f"_p div {chunk_us}")))
+
+    # local running sums and next point inside each (key, chunk)
+    wl = Window.partitionBy(*keys, "_c").orderBy("_p")
+    local = points.select(*keys, "_c", "_p", F.lead("_p").over(wl).alias("_q"),
+                          *[F.sum(n).over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias(n)
+                            for n in names])
+    # per (key, chunk): totals carried into later chunks, first point of the next chunk
+    totals = points.groupBy(*keys, "_c").agg(*[F.sum(n).alias(n) for n in names],
+                                             F.min("_p").alias("_first"))
+    wc = Window.partitionBy(*keys).orderBy("_c")
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
+                          F.col("_c").alias("_cc"), F.lead("_first").over(wc).alias("_next"),
+                          *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_cy_{n}")
+                            for n in names])
+    cond = F.col("_c") == F.col("_cc")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ck{i}"))
+    runs = local.join(carry, cond, "inner").select(
+        *keys, "_p", F.coalesce("_q", "_next").alias("_q"),
+        *[(F.col(n) + F.col(f"_cy_{n}")).alias(n) for n in names])
     # points at one position form empty runs except the last (which has the full sum)
     runs = runs.where((F.col("_rows") > 0) & (F.col("_q") > F.col("_p")))
     out = runs.select(*keys, *[F.col(n).cast("long").alias(n) for n in sums],
