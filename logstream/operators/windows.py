@@ -61,7 +61,7 @@ def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAU
     if strategy == "auto":
         big = expansion >= TWO_STEP_MIN_EXPANSION and aligned
         # streams: direct works in every output mode (two-step: append only)
-        strategy = ("direct" if not big else "two_step" if df.isStreaming else "runs")
+        strategy = "runs" if big and not df.isStreaming else "direct"
     if strategy in ("two_step", "runs") and not aligned:
         raise ValueError("two_step / runs need a window that is a multiple of the slide")
     if strategy == "direct":

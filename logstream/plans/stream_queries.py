@@ -60,14 +60,14 @@ def _line_stream(spark, run: _Run) -> DataFrame:
     return read_lines(spark, "files", run.landing, fmt="parquet", schema=LINE_SCHEMA)
 
 
-def _stream_url_counts(spark, sf_dir, name):
+def _stream_url_counts(spark, sf_dir, name, slide=URL_SLIDE):
     run = _Run(spark, name)
     src = access_lines(spark, sf_dir)
 
     def start():
         urls = to_urls(parse_access_log(_line_stream(spark, run)), carry=["ts"])
         counts = sliding_counts(urls.withWatermark("ts", WATERMARK), "url", URL_WINDOW,
-                                URL_SLIDE, time_col="ts")
+                                slide, time_col="ts")
         rows = counts.select(epoch_s(F.col("window.start")).alias("window_start"),
                              epoch_s(F.col("window.end")).alias("window_end"), "url", "n")
         return upsert_by_key(rows, run.out, ["window_start", "url"], run.checkpoint,
@@ -82,6 +82,11 @@ def q_stream_sliding_url_counts(spark, sf_dir):
     return _stream_url_counts(spark, sf_dir, "stream-sliding")
 
 
+def q_stream_sliding_url_counts_1s(spark, sf_dir):
+    """The reference's streaming parameters: 300 s windows sliding every second."""
+    return _stream_url_counts(spark, sf_dir, "stream-sliding-1s", slide="1 second")
+
+
 def q_stream_top_urls(spark, sf_dir):
     """Top 10 URLs per window over the counts the stream keeps current (the
     reference sorts and prints each batch; here any reader ranks the table)."""
@@ -215,6 +220,7 @@ def q_stream_linreg_train_score(spark, sf_dir):
 
 STREAM_QUERIES = {
     "stream_sliding_url_counts": q_stream_sliding_url_counts,
+    "stream_sliding_url_counts_1s": q_stream_sliding_url_counts_1s,
     "stream_top_urls": q_stream_top_urls,
     "stream_error_alarm": q_stream_error_alarm,
     "stream_sessions": q_stream_sessions,
@@ -236,6 +242,7 @@ FROM req GROUP BY 1, 2""")
 
 STREAM_SQL = {
     "stream_sliding_url_counts": BATCH_SQL["sliding_url_counts"],
+    "stream_sliding_url_counts_1s": BATCH_SQL["sliding_url_counts_1s"],
     "stream_top_urls": BATCH_SQL["top_urls_per_window"],
     "stream_error_alarm": BATCH_SQL["error_alarm"],
     "stream_sessions": BATCH_SQL["sessions_30m"],
