@@ -94,13 +94,20 @@ def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_u
     from a small per-(key, chunk) totals table, so one task holds at most
     2 x chunk / slide points of one key whatever the time span or row count.
     """
-    chunk_us = max(chunk_us // s_us, 1) * s_us
     t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
     slice_start = t_us - F.pmod(t_us, F.lit(s_us))
-    names = list(sums) + ["_rows"]
     slices = base.groupBy(*keys, slice_start.alias("_a")).agg(
         *[F.sum(e).cast("long").alias(n) for n, e in sums.items()],
         F.count(F.lit(1)).alias("_rows"))
+    return _runs_from_slices(slices, keys, list(sums), w_us, s_us, chunk_us)
+
+
+def _runs_from_slices(slices: DataFrame, keys: list[str], sum_names: list[str], w_us: int,
+                      s_us: int, chunk_us: int = RUNS_CHUNK_US) -> DataFrame:
+    """Sliding sums from slice aggregates (keys, _a = slice start in micros,
+    sums, _rows); see :func:`_sliding_runs`."""
+    chunk_us = max(chunk_us // s_us, 1) * s_us
+    names = [*sum_names, "_rows"]
     deltas = F.array(
         F.struct((F.col("_a") - F.lit(w_us - s_us)).alias("_p"),
                  *[F.col(n).alias(n) for n in names]),
@@ -132,12 +139,30 @@ def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_u
         *[(F.col(n) + F.col(f"_cy_{n}")).alias(n) for n in names])
     # points at one position form empty runs except the last (which has the full sum)
     runs = runs.where((F.col("_rows") > 0) & (F.col("_q") > F.col("_p")))
-    out = runs.select(*keys, *[F.col(n).cast("long").alias(n) for n in sums],
+    out = runs.select(*keys, *[F.col(n).cast("long").alias(n) for n in sum_names],
                       F.explode(F.sequence(F.col("_p"), F.col("_q") - F.lit(s_us),
                                            F.lit(s_us))).alias("_s"))
     win = F.struct(F.timestamp_micros("_s").alias("start"),
                    F.timestamp_micros(F.col("_s") + F.lit(w_us)).alias("end"))
-    return out.select(win.alias("window"), *keys, *list(sums))
+    return out.select(win.alias("window"), *keys, *sum_names)
+
+
+def sliding_from_slices(slices: DataFrame, key, window: str, slide: str,
+                        start_col: str = "slice_start", count_col: str = "n") -> DataFrame:
+    """Sliding-window counts from per-(key, slide) counts that are already
+    aggregated -- e.g. the per-second counts a stream keeps current.  Windows
+    are derived at read time with the change-point runs, so the stream itself
+    holds one count per (key, second) instead of window x rows."""
+    w_us, s_us = int(_seconds(window) * 1e6), int(_seconds(slide) * 1e6)
+    if w_us % s_us:
+        raise ValueError("the window must be a multiple of the slide")
+    keys = _keys(key)
+    start = F.unix_micros(F.col(start_col).cast("timestamp"))
+    pre = slices.select(*keys, (start - F.pmod(start, F.lit(s_us))).alias("_a"),
+                        F.col(count_col).cast("long").alias(count_col))
+    pre = pre.groupBy(*keys, "_a").agg(F.sum(count_col).cast("long").alias(count_col))
+    pre = pre.withColumn("_rows", F.col(count_col))
+    return _runs_from_slices(pre, keys, [count_col], w_us, s_us)
 
 
 def sliding_counts(df: DataFrame, key, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,
