@@ -58,6 +58,18 @@ def test_runs_with_small_time_chunks(spark):
     assert got == brute(rows, 300, 10)
 
 
+def test_sliding_from_slices_equals_brute_force(spark):
+    from logstream.operators.windows import counts_per_interval, sliding_from_slices
+    rows = _rows(400, seed=4)
+    df = spark.createDataFrame(rows, "event_time timestamp, url string")
+    per = counts_per_interval(df, "url", "10 seconds", count_col="n").select(
+        F.col("window.start").alias("slice_start"), "url", "n")
+    got = sliding_from_slices(per, "url", "300 seconds", "10 seconds")
+    got = {(int(r["s"]), r["url"]): r["n"] for r in got.select(
+        F.unix_seconds(F.col("window.start")).alias("s"), "url", "n").collect()}
+    assert got == brute(rows, 300, 10)
+
+
 def test_top_k_per_window_and_ties(spark):
     df = spark.createDataFrame([(0, "b", 3), (0, "a", 3), (0, "c", 1), (1, "z", 5)],
                                "window_start long, url string, n long")
