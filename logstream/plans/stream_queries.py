@@ -193,7 +193,7 @@ def q_stream_text_batches(spark, sf_dir):
     src = status_json(table(spark, sf_dir, "conversations"))
 
     def start():
-        texts = status_texts(read_statuses(spark, run.landing), col="text")
+        texts = status_texts(read_statuses(spark, run.landing))
         return text_batches(texts, run.out, run.checkpoint, col="text", files_per_batch=1)
 
     # JSON status documents (one per line) land as text files and are read as JSON.
@@ -261,6 +261,9 @@ _SQL_PER_BATCH = BATCH_SQL["requests_by_agent"].replace(
 FROM req GROUP BY 1, 2""")
 
 STREAM_SQL = {
+    # every written text comes back as its lines (text files split on newlines)
+    "stream_text_batches": """
+SELECT unnest(string_split(text, chr(10))) AS value FROM conversations WHERE role = 'user'""",
     "stream_sliding_url_counts": BATCH_SQL["sliding_url_counts"],
     "stream_sliding_url_counts_1s": BATCH_SQL["sliding_url_counts_1s"],
     "stream_top_urls": BATCH_SQL["top_urls_per_window"],

@@ -113,8 +113,9 @@ def read_statuses(spark: SparkSession, path: str, streaming: bool = True,
 
 def status_texts(statuses: DataFrame, col: str = "value",
                  carry: Sequence[str] = ()) -> DataFrame:
-    """Text of each status: parses a JSON column, or selects ``text`` directly."""
-    if "text" in statuses.columns and col not in statuses.columns:
+    """Text of each status: ``text`` when the frame already has it (parsed
+    status documents), else parsed from the JSON column ``col``."""
+    if "text" in statuses.columns:
         return statuses.select(*carry, "text")
     parsed = F.from_json(F.col(col), STATUS_SCHEMA)
     return statuses.select(*carry, parsed["text"].alias("text"))
