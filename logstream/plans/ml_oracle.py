@@ -14,6 +14,8 @@ pts AS (
   SELECT event_id, x, 0.7 * x + 0.1 + 0.1 * (v - floor(v) - 0.5) AS y FROM reg
 )"""
 
+REG_POINTS_CTE = _REG_PTS.strip()
+
 _LABEL = "CASE " + " ".join(f"WHEN event_type = '{t}' THEN {i}" for i, t in enumerate(EVENT_TYPES)) + " END"
 
 _CL_PTS = f"""

@@ -28,6 +28,7 @@ from ..streaming.landing import land_in_pieces
 from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
 from ..streaming.sinks import read_latest, sql_per_batch, text_batches, upsert_by_key
+from .ml_oracle import REG_POINTS_CTE
 from .oracle import BATCH_SQL
 from .queries import ALARM_SLIDE, ALARM_WINDOW, URL_SLIDE, URL_WINDOW, epoch_s
 
@@ -260,7 +261,50 @@ _SQL_PER_BATCH = BATCH_SQL["requests_by_agent"].replace(
        CASE WHEN matched THEN agent ELSE 'error' END AS agent, count(*) AS total
 FROM req GROUP BY 1, 2""")
 
+# Streaming regression: pieces in event_id order are the micro-batches; each
+# batch runs up to 50 descent steps from the previous weights with the intercept
+# restarted at 1.0, then its rows are scored with the new model.
+_STREAM_LINREG = "WITH RECURSIVE " + REG_POINTS_CTE + f""",
+bounds AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+pp AS (
+  SELECT pts.*, CAST(floor((event_id - lo) * {N_PIECES} / (hi - lo + 1)) AS BIGINT) AS piece
+  FROM pts, bounds
+),
+stats AS (
+  SELECT piece, count(*) AS n, sum(x * x) AS sxx, sum(x) AS sx, sum(x * y) AS sxy,
+         sum(y) AS sy
+  FROM pp GROUP BY piece
+),
+it AS (
+  SELECT CAST(0 AS BIGINT) AS piece, 0 AS i, CAST(0.0 AS DOUBLE) AS w,
+         CAST(1.0 AS DOUBLE) AS b, false AS done
+  UNION ALL
+  SELECT CASE WHEN q.adv THEN q.piece + 1 ELSE q.piece END,
+         CASE WHEN q.adv THEN 0 ELSE q.i + 1 END,
+         CASE WHEN q.adv THEN q.w ELSE q.nw END,
+         CASE WHEN q.adv THEN 1.0 ELSE q.nb END,
+         CASE WHEN q.adv THEN false
+              ELSE q.i + 1 > 1 AND sqrt((q.w - q.nw) * (q.w - q.nw) + (q.b - q.nb) * (q.b - q.nb))
+                   < 0.001 * greatest(sqrt(q.nw * q.nw + q.nb * q.nb), 1.0) END
+  FROM (
+    SELECT it.*, (it.done OR it.i >= 50) AS adv,
+           it.w - (0.1 / sqrt(it.i + 1)) * (((s.sxx * it.w + s.sx * it.b) - s.sxy) / s.n) AS nw,
+           it.b - (0.1 / sqrt(it.i + 1)) * (((s.sx * it.w + s.n * it.b) - s.sy) / s.n) AS nb
+    FROM it JOIN stats s ON s.piece = it.piece
+  ) q
+  WHERE NOT (q.adv AND q.piece >= {N_PIECES - 1})
+),
+models AS (
+  SELECT piece, w, b FROM (
+    SELECT *, row_number() OVER (PARTITION BY piece ORDER BY i DESC) AS r FROM it) z
+  WHERE r = 1
+)
+SELECT pp.piece AS batch_id, pp.event_id, (round(pp.y, 6) + 0.0) AS label,
+       (round(pp.x * m.w + m.b, 6) + 0.0) AS prediction
+FROM pp JOIN models m ON pp.piece = m.piece"""
+
 STREAM_SQL = {
+    "stream_linreg_train_score": _STREAM_LINREG,
     # every written text comes back as its lines (text files split on newlines)
     "stream_text_batches": """
 SELECT unnest(string_split(text, chr(10))) AS value FROM conversations WHERE role = 'user'""",
