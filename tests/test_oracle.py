@@ -27,10 +27,9 @@ def test_query_matches_oracle(spark, con, name):
     assert res["ok"], res
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_rows_only_queries_run(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() > 0
+def test_rows_only_queries_run(spark):
+    for name in sorted(set(QUERIES) - set(SQL)):     # none at present
+        assert QUERIES[name](spark, SF_SMALL).count() > 0
 
 
 def test_entry_smoke(spark):
