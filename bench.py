@@ -33,6 +33,9 @@ HEADLINE = [
     "linreg_sgd_batch",
     "kmeans_train_batch",
     "kmeans_score",
+    # streaming: input landed in 3 pieces, one restarted micro-batch each
+    "stream_sessions",
+    "stream_sliding_url_counts_1s",
 ]
 
 
