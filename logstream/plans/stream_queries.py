@@ -19,8 +19,7 @@ from ..functions.parse import parse_access_log, parse_labeled, with_status_class
 from ..operators.alarm import error_alarm
 from ..operators.online_ml import LinRegState
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
-from ..operators.windows import (counts_per_interval, sliding_counts, sliding_from_slices,
-                                status_totals, top_k)
+from ..operators.windows import sliding_counts, status_totals, top_k
 from ..session import new_work_dir
 from ..sources.fixtures import access_lines, regression_lines, status_json, table
 from ..sources.lines import read_lines, read_statuses, status_texts
@@ -28,6 +27,7 @@ from ..streaming.landing import land_in_pieces
 from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
 from ..streaming.sinks import read_latest, sql_per_batch, text_batches, upsert_by_key
+from ..streaming.windows import keep_slice_counts, read_sliding_counts
 from .ml_oracle import REG_POINTS_CTE
 from .oracle import BATCH_SQL
 from .queries import ALARM_SLIDE, ALARM_WINDOW, URL_SLIDE, URL_WINDOW, epoch_s
@@ -87,23 +87,18 @@ def q_stream_sliding_url_counts(spark, sf_dir):
 def q_stream_sliding_url_counts_1s(spark, sf_dir):
     """The reference's streaming parameters: 300 s windows sliding every second.
 
-    The stream keeps one count per (second, URL) current (a tumbling window,
-    one copy per row, update mode into the keyed table); the 300 s windows are
-    derived when the table is read, with the change-point runs."""
+    The stream keeps one count per (second, URL) current; the 300 s windows are
+    derived when the table is read (streaming/windows.py)."""
     run = _Run(spark, "stream-sliding-1s")
     src = access_lines(spark, sf_dir)
 
     def start():
         urls = to_urls(parse_access_log(_line_stream(spark, run)), carry=["ts"])
-        per_second = counts_per_interval(urls.withWatermark("ts", WATERMARK), "url",
-                                         "1 second", time_col="ts", count_col="n")
-        rows = per_second.select(F.col("window.start").alias("slice_start"), "url", "n")
-        return upsert_by_key(rows, run.out, ["slice_start", "url"], run.checkpoint,
-                             output_mode="update")
+        return keep_slice_counts(urls, "url", "1 second", run.out, run.checkpoint,
+                                 time_col="ts", watermark=WATERMARK)
 
     _drive(spark, run, src, "event_id", start)
-    slices = read_latest(spark, run.out, ["slice_start", "url"], ["batch_id"], ["n"])
-    c = sliding_from_slices(slices, "url", URL_WINDOW, "1 second")
+    c = read_sliding_counts(spark, run.out, "url", URL_WINDOW, "1 second")
     return c.select(epoch_s(F.col("window.start")).alias("window_start"),
                     epoch_s(F.col("window.end")).alias("window_end"), "url", "n")
 
