@@ -7,7 +7,9 @@ order) kept in the query checkpoint.  A restarted query therefore resumes
 exactly where it stopped; no line is lost or read twice.  Each landed file is
 one input partition, read on the executors.  A trigger takes every file landed
 since the last one (Python stream readers have no admission control), so the
-landing cadence bounds the batch size.
+landing cadence bounds the batch size.  Files are listed and read with
+pyarrow filesystems: local paths, ``s3://`` and ``gs://`` work as is;
+``hdfs://`` needs pyarrow's HDFS client (libhdfs) on the executors.
 """
 
 from __future__ import annotations
