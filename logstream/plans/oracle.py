@@ -151,6 +151,21 @@ SELECT status_class, count(*) AS n FROM req GROUP BY status_class"""),
                                 _sliding_url(300, 60)),
     "sliding_url_counts_1s": _with("SELECT window_start, window_end, url, n FROM urlcounts",
                                    _sliding_url(300, 1)),
+    "sliding_url_counts_event_time": _with("SELECT window_start, window_end, url, n FROM evcounts", """
+evt AS (
+  SELECT url_strict AS url,
+         epoch_us(try_strptime(trim(p.ts_raw, '[]'), '%d/%b/%Y:%H:%M:%S %z')) AS t
+  FROM req JOIN parsed p USING (event_id)
+),
+evwin AS (
+  SELECT url, (t // 60000000) * 60 - i * 60 AS window_start
+  FROM evt, (SELECT unnest(range(0, 5)) AS i) r
+  WHERE t IS NOT NULL
+),
+evcounts AS (
+  SELECT window_start, window_start + 300 AS window_end, url, count(*) AS n
+  FROM evwin GROUP BY window_start, url
+)"""),
     "top_urls_per_window": _with("""
 SELECT window_start, window_end, url, n, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE rank <= 10""", _sliding_url(300, 60).strip() + """,

@@ -78,6 +78,14 @@ def q_sliding_url_counts_1s(spark, sf_dir):
     return c.select(*_win(c), "url", "n")
 
 
+def q_sliding_url_counts_event_time(spark, sf_dir):
+    """Windows over the log's own time (event-time mode): lines that do not
+    parse have no time and are left out."""
+    urls = to_urls(_parsed(spark, sf_dir), carry=["event_time"])
+    c = sliding_counts(urls, "url", URL_WINDOW, URL_SLIDE, time_col="event_time")
+    return c.select(*_win(c), "url", "n")
+
+
 def q_top_urls_per_window(spark, sf_dir):
     c = _url_counts(spark, sf_dir)
     c = c.select(*_win(c), "url", "n")
@@ -150,6 +158,7 @@ BATCH_QUERIES = {
     "status_class_counts": q_status_class_counts,
     "sliding_url_counts": q_sliding_url_counts,
     "sliding_url_counts_1s": q_sliding_url_counts_1s,
+    "sliding_url_counts_event_time": q_sliding_url_counts_event_time,
     "top_urls_per_window": q_top_urls_per_window,
     "status_totals": q_status_totals,
     "error_alarm": q_error_alarm,
