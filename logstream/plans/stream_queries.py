@@ -55,7 +55,16 @@ def _drive(spark, run: _Run, source: DataFrame, key: str, start_query, fmt="parq
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-    land_in_pieces(spark, source, run.landing, run.staging, key, N_PIECES, fmt, trigger, cols)
+    # A stateful query fixes its state partitions at first start (fresh checkpoint
+    # here): size them to the cluster's parallelism, then restore the session value.
+    key_conf = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key_conf)
+    spark.conf.set(key_conf, str(max(8, spark.sparkContext.defaultParallelism)))
+    try:
+        land_in_pieces(spark, source, run.landing, run.staging, key, N_PIECES, fmt, trigger,
+                       cols)
+    finally:
+        spark.conf.set(key_conf, before)
 
 
 def _line_stream(spark, run: _Run) -> DataFrame:
