@@ -146,6 +146,12 @@ def test_upsert_keeps_latest_and_rejects_null_keys(spark, workdir):
     latest = {r["ip"]: r["url"] for r in read_latest(spark, out, "ip", ["ts", "event_id"],
                                                        ["url"]).collect()}
     assert latest == {"a": "/2", "b": "/b2"}
+    # compaction is rerunnable: folding again changes nothing
+    assert compact_keyed_table(spark, out, "ip", ["ts", "event_id"]) == 2
+    assert compact_keyed_table(spark, out, "ip", ["ts", "event_id"]) == 2
+    again = {r["ip"]: r["url"] for r in read_latest(spark, out, "ip", ["ts", "event_id"],
+                                                      ["url"]).collect()}
+    assert again == latest
 
 
 def test_replay_source_resumes_after_restart(spark, workdir):
