@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import per_batch, text_or_empty
 
@@ -245,7 +246,6 @@ def encode(docs: DataFrame, ranks_path: str, text_col: str = "text", out: str =
                                pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
 
-    from pyspark.sql import types as T
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return per_batch(docs, run, schema)
 
@@ -281,3 +281,10 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     return per_batch(rows, run, f"doc_id {kind}, n_tokens long, ids_sha256 string, "
                                 "decoded_sha256 string")
+
+
+def bpe_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All input columns, ``ids`` and ``n_tokens``."""
+    import public_tokenizers
+    out = encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.withColumn("n_tokens", F.size("ids").cast("long"))

@@ -158,21 +158,17 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed corpus: each document as often as the mix takes it, all input columns."""
-    taken = _mixed(spark, docs, sf_dir, seed=0).where(F.col("__copies") > 0).groupBy(
+    """The mixed corpus: each document as often as the mix takes it, all input columns.
+    Rows that repeat id and text stand as one row, as often as they are taken together."""
+    decided = materialise(_mixed(spark, docs, sf_dir, seed=0).groupBy(
         F.col("__id").alias("__mix_id"), F.col("__tie_text").alias("__mix_text")).agg(
-        F.max("__copies").alias("__most_copies"), F.sum("__copies").alias("__all_copies"),
-        F.count(F.lit(1)).alias("__rows_taken"))
-    return _repeat(docs, taken)
-
-
-def _repeat(docs: DataFrame, taken: DataFrame) -> DataFrame:
-    """Rows of ``docs`` by the copies decided for (id, text hash).  Repeated rows of one id
-    and text that were decided differently share their sum: the first row takes the rest."""
+        F.sum("__copies").alias("__times"), F.count(F.lit(1)).alias("__rows")), "mix-decided")
     names = docs.columns
     keyed = docs.withColumns({"__row_id": F.col("doc_id"), "__row_text": F.xxhash64(
         F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    out = keyed.join(taken, F.col("__row_id").eqNullSafe(F.col("__mix_id"))
+    if not decided.where("__rows > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["__row_id", "__row_text"])
+    out = keyed.join(decided.where("__times > 0"), F.col("__row_id").eqNullSafe(F.col("__mix_id"))
                      & (F.col("__row_text") == F.col("__mix_text")))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col(
-        "__most_copies")))).select(*names)
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__times"))) \
+        .select(*names)

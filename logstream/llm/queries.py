@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from .ann import op1_ann
 from .bpe import digests
 from .chat import OP6_SQL, op6_chat
 from .common import read_table
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import op2_mixing
+from .near_dedup import op5_near_dedup
+from .quality import op8_quality
 from .sharding import op10_sharding
+from .toxicity import op3_toxicity
+from .warc import OP7_SQL, op7_warc
 
 
 def op4_bpe(spark, sf_dir):
@@ -18,10 +23,15 @@ def op4_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_bpe": op4_bpe,
+    "op5_near_dedup": op5_near_dedup,
     "op6_chat": op6_chat,
+    "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
-SQL = {"op6_chat": OP6_SQL, "op9_exact_dedup": OP9_SQL}
+SQL = {"op6_chat": OP6_SQL, "op7_warc": OP7_SQL, "op9_exact_dedup": OP9_SQL}
