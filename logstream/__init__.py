@@ -14,12 +14,14 @@ from .operators.online_ml import (KMeansState, LinRegState, kmeans_assign, kmean
 from .operators.records import to_access_rows, to_clicks, to_requests, to_urls
 from .operators.sessions import sessionize
 from .operators.windows import (counts_per_interval, rank_counts, sliding_counts,
-                                sliding_from_slices, status_totals, top_k)
+                                sliding_from_slices, status_runs, status_totals, top_k)
 from .session import get_spark, shared_root
 from .sources.lines import read_lines, read_statuses, status_texts, with_arrival_time
 from .streaming.sessions import session_snapshot, sessionize_stream
-from .streaming.windows import keep_slice_counts, read_sliding_counts
-from .streaming.sinks import (compact_keyed_table, jdbc_append, read_latest, run_batches,
-                              sql_per_batch, text_batches, to_console, upsert_by_key)
+from .streaming.windows import (keep_slice_counts, newest_window_top_k, read_sliding_counts,
+                                read_status_runs)
+from .streaming.sinks import (await_limit, compact_keyed_table, jdbc_append, read_latest,
+                              run_batches, running_totals, sql_per_batch, text_batches,
+                              to_console, upsert_by_key)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

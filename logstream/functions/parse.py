@@ -64,9 +64,10 @@ def parse_access_log(df: DataFrame, col: str = "value", keep: bool = True) -> Da
     ``event_time`` is the log's own time (NULL when unparseable).
     """
     carried = list(df.columns) if keep else []
-    # Two projections so the regex result is computed once and then reused
-    # (Catalyst does not inline a non-trivial expression used many times).
-    staged = df.select(*carried, _groups_or_fallback(F.col(col)).alias("_f"))
+    # A generator between the regex and everything that uses its groups: filters on
+    # parsed columns stay above it, so the regex runs once per line (below a plain
+    # projection Catalyst would copy it into every pushed filter).
+    staged = df.select(*carried, F.explode(F.array(_groups_or_fallback(F.col(col)))).alias("_f"))
     staged = staged.select(*carried, F.when(F.size("_f") == 9, F.col("_f")).alias("_g"))
     g = F.col("_g")
     parts = {name: F.get(g, i) for i, name in enumerate(_GROUP_NAMES)}
@@ -139,34 +140,46 @@ def with_status_class(parsed: DataFrame) -> DataFrame:
 _SPARSE = r"^\(\s*(\d+)\s*,\s*(\[[^\]]*\])\s*,\s*(\[[^\]]*\])\s*\)$"
 
 
-def parse_vector(text: Column) -> Column:
-    """array<double> from a dense or sparse vector text; NULL on bad input."""
+def parse_vector(text: Column, dim: int | None = None) -> Column:
+    """array<double> from a dense or sparse vector text; NULL on bad input.
+
+    A sparse text names its own size, so it is read only when that is the
+    expected ``dim`` (else NULL): the array a row expands to is never chosen by
+    the input.  Indices must be distinct and inside the vector.
+    """
     s = F.trim(text)
     dense = F.from_json(s, "array<double>")
     size = F.regexp_extract(s, _SPARSE, 1).try_cast("int")
     idx = F.from_json(F.regexp_extract(s, _SPARSE, 2), "array<int>")
     vals = F.from_json(F.regexp_extract(s, _SPARSE, 3), "array<double>")
-    sparse = F.transform(
-        F.sequence(F.lit(0), size - 1),
-        lambda i: F.coalesce(F.get(vals, F.array_position(idx, i).cast("int") - 1),
-                             F.lit(0.0)))
-    return (F.when(s.startswith("["), dense)
-            .when(s.startswith("(") & (size > 0), sparse)
-            .when(s.startswith("(") & (size == 0), F.array().cast("array<double>")))
+    if dim is None:
+        return F.when(s.startswith("["), dense)
+    if dim == 0:
+        return F.when(s.startswith("["), dense).when(
+            s.startswith("(") & (size == 0), F.array().cast("array<double>"))
+    usable = (s.startswith("(") & (size == dim) & (F.size(idx) == F.size(vals))
+              & (F.size(F.array_distinct(idx)) == F.size(idx))
+              & F.forall(idx, lambda i: i.isNotNull() & (i >= 0) & (i < dim)))
+    at = F.map_from_arrays(idx, vals)
+    sparse = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                         lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0.0)))
+    return F.when(s.startswith("["), dense).when(usable, sparse)
 
 
 _LABELED = r"^\(\s*([^,()\[\]]+?)\s*,\s*(.*\S)\s*\)$"
 
 
-def parse_labeled(text: Column) -> tuple[Column, Column]:
-    """(label DOUBLE, features ARRAY<DOUBLE>) from a labeled-point text."""
+def parse_labeled(text: Column, dim: int | None = None) -> tuple[Column, Column]:
+    """(label DOUBLE, features ARRAY<DOUBLE>) from a labeled-point text; features are
+    NULL when one of them is not a number.  ``dim``: as in :func:`parse_vector`."""
     s = F.trim(text)
     tuple_form = s.startswith("(")
     label_t = F.regexp_extract(s, _LABELED, 1).try_cast("double")
-    feats_t = parse_vector(F.regexp_extract(s, _LABELED, 2))
+    feats_t = parse_vector(F.regexp_extract(s, _LABELED, 2), dim)
     label_l = F.substring_index(s, ",", 1).try_cast("double")
     rest = F.trim(F.substr(s, F.instr(s, ",") + 1))
-    feats_l = F.transform(F.split(rest, " +"), lambda x: x.try_cast("double"))
+    numbers = F.transform(F.split(rest, " +"), lambda x: x.try_cast("double"))
+    feats_l = F.when(F.forall(numbers, lambda x: x.isNotNull()), numbers)
     label = F.when(tuple_form, label_t).otherwise(label_l)
     feats = F.when(tuple_form, feats_t).otherwise(F.when(F.instr(s, ",") > 0, feats_l))
     return label, feats

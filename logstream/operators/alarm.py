@@ -28,5 +28,5 @@ def error_alarm(totals: DataFrame, min_events: int = MIN_EVENTS,
 
 
 def alarms(totals: DataFrame, **kw) -> DataFrame:
-    """Only the windows that raise an alarm (the 'wake somebody up' rows)."""
+    """Only the windows that raise an alarm."""
     return error_alarm(totals, **kw).where(F.col("state") == "alarm")

@@ -20,7 +20,7 @@ appended to the initial weights), and k-means uses the forgetful update with
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -53,6 +53,17 @@ class LinRegState:
         return LinRegState([0.0] * d)
 
 
+def usable(features: Column, d: int) -> Column:
+    """True for vectors of ``d`` numbers (no NULL vector, length or element)."""
+    return F.coalesce((F.size(features) == d) & F.forall(features, lambda v: v.isNotNull()),
+                      F.lit(False))
+
+
+def rejected(df: DataFrame, d: int, features: str = "features") -> DataFrame:
+    """Rows that training leaves out and scoring answers with NULL."""
+    return df.where(~usable(F.col(features), d))
+
+
 def dot(features: Column, weights: list[float]) -> Column:
     w = F.array(*[F.lit(float(x)) for x in weights])
     return F.aggregate(F.zip_with(features, w, lambda a, b: a * b), F.lit(0.0),
@@ -71,7 +82,7 @@ def linreg_stats(df: DataFrame, d: int, features: str = "features", label: str =
         for j in range(i, m):
             aggs.append(F.sum(cols[i] * cols[j]).alias(f"a_{i}_{j}"))
         aggs.append(F.sum(cols[i] * y).alias(f"b_{i}"))
-    valid = df.where(y.isNotNull() & x.isNotNull())
+    valid = df.where(y.isNotNull() & usable(x, d))
     row = valid.agg(*aggs).first()   # one row, (d+1)^2 numbers
     n = int(row["n"])
     a = np.zeros((m, m))
@@ -127,8 +138,10 @@ def linreg_closed_form(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def linreg_score(df: DataFrame, state: LinRegState, features: str = "features",
                  out: str = "prediction") -> DataFrame:
-    """Add the model's prediction (predictOn / predictOnValues)."""
-    return df.withColumn(out, dot(F.col(features), state.weights) + F.lit(state.intercept))
+    """Add the model's prediction (predictOn / predictOnValues); NULL for rejected rows."""
+    x = F.col(features)
+    return df.withColumn(out, F.when(usable(x, len(state.weights)),
+                                     dot(x, state.weights) + F.lit(state.intercept)))
 
 
 # --------------------------------------------------------------------------
@@ -173,7 +186,6 @@ class KMeansState:
     decay: float = KMEANS_DECAY
     time_unit: str = "batches"
     batches: int = 0
-    extra: dict = field(default_factory=dict)
 
     @staticmethod
     def fixed(centers: list[list[float]], weight: float = 0.0, decay: float = KMEANS_DECAY):
@@ -187,14 +199,15 @@ class KMeansState:
 
 
 def nearest_center(features: Column, centers: list[list[float]]) -> Column:
-    """Index of the nearest center (squared Euclidean; ties -> lowest index)."""
+    """Index of the nearest center (squared Euclidean; ties -> lowest index); NULL for
+    vectors of another length or with NULL elements."""
     cand = []
     for j, c in enumerate(centers):
         cv = F.array(*[F.lit(float(v)) for v in c])
         dist = F.aggregate(F.zip_with(features, cv, lambda a, b: (a - b) * (a - b)),
                            F.lit(0.0), lambda acc, v: acc + v)
         cand.append(F.struct(dist.alias("d"), F.lit(j).alias("i")))
-    return F.array_min(F.array(*cand))["i"]
+    return F.when(usable(features, len(centers[0])), F.array_min(F.array(*cand))["i"])
 
 
 def kmeans_assign(df: DataFrame, state: KMeansState, features: str = "features",
@@ -205,7 +218,7 @@ def kmeans_assign(df: DataFrame, state: KMeansState, features: str = "features",
 def kmeans_batch_stats(df: DataFrame, state: KMeansState, features: str = "features"):
     """Per-cluster count and coordinate sums: at most k rows reach the driver."""
     d = len(state.centers[0])
-    assigned = kmeans_assign(df.where(F.col(features).isNotNull()), state, features, "_c")
+    assigned = kmeans_assign(df.where(usable(F.col(features), d)), state, features, "_c")
     rows = (assigned.groupBy("_c")
             .agg(F.count(F.lit(1)).alias("n"),
                  *[F.sum(F.get(F.col(features), j)).alias(f"s{j}") for j in range(d)])

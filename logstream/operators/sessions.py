@@ -14,8 +14,8 @@ Skew-safe plan (one key may hold a third of all rows):
 3. The first ``max_clicks`` clicks of each bucket (``row_number() <= k``,
    planned as a partial WindowGroupLimit before the shuffle) are the only
    row-level candidates for a session's click stream.
-4. Sessions = per-session sums over the candidates (each bucket's first
-   candidate carries the bucket's count), and their first ``max_clicks``.
+4. Sessions = sums and maxima over the buckets, joined with their first
+   ``max_clicks`` candidates (again a partial WindowGroupLimit).
 
 No step collects a key's rows into one task; no cross join; no row cap.
 """
@@ -55,7 +55,7 @@ def sessionize(clicks: DataFrame, gap: str | int = DEFAULT_GAP,
     rows = (clicks.where(F.col(time_col).isNotNull())
             .select(F.col(key).alias("_k"), t_us.alias("_t"), *tie_cols,
                     F.col(value_col).alias("_v"))
-            .withColumn("_b", F.expr(f"_t div {g}")))
+            .withColumn("_b", F.expr(f"(_t - pmod(_t, {g})) div {g}")))   # floor, also before 1970
 
     # 1. bucket aggregates (partial aggregation; a hot key spreads over buckets)
     buckets = rows.groupBy("_k", "_b").agg(F.min("_t").alias("_bmin"),
@@ -72,23 +72,23 @@ def sessionize(clicks: DataFrame, gap: str | int = DEFAULT_GAP,
               .select(F.col("_k").alias("_mk"), F.col("_b").alias("_mb"), "_s", "_bn", "_bmax"))
 
     # 3. first max_clicks clicks of every bucket (partial top-k before the
-    #    shuffle), tagged with their bucket's session, count and end
+    #    shuffle), tagged with their bucket's session
     order = [F.col("_t"), *[F.col(c) for c in tie_cols]]
     wb = Window.partitionBy("_k", "_b").orderBy(*order)
     cand = rows.withColumn("_rb", F.row_number().over(wb)).where(F.col("_rb") <= max_clicks)
-    cand = cand.join(starts, F.col("_k").eqNullSafe(F.col("_mk")) &
-                     (F.col("_b") == F.col("_mb")), "inner")
+    cand = cand.join(starts.select("_mk", "_mb", "_s"), F.col("_k").eqNullSafe(F.col("_mk"))
+                     & (F.col("_b") == F.col("_mb")), "inner")
 
-    # 4. one row per session: counts from the buckets (first candidate of each
-    #    bucket carries it), first max_clicks URLs from at most
-    #    max_clicks x buckets candidates per session
+    # 4. session lengths from the buckets, click streams from the candidates
     ws = Window.partitionBy("_k", "_s").orderBy(*order)
-    out = (cand.withColumn("_rs", F.row_number().over(ws))
-           .groupBy("_k", "_s")
-           .agg(F.sum(F.when(F.col("_rb") == 1, F.col("_bn"))).cast("long").alias("session_length"),
-                F.max("_bmax").alias("_e"),
-                F.sort_array(F.collect_list(
-                    F.when(F.col("_rs") <= max_clicks, F.struct("_rs", "_v")))).alias("_cl")))
+    clicks_of = (cand.withColumn("_rs", F.row_number().over(ws))
+                 .where(F.col("_rs") <= max_clicks)
+                 .groupBy("_k", "_s")
+                 .agg(F.sort_array(F.collect_list(F.struct("_rs", "_v"))).alias("_cl")))
+    totals = (starts.groupBy("_mk", F.col("_s").alias("_ms"))
+              .agg(F.sum("_bn").cast("long").alias("session_length"), F.max("_bmax").alias("_e")))
+    out = clicks_of.join(totals, F.col("_k").eqNullSafe(F.col("_mk"))
+                         & (F.col("_s") == F.col("_ms")), "inner")
     return out.select(
         F.col("_k").alias(key),
         F.timestamp_micros("_s").alias("session_start"),

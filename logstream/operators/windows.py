@@ -46,11 +46,13 @@ def _keys(key) -> list[str]:
 
 def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAULT_WINDOW,
                 slide: str = DEFAULT_SLIDE, time_col: str = "event_time",
-                strategy: str = "auto") -> DataFrame:
+                strategy: str = "auto", fill: bool = False) -> DataFrame:
     """Sum the given per-row expressions over sliding windows by key.
 
     Returns ``window`` (struct start/end), the key columns and one BIGINT per
-    entry of ``sums``.  Rows with a NULL time are left out (no window).
+    entry of ``sums``.  Rows with a NULL time are left out (no window).  With
+    ``fill`` (batch, ``runs``) windows without rows between a key's first and last
+    window come out with zeros.
     """
     keys = _keys(key)
     t = F.col(time_col)
@@ -58,17 +60,25 @@ def sliding_agg(df: DataFrame, key, sums: dict[str, Column], window: str = DEFAU
     w_us, s_us = int(_seconds(window) * 1e6), int(_seconds(slide) * 1e6)
     expansion = w_us / s_us
     aligned = w_us % s_us == 0     # a slide-sized slice then lies in whole windows only
+    if fill:
+        if df.isStreaming:
+            raise ValueError("fill works on batch frames (on a stream: keep slices, fill on read)")
+        strategy = "runs"
     if strategy == "auto":
         big = expansion >= TWO_STEP_MIN_EXPANSION and aligned
-        # streams: direct works in every output mode (two-step: append only)
-        strategy = "runs" if big and not df.isStreaming else "direct"
+        if big and df.isStreaming:
+            raise ValueError(
+                f"{expansion:.0f} windows per row on a stream: keep per-slide counts with "
+                "streaming.windows.keep_slice_counts, or name strategy='direct' (every row is "
+                "copied into that many state rows) or 'two_step' (append mode)")
+        strategy = "runs" if big else "direct"
     if strategy in ("two_step", "runs") and not aligned:
         raise ValueError("two_step / runs need a window that is a multiple of the slide")
     if strategy == "direct":
         return base.groupBy(F.window(t, window, slide).alias("window"), *keys).agg(
             *[F.sum(e).cast("long").alias(n) for n, e in sums.items()])
     if strategy == "runs":
-        return _sliding_runs(base, keys, sums, w_us, s_us, time_col)
+        return _sliding_runs(base, keys, sums, w_us, s_us, time_col, fill=fill)
     if strategy != "two_step":
         raise ValueError(f"unknown strategy {strategy!r}")
     slices = base.groupBy(F.window(t, slide).alias("_slice"), *keys).agg(
@@ -81,7 +91,8 @@ RUNS_CHUNK_US = 86_400 * 1_000_000   # time chunk of the runs strategy (1 day)
 
 
 def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_us: int,
-                  s_us: int, time_col: str, chunk_us: int = RUNS_CHUNK_US) -> DataFrame:
+                  s_us: int, time_col: str, chunk_us: int = RUNS_CHUNK_US,
+                  fill: bool = False, expand: bool = True) -> DataFrame:
     """Batch sliding sums from change points (the inverse-function idea as a query).
 
     Per (key, slice): the sums and the row count (partial aggregation).  A slice
@@ -99,13 +110,17 @@ def _sliding_runs(base: DataFrame, keys: list[str], sums: dict[str, Column], w_u
     slices = base.groupBy(*keys, slice_start.alias("_a")).agg(
         *[F.sum(e).cast("long").alias(n) for n, e in sums.items()],
         F.count(F.lit(1)).alias("_rows"))
-    return _runs_from_slices(slices, keys, list(sums), w_us, s_us, chunk_us)
+    return _runs_from_slices(slices, keys, list(sums), w_us, s_us, chunk_us, fill, expand)
 
 
 def _runs_from_slices(slices: DataFrame, keys: list[str], sum_names: list[str], w_us: int,
-                      s_us: int, chunk_us: int = RUNS_CHUNK_US) -> DataFrame:
+                      s_us: int, chunk_us: int = RUNS_CHUNK_US, fill: bool = False,
+                      expand: bool = True) -> DataFrame:
     """Sliding sums from slice aggregates (keys, _a = slice start in micros,
-    sums, _rows); see :func:`_sliding_runs`."""
+    sums, _rows); see :func:`_sliding_runs`.  Without a key the carried-in totals
+    are one window over a row per time chunk (a day).  ``expand=False`` returns the
+    runs themselves (first_start, last_start of windows with equal sums), for rankings
+    and alarms that need no row per window."""
     chunk_us = max(chunk_us // s_us, 1) * s_us
     names = [*sum_names, "_rows"]
     deltas = F.array(
@@ -115,7 +130,7 @@ def _runs_from_slices(slices: DataFrame, keys: list[str], sum_names: list[str],
                  *[(-F.col(n)).alias(n) for n in names]))
     points = (slices.select(*keys, F.explode(deltas).alias("_d"))
               .select(*keys, F.col("_d._p").alias("_p"), *[F.col(f"_d.{n}").alias(n) for n in names])
-              .withColumn("_c", F.expr(f"_p div {chunk_us}")))
+              .withColumn("_c", F.expr(f"(_p - pmod(_p, {chunk_us})) div {chunk_us}")))
 
     # local running sums and next point inside each (key, chunk)
     wl = Window.partitionBy(*keys, "_c").orderBy("_p")
@@ -138,7 +153,13 @@ def _runs_from_slices(slices: DataFrame, keys: list[str], sum_names: list[str],
         *keys, "_p", F.coalesce("_q", "_next").alias("_q"),
         *[(F.col(n) + F.col(f"_cy_{n}")).alias(n) for n in names])
     # points at one position form empty runs except the last (which has the full sum)
-    runs = runs.where((F.col("_rows") > 0) & (F.col("_q") > F.col("_p")))
+    # (``fill``: windows without rows between a key's first and last one stay, with 0)
+    runs = runs.where((F.col("_q") > F.col("_p")) if fill else
+                      (F.col("_rows") > 0) & (F.col("_q") > F.col("_p")))
+    if not expand:
+        return runs.select(*keys, F.timestamp_micros("_p").alias("first_start"),
+                           F.timestamp_micros(F.col("_q") - F.lit(s_us)).alias("last_start"),
+                           *[F.col(n).cast("long").alias(n) for n in sum_names])
     out = runs.select(*keys, *[F.col(n).cast("long").alias(n) for n in sum_names],
                       F.explode(F.sequence(F.col("_p"), F.col("_q") - F.lit(s_us),
                                            F.lit(s_us))).alias("_s"))
@@ -148,7 +169,8 @@ def _runs_from_slices(slices: DataFrame, keys: list[str], sum_names: list[str],
 
 
 def sliding_from_slices(slices: DataFrame, key, window: str, slide: str,
-                        start_col: str = "slice_start", count_col: str = "n") -> DataFrame:
+                        start_col: str = "slice_start", count_col: str | Sequence[str] = "n",
+                        fill: bool = False, expand: bool = True) -> DataFrame:
     """Sliding-window counts from per-(key, slide) counts that are already
     aggregated -- e.g. the per-second counts a stream keeps current.  Windows
     are derived at read time with the change-point runs, so the stream itself
@@ -158,11 +180,11 @@ def sliding_from_slices(slices: DataFrame, key, window: str, slide: str,
         raise ValueError("the window must be a multiple of the slide")
     keys = _keys(key)
     start = F.unix_micros(F.col(start_col).cast("timestamp"))
-    pre = slices.select(*keys, (start - F.pmod(start, F.lit(s_us))).alias("_a"),
-                        F.col(count_col).cast("long").alias(count_col))
-    pre = pre.groupBy(*keys, "_a").agg(F.sum(count_col).cast("long").alias(count_col))
-    pre = pre.withColumn("_rows", F.col(count_col))
-    return _runs_from_slices(pre, keys, [count_col], w_us, s_us)
+    counts = _keys(count_col)
+    pre = slices.select(*keys, (start - F.pmod(start, F.lit(s_us))).alias("_a"), *counts)
+    pre = pre.groupBy(*keys, "_a").agg(*[F.sum(c).cast("long").alias(c) for c in counts])
+    pre = pre.withColumn("_rows", sum((F.col(c) for c in counts), F.lit(0)))
+    return _runs_from_slices(pre, keys, counts, w_us, s_us, fill=fill, expand=expand)
 
 
 def sliding_counts(df: DataFrame, key, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,
@@ -206,12 +228,24 @@ def top_k(counts: DataFrame, key, k: int = 10, count_col: str = "n",
 
 def status_totals(classified: DataFrame, window: str = DEFAULT_WINDOW,
                   slide: str = DEFAULT_SLIDE, time_col: str = "event_time",
-                  strategy: str = "auto") -> DataFrame:
-    """Success / Failure / Other line counts per sliding window (no collect)."""
-    c = F.col("status_class")
-    sums = {
-        "success": F.when(c == SUCCESS, 1).otherwise(0),
-        "failure": F.when(c == FAILURE, 1).otherwise(0),
-        "other": F.when(c == OTHER, 1).otherwise(0),
-    }
-    return sliding_agg(classified, None, sums, window, slide, time_col, strategy)
+                  strategy: str = "auto", fill: bool = False) -> DataFrame:
+    """Success / Failure / Other line counts per sliding window (no collect).
+
+    ``fill``: windows without traffic are reported as 0 / 0 / 0 (batch)."""
+    return sliding_agg(classified, None, status_sums(), window, slide, time_col, strategy, fill)
+
+
+def status_sums(weight: Column | None = None) -> dict[str, Column]:
+    """Per-row contributions (``weight``, default 1) to the three status totals."""
+    c, one = F.col("status_class"), F.lit(1) if weight is None else weight
+    return {name: F.when(c == value, one).otherwise(0)
+            for name, value in (("success", SUCCESS), ("failure", FAILURE), ("other", OTHER))}
+
+
+def status_runs(classified: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,
+                time_col: str = "event_time") -> DataFrame:
+    """Status totals as runs of windows: first_start, last_start, success, failure, other,
+    gap-free from the first window to the last (windows without traffic are 0 / 0 / 0)."""
+    base = classified.where(F.col(time_col).isNotNull())
+    return _sliding_runs(base, [], status_sums(), int(_seconds(window) * 1e6),
+                         int(_seconds(slide) * 1e6), time_col, fill=True, expand=False)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ..sources.fixtures import EVENT_TYPES, KMEANS_START_CENTERS, wide_start_centers
+from ..sources.fixtures import (EVENT_TYPES, KMEANS_START_CENTERS, SPARSE_DIM,
+                                wide_start_centers)
 
 _K = "CAST(regexp_extract(props, '\"k\":\\s*(\\d+)', 1) AS INTEGER)"
 
@@ -25,6 +26,8 @@ cpts AS (
   FROM events
 )"""
 
+CLUSTER_POINTS_CTE = _CL_PTS.strip()
+
 _SGD = """
 stats AS (
   SELECT count(*) AS n, sum(x * x) AS sxx, sum(x) AS sx, sum(x * y) AS sxy, sum(y) AS sy FROM pts
@@ -45,12 +48,12 @@ it AS (
 model AS (SELECT w, b, i FROM it WHERE i = (SELECT max(i) FROM it))"""
 
 
-def _dist(pref: str, centers_sql: list[tuple[str, str]]) -> str:
+def distances_sql(pref: str, centers_sql: list[tuple[str, str]]) -> str:
     return ", ".join(f"(a - {ca}) * (a - {ca}) + (b - {cb}) * (b - {cb}) AS {pref}{j}"
                      for j, (ca, cb) in enumerate(centers_sql))
 
 
-def _argmin(pref: str, k: int) -> str:
+def argmin_sql(pref: str, k: int) -> str:
     whens = []
     for j in range(k - 1):
         rest = [f"{pref}{i}" for i in range(j + 1, k)]
@@ -65,8 +68,8 @@ _CENT_VALUES = ", ".join(f"({j}, {a}, {b})" for j, (a, b) in enumerate(_START))
 
 _ASSIGN_START = f"""
 asg AS (
-  SELECT *, {_argmin('d', _K_CENT)} AS cluster
-  FROM (SELECT *, {_dist('d', _START)} FROM cpts) z
+  SELECT *, {argmin_sql('d', _K_CENT)} AS cluster
+  FROM (SELECT *, {distances_sql('d', _START)} FROM cpts) z
 )"""
 
 _TRAIN = f"""
@@ -155,6 +158,14 @@ s AS (SELECT avg(x) AS mx, min(x) AS lx, max(x) AS hx, avg(y) AS my, min(y) AS l
 SELECT event_id, (round((x - mx) / ((hx - lx) / 2.0), 6) + 0.0) AS x_scaled,
        (round((y - my) / ((hy - ly) / 2.0), 6) + 0.0) AS y_scaled
 FROM pts, s""",
+    "scale_round_trip": "WITH " + _REG_PTS.strip() + """
+SELECT event_id, (round(x, 6) + 0.0) AS x, (round(y, 6) + 0.0) AS y FROM pts""",
+    "parse_vector_sparse": f"""
+SELECT event_id, {SPARSE_DIM} AS dims, CAST({_K} AS INTEGER) AS at, (round(value / 100.0, 6) + 0.0) AS x
+FROM events""",
+    "parse_labeled_legacy": "WITH " + _CL_PTS.strip() + """
+SELECT event_id, CAST(label AS DOUBLE) AS label, 2 AS dims, (round(a, 6) + 0.0) AS f0,
+       (round(b, 6) + 0.0) AS f1 FROM cpts""",
     "linreg_closed_form": "WITH " + _REG_PTS.strip() + """
 SELECT (round(regr_slope(y, x), 6) + 0.0) AS slope, (round(regr_intercept(y, x), 6) + 0.0) AS intercept,
        CAST(regr_count(y, x) AS BIGINT) AS n FROM pts""",
@@ -171,8 +182,8 @@ SELECT CAST(cluster AS INTEGER) AS cluster, (round(ca, 6) + 0.0) AS c0, (round(c
     "kmeans_score": "WITH " + _CL_PTS.strip() + "," + _ASSIGN_START + "," + _TRAIN + f""",
 p AS (SELECT {_PIVOT} FROM trained),
 scored AS (
-  SELECT event_id, label, {_argmin('e', _K_CENT)} AS cluster
-  FROM (SELECT cpts.event_id, cpts.label, {_dist('e', _TRAINED_COLS)} FROM cpts, p) z
+  SELECT event_id, label, {argmin_sql('e', _K_CENT)} AS cluster
+  FROM (SELECT cpts.event_id, cpts.label, {distances_sql('e', _TRAINED_COLS)} FROM cpts, p) z
 )
 SELECT event_id, label, CAST(cluster AS INTEGER) AS cluster FROM scored""",
     "kmeans_assign_wide": "WITH " + _WIDE_ASSIGN.strip() + """

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.parse import parse_labeled, parse_vector
 from ..operators.online_ml import (KMeansState, LinRegState, fit_scaling, kmeans_assign,
                                    kmeans_score, kmeans_train_batch, linreg_closed_form,
-                                   linreg_score, linreg_train_batch, scale_features)
-from ..sources.fixtures import (KMEANS_START_CENTERS, clustering_lines, regression_lines,
-                                table, wide_start_centers)
+                                   linreg_score, linreg_train_batch, scale_features, unscale)
+from ..sources.fixtures import (KMEANS_START_CENTERS, SPARSE_DIM, clustering_lines, legacy_lines,
+                                regression_lines, sparse_lines, table, wide_start_centers)
 
 
 def _r(c, name):
@@ -59,6 +59,34 @@ def q_scale_features(spark, sf_dir):
     return s.select("event_id", _r(F.col("x_scaled"), "x_scaled"), _r(F.col("y_scaled"), "y_scaled"))
 
 
+def q_scale_round_trip(spark, sf_dir):
+    """Scaled and back: the original values."""
+    p = regression_points(spark, sf_dir).select("event_id", F.get("features", 0).alias("x"),
+                                                 F.col("label").alias("y"))
+    scaling = fit_scaling(p, ["x", "y"])
+    s = scale_features(p, scaling)
+    return s.select("event_id", *[_r(unscale(F.col(f"{c}_scaled"), scaling, c), c)
+                                  for c in ("x", "y")])
+
+
+def q_parse_vector_sparse(spark, sf_dir):
+    lines = sparse_lines(table(spark, sf_dir, "events"))
+    p = lines.select("event_id", parse_vector(F.col("value"), dim=SPARSE_DIM).alias("v"))
+    # a value of zero would leave no place: such a row has no "at" but the first
+    at = F.greatest(F.array_position(F.transform("v", lambda x: x != 0), True).cast("int") - 1,
+                    F.lit(0))
+    return p.select("event_id", F.size("v").alias("dims"), at.alias("at"),
+                    _r(F.get("v", at), "x"))
+
+
+def q_parse_labeled_legacy(spark, sf_dir):
+    label, feats = parse_labeled(F.col("value"))
+    p = legacy_lines(table(spark, sf_dir, "events")).select(
+        "event_id", label.alias("label"), feats.alias("f"))
+    return p.select("event_id", "label", F.size("f").alias("dims"),
+                    _r(F.get("f", 0), "f0"), _r(F.get("f", 1), "f1"))
+
+
 def q_linreg_closed_form(spark, sf_dir):
     p = regression_points(spark, sf_dir).select(F.get("features", 0).alias("x"), "label")
     r = linreg_closed_form(p, "x", "label")
@@ -131,7 +159,10 @@ def q_kmeans_train_wide(spark, sf_dir):
 ML_QUERIES = {
     "parse_vector": q_parse_vector,
     "parse_labeled": q_parse_labeled,
+    "parse_vector_sparse": q_parse_vector_sparse,
+    "parse_labeled_legacy": q_parse_labeled_legacy,
     "scale_features": q_scale_features,
+    "scale_round_trip": q_scale_round_trip,
     "linreg_closed_form": q_linreg_closed_form,
     "linreg_sgd_batch": q_linreg_sgd_batch,
     "linreg_score": q_linreg_score,

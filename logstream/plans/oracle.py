@@ -135,7 +135,55 @@ totals AS (
 )"""
 
 
+def _status_runs(window_s: int, slide_s: int) -> str:
+    """Runs of window starts with equal totals, between the first and the last window."""
+    w, s = window_s * 1000000, slide_s * 1000000
+    return f"""
+slices AS (
+  SELECT epoch_us(ts) // {s} * {s} AS a,
+         CAST(count(*) FILTER (WHERE status_class = 'Success') AS BIGINT) AS success,
+         CAST(count(*) FILTER (WHERE status_class = 'Failure') AS BIGINT) AS failure,
+         CAST(count(*) FILTER (WHERE status_class = 'Other') AS BIGINT) AS other
+  FROM req GROUP BY 1
+),
+points AS (
+  SELECT p, sum(success) AS success, sum(failure) AS failure, sum(other) AS other FROM (
+    SELECT a - {w} + {s} AS p, success, failure, other FROM slices
+    UNION ALL SELECT a + {s}, -success, -failure, -other FROM slices) d GROUP BY p
+),
+runs AS (
+  SELECT p AS first_us, lead(p) OVER (ORDER BY p) - {s} AS last_us,
+         CAST(sum(success) OVER u AS BIGINT) AS success,
+         CAST(sum(failure) OVER u AS BIGINT) AS failure, CAST(sum(other) OVER u AS BIGINT) AS other
+  FROM points WINDOW u AS (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)"""
+
+
+_RATIO_STATE = """CASE WHEN success > 0 THEN round(failure / success, 6) + 0.0 END AS ratio,
+       CASE WHEN success + failure <= 100 THEN 'insufficient'
+            WHEN failure > 0.5 * success THEN 'alarm' ELSE 'ok' END AS state"""
+
+
+def status_run_states(window_s: int = 300, slide_s: int = 1) -> str:
+    return _with(f"""
+SELECT first_us // 1000000 AS first_start, last_us // 1000000 AS last_start,
+       success, failure, other, {_RATIO_STATE}
+FROM runs WHERE last_us IS NOT NULL""", _status_runs(window_s, slide_s))
+
+
 BATCH_SQL = {
+    "top_urls_overall": _with("""
+SELECT url_strict AS url, count(*) AS n FROM req GROUP BY 1 ORDER BY n DESC, url LIMIT 10"""),
+    "url_ranking": _with("SELECT url_strict AS url, count(*) AS n FROM req GROUP BY 1"),
+    "status_totals_1s": status_run_states(),
+    "status_totals_filled": _with("""
+SELECT unnest(range(first_us // 1000000, last_us // 1000000 + 1, 600)) AS window_start,
+       window_start + 3600 AS window_end, success, failure, other
+FROM runs WHERE last_us IS NOT NULL""", _status_runs(3600, 600)),
+    "alarms": _with("""
+SELECT window_start, window_end, success, failure,
+       CASE WHEN success > 0 THEN round(failure / success, 6) + 0.0 END AS ratio
+FROM totals WHERE success + failure > 100 AND failure > 0.5 * success""", _STATUS_TOTALS),
     "parse_access_log": _with("""
 SELECT event_id, value, matched, ip, client, "user", ts_raw,
        epoch_us(try_strptime(trim(ts_raw, '[]'), '%d/%b/%Y:%H:%M:%S %z')) // 1000000 AS event_time_s,
@@ -168,7 +216,7 @@ evcounts AS (
 )"""),
     "top_urls_per_window": _with("""
 SELECT window_start, window_end, url, n, CAST(rank AS INTEGER) AS rank
-FROM ranked WHERE rank <= 10""", _sliding_url(300, 60).strip() + """,
+FROM ranked WHERE rank <= 10""", _sliding_url(86400, 21600).strip() + """,
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, url ASC) AS rank
   FROM urlcounts
@@ -207,5 +255,5 @@ ranked AS (
   FROM rows WHERE ip IS NOT NULL
 )"""),
     "status_texts": """
-SELECT conv_id, turn, text FROM conversations WHERE role = 'user'""",
+SELECT conv_id, turn, text FROM conversations""",
 }

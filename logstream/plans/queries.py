@@ -12,16 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import parse_access_log, with_status_class
-from ..operators.alarm import error_alarm
+from ..operators.alarm import alarms, error_alarm
 from ..operators.latest import latest_by_key
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
 from ..operators.sessions import sessionize
-from ..operators.windows import counts_per_interval, sliding_counts, status_totals, top_k
+from ..operators.windows import (counts_per_interval, rank_counts, sliding_counts, status_runs,
+                                 status_totals, top_k)
 from ..sources.fixtures import access_lines, status_json, table
 from ..sources.lines import status_texts
 
 # Parameters of the registered queries (FIXTURES.md part 3).
 URL_WINDOW, URL_SLIDE = "300 seconds", "60 seconds"
+TOP_WINDOW, TOP_SLIDE = "1 day", "6 hours"       # windows with more than 10 URLs
 ALARM_WINDOW, ALARM_SLIDE = "1 day", "6 hours"
 AGENT_INTERVAL = "1 hour"
 TOP_K = 10
@@ -87,11 +89,22 @@ def q_sliding_url_counts_event_time(spark, sf_dir):
 
 
 def q_top_urls_per_window(spark, sf_dir):
-    c = _url_counts(spark, sf_dir)
+    urls = to_urls(_parsed(spark, sf_dir), carry=["ts"])
+    c = sliding_counts(urls, "url", TOP_WINDOW, TOP_SLIDE, time_col="ts")
     c = c.select(*_win(c), "url", "n")
     return top_k(c, "url", TOP_K, per="window_start")
 
 
+def q_top_urls_overall(spark, sf_dir):
+    return top_k(q_url_strict_counts(spark, sf_dir), "url", TOP_K, per=None)
+
+
+def q_url_ranking(spark, sf_dir):
+    """All URLs in rank order; the sorted frame also carries its order as a column."""
+    ranked = rank_counts(q_url_strict_counts(spark, sf_dir), "url")
+    return ranked.select("url", "n")
+
+
 def _status_totals(spark, sf_dir):
     classified = with_status_class(_parsed(spark, sf_dir))
     return status_totals(classified, ALARM_WINDOW, ALARM_SLIDE, time_col="ts")
@@ -107,6 +120,29 @@ def q_error_alarm(spark, sf_dir):
     return a.select(*_win(a), "success", "failure", F.round("ratio", 6).alias("ratio"), "state")
 
 
+def q_alarms(spark, sf_dir):
+    """Only the windows that raise an alarm."""
+    a = alarms(_status_totals(spark, sf_dir))
+    return a.select(*_win(a), "success", "failure", F.round("ratio", 6).alias("ratio"))
+
+
+def q_status_totals_filled(spark, sf_dir):
+    """Windows of 1 hour every 10 minutes; those without traffic are 0 / 0 / 0."""
+    t = status_totals(with_status_class(_parsed(spark, sf_dir)), "1 hour", "10 minutes",
+                      time_col="ts", fill=True)
+    return t.select(*_win(t), "success", "failure", "other")
+
+
+def q_status_totals_1s(spark, sf_dir):
+    """The reference's 300 s / 1 s totals with the alarm state, one row per run of windows
+    with equal totals; windows without traffic are runs of 0 / 0 / 0."""
+    t = error_alarm(status_runs(with_status_class(_parsed(spark, sf_dir)), URL_WINDOW, "1 second",
+                                time_col="ts"))
+    return t.select(epoch_s("first_start").alias("first_start"),
+                    epoch_s("last_start").alias("last_start"), "success", "failure", "other",
+                    F.round("ratio", 6).alias("ratio"), "state")
+
+
 def q_agent_counts_per_interval(spark, sf_dir):
     req = to_requests(_parsed(spark, sf_dir), carry=["ts"])
     c = counts_per_interval(req, "agent", AGENT_INTERVAL, time_col="ts")
@@ -114,9 +150,9 @@ def q_agent_counts_per_interval(spark, sf_dir):
 
 
 def q_requests_by_agent(spark, sf_dir):
-    # Q1: any SQL over the requests table (here the whole table as one batch).
-    to_requests(_parsed(spark, sf_dir)).createOrReplaceTempView("requests")
-    return spark.sql("select agent, count(*) as total from requests group by agent")
+    # Q1: any SQL over the requests table, given as a parameter: no view is left behind
+    return spark.sql("select agent, count(*) as total from {requests} group by agent",
+                     requests=to_requests(_parsed(spark, sf_dir)))
 
 
 def q_access_rows(spark, sf_dir):
@@ -160,6 +196,11 @@ BATCH_QUERIES = {
     "sliding_url_counts_1s": q_sliding_url_counts_1s,
     "sliding_url_counts_event_time": q_sliding_url_counts_event_time,
     "top_urls_per_window": q_top_urls_per_window,
+    "top_urls_overall": q_top_urls_overall,
+    "url_ranking": q_url_ranking,
+    "alarms": q_alarms,
+    "status_totals_filled": q_status_totals_filled,
+    "status_totals_1s": q_status_totals_1s,
     "status_totals": q_status_totals,
     "error_alarm": q_error_alarm,
     "agent_counts_per_interval": q_agent_counts_per_interval,

@@ -1,39 +1,47 @@
 """Registered streaming queries.
 
-Each query lands its input (derived from the driver's tables) in key-ordered
-pieces into a fresh folder below the shared checkpoint root, and after every
-piece runs the SAME streaming query on the SAME checkpoint with an
-``availableNow`` trigger: one micro-batch per piece, and a restart from the
-checkpoint before every batch.  The result is the sink's content.
-
-Where the final content must equal a batch query, the oracle SQL is the
-batch one (sliding counts, sessions, latest per key, per-batch SQL by piece).
+Most queries stream over the files of the given table itself: the table's folder is
+the landing folder, ``maxFilesPerTrigger`` bounds a micro-batch (MAX_FILES), and an
+``availableNow`` trigger ends with the last file.  What the agent would write as
+lines is derived per row (FIXTURES.md), so no copy of the table is made.  The result
+is the sink's content.
+
+Where results depend on what a batch holds (training batch by batch, a row limit),
+batches are blocks of the key: blocks of BLOCK_ROWS ids land one after another and the
+same query is restarted from its checkpoint after each; their number follows the data.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import parse_access_log, parse_labeled, with_status_class
+from ..functions.parse import parse_access_log, parse_labeled, parse_vector, with_status_class
 from ..operators.alarm import error_alarm
-from ..operators.online_ml import LinRegState
+from ..operators.online_ml import KMeansState, LinRegState
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
 from ..operators.windows import sliding_counts, status_totals, top_k
 from ..session import new_work_dir
-from ..sources.fixtures import access_lines, regression_lines, status_json, table
-from ..sources.lines import read_lines, read_statuses, status_texts
-from ..streaming.landing import land_in_pieces
+from ..sources.fixtures import (KMEANS_START_CENTERS, access_log, clustering_lines,
+                                regression_lines, status_json, table)
+from ..sources.lines import read_lines, status_texts
 from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
-from ..streaming.sinks import read_latest, sql_per_batch, text_batches, upsert_by_key
-from ..streaming.windows import keep_slice_counts, read_sliding_counts
-from .ml_oracle import REG_POINTS_CTE
-from .oracle import BATCH_SQL
-from .queries import ALARM_SLIDE, ALARM_WINDOW, URL_SLIDE, URL_WINDOW, epoch_s
-
-N_PIECES = 3
-LINE_SCHEMA = "event_id long, ts timestamp, value string"
+from ..streaming.sinks import (await_limit, read_latest, running_totals, sql_per_batch,
+                               text_batches, upsert_by_key)
+from ..streaming.windows import (keep_slice_counts, newest_window_top_k, read_sliding_counts,
+                                 read_status_runs)
+from .ml_oracle import CLUSTER_POINTS_CTE, REG_POINTS_CTE, argmin_sql, distances_sql
+from .oracle import BATCH_SQL, status_run_states
+from .queries import (ALARM_SLIDE, ALARM_WINDOW, TOP_SLIDE, TOP_WINDOW, URL_SLIDE, URL_WINDOW,
+                      epoch_s)
+
+MAX_FILES = 16           # files of the table per micro-batch
+BLOCK_ROWS = 4_000       # ids per landed block
+TEXT_LIMIT = 200         # row limit of stream_text_until_limit
 WATERMARK = "10 minutes"
 
 
@@ -43,54 +51,78 @@ class _Run:
     def __init__(self, spark: SparkSession, name: str):
         root = new_work_dir(spark, name)
         self.landing = f"{root}/landing"
-        self.staging = f"{root}/staging"
         self.checkpoint = f"{root}/checkpoint"
         self.out = f"{root}/out"
 
 
-def _drive(spark, run: _Run, source: DataFrame, key: str, start_query, fmt="parquet",
-           cols: list[str] | None = None):
-    def trigger(_i):
-        q = start_query()
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-    # A stateful query fixes its state partitions at first start (fresh checkpoint
-    # here): size them to the cluster's parallelism, then restore the session value.
-    key_conf = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key_conf)
-    spark.conf.set(key_conf, str(max(8, spark.sparkContext.defaultParallelism)))
+def table_stream(spark: SparkSession, sf_dir: str, name: str,
+                 max_files: int = MAX_FILES) -> DataFrame:
+    """Stream over the files of a table (one file, or a folder of files)."""
+    # a character class: Spark takes the path as a pattern, which may also match one file
+    pattern = f"{sf_dir.rstrip('/')}/{name}[.]parquet"
+    return read_lines(spark, "files", pattern, fmt="parquet",
+                      schema=table(spark, sf_dir, name).schema, max_files_per_trigger=max_files)
+
+
+def _finish(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def _drive(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
+    """Run a query over all files.  A stateful query fixes its state partitions at
+    first start: size them to the cluster's parallelism, then restore the session value."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(8, spark.sparkContext.defaultParallelism)))
     try:
-        land_in_pieces(spark, source, run.landing, run.staging, key, N_PIECES, fmt, trigger,
-                       cols)
+        _finish(start())
     finally:
-        spark.conf.set(key_conf, before)
+        spark.conf.set(key, before)
+
 
+def _blocks(df: DataFrame, key: str, rows: int = BLOCK_ROWS):
+    """(low, high) key ranges of ``rows`` ids each that cover the table."""
+    ends = df.agg(F.min(key), F.max(key)).first()        # two numbers
+    return [(lo, lo + rows) for lo in range(ends[0] // rows * rows, ends[1] + 1, rows)]
 
-def _line_stream(spark, run: _Run) -> DataFrame:
-    return read_lines(spark, "files", run.landing, fmt="parquet", schema=LINE_SCHEMA)
 
+def _land(df: DataFrame, key: str, block: tuple[int, int], folder: str) -> None:
+    """Append the rows of one block (a pushed-down range) to a landing folder; Spark's
+    committer shows files only when they are complete."""
+    df.where((F.col(key) >= block[0]) & (F.col(key) < block[1])).write.mode("append") \
+        .parquet(folder)
 
-def _stream_url_counts(spark, sf_dir, name, slide=URL_SLIDE):
+
+def _lines(spark, sf_dir) -> DataFrame:
+    return access_log(table_stream(spark, sf_dir, "events"))
+
+
+def _stream_url_counts(spark, sf_dir, name, window, slide) -> _Run:
     run = _Run(spark, name)
-    src = access_lines(spark, sf_dir)
 
     def start():
-        urls = to_urls(parse_access_log(_line_stream(spark, run)), carry=["ts"])
-        counts = sliding_counts(urls.withWatermark("ts", WATERMARK), "url", URL_WINDOW,
+        urls = to_urls(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
+        counts = sliding_counts(urls.withWatermark("ts", WATERMARK), "url", window,
                                 slide, time_col="ts")
         rows = counts.select(epoch_s(F.col("window.start")).alias("window_start"),
                              epoch_s(F.col("window.end")).alias("window_end"), "url", "n")
         return upsert_by_key(rows, run.out, ["window_start", "url"], run.checkpoint,
                              output_mode="update")
 
-    _drive(spark, run, src, "event_id", start)
+    _drive(spark, start)
+    return run
+
+
+def _kept_url_counts(spark, run: _Run) -> DataFrame:
     return read_latest(spark, run.out, ["window_start", "url"], ["batch_id"],
                        ["window_end", "n"])
 
 
 def q_stream_sliding_url_counts(spark, sf_dir):
-    return _stream_url_counts(spark, sf_dir, "stream-sliding")
+    return _kept_url_counts(spark, _stream_url_counts(spark, sf_dir, "stream-sliding",
+                                                      URL_WINDOW, URL_SLIDE))
 
 
 def q_stream_sliding_url_counts_1s(spark, sf_dir):
@@ -99,35 +131,50 @@ def q_stream_sliding_url_counts_1s(spark, sf_dir):
     The stream keeps one count per (second, URL) current; the 300 s windows are
     derived when the table is read (streaming/windows.py)."""
     run = _Run(spark, "stream-sliding-1s")
-    src = access_lines(spark, sf_dir)
 
     def start():
-        urls = to_urls(parse_access_log(_line_stream(spark, run)), carry=["ts"])
+        urls = to_urls(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
         return keep_slice_counts(urls, "url", "1 second", run.out, run.checkpoint,
                                  time_col="ts", watermark=WATERMARK)
 
-    _drive(spark, run, src, "event_id", start)
+    _drive(spark, start)
     c = read_sliding_counts(spark, run.out, "url", URL_WINDOW, "1 second")
     return c.select(epoch_s(F.col("window.start")).alias("window_start"),
                     epoch_s(F.col("window.end")).alias("window_end"), "url", "n")
 
 
 def q_stream_top_urls(spark, sf_dir):
-    """Top 10 URLs per window over the counts the stream keeps current (the
-    reference sorts and prints each batch; here any reader ranks the table)."""
-    counts = _stream_url_counts(spark, sf_dir, "stream-top")
-    return top_k(counts.select("window_start", "window_end", "url", "n"), "url", 10,
-                 per="window_start")
+    """Top 10 URLs of every window over the counts that the stream keeps current."""
+    run = _stream_url_counts(spark, sf_dir, "stream-top", TOP_WINDOW, TOP_SLIDE)
+    counts = _kept_url_counts(spark, run).select("window_start", "window_end", "url", "n")
+    return top_k(counts, "url", 10, per="window_start")
+
+
+def q_stream_top_urls_newest(spark, sf_dir):
+    """Top 10 of the newest window, ranked anew in every micro-batch; the result is
+    what the last batch printed."""
+    run = _Run(spark, "stream-top-newest")
+
+    def start():
+        urls = to_urls(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
+        counts = sliding_counts(urls.withWatermark("ts", WATERMARK), "url", TOP_WINDOW,
+                                TOP_SLIDE, time_col="ts")
+        return newest_window_top_k(counts, "url", 10, f"{run.out}/counts", f"{run.out}/top",
+                                   run.checkpoint)
+
+    _drive(spark, start)
+    top = spark.read.parquet(f"{run.out}/top")
+    newest = top.where(F.col("batch_id") == top.agg(F.max("batch_id")).first()[0])
+    return newest.select(epoch_s("window_start").alias("window_start"), "url", "n", "rank")
 
 
 def q_stream_error_alarm(spark, sf_dir):
     """Status totals per sliding window kept up to date by the stream (update
     mode into the keyed sink); the alarm rule runs on the current totals."""
     run = _Run(spark, "stream-alarm")
-    src = access_lines(spark, sf_dir)
 
     def start():
-        classified = with_status_class(parse_access_log(_line_stream(spark, run)))
+        classified = with_status_class(parse_access_log(_lines(spark, sf_dir)))
         totals = status_totals(classified.withWatermark("ts", WATERMARK), ALARM_WINDOW,
                                ALARM_SLIDE, time_col="ts")
         rows = totals.select(epoch_s(F.col("window.start")).alias("window_start"),
@@ -135,7 +182,7 @@ def q_stream_error_alarm(spark, sf_dir):
                              "success", "failure", "other")
         return upsert_by_key(rows, run.out, "window_start", run.checkpoint, output_mode="update")
 
-    _drive(spark, run, src, "event_id", start)
+    _drive(spark, start)
     current = read_latest(spark, run.out, "window_start", ["batch_id"],
                           ["window_end", "success", "failure", "other"])
     a = error_alarm(current)
@@ -143,12 +190,29 @@ def q_stream_error_alarm(spark, sf_dir):
                     F.round("ratio", 6).alias("ratio"), "state")
 
 
+def q_stream_error_alarm_1s(spark, sf_dir):
+    """The alarm at 300 s / 1 s: the stream keeps counts per second and class, windows
+    and states are derived on read, as runs of windows with equal totals; windows
+    without traffic are 0 / 0 / 0."""
+    run = _Run(spark, "stream-alarm-1s")
+
+    def start():
+        classified = with_status_class(parse_access_log(_lines(spark, sf_dir)))
+        return keep_slice_counts(classified, "status_class", "1 second", run.out,
+                                 run.checkpoint, time_col="ts", watermark=WATERMARK)
+
+    _drive(spark, start)
+    a = error_alarm(read_status_runs(spark, run.out, URL_WINDOW, "1 second"))
+    return a.select(epoch_s("first_start").alias("first_start"),
+                    epoch_s("last_start").alias("last_start"), "success", "failure", "other",
+                    F.round("ratio", 6).alias("ratio"), "state")
+
+
 def q_stream_sessions(spark, sf_dir):
     run = _Run(spark, "stream-sessions")
-    src = access_lines(spark, sf_dir)
 
     def start():
-        clicks = to_clicks(parse_access_log(_line_stream(spark, run)), carry=["event_id", "ts"])
+        clicks = to_clicks(parse_access_log(_lines(spark, sf_dir)), carry=["event_id", "ts"])
         closed = sessionize_stream(clicks, gap="30 minutes", max_clicks=10, key="ip",
                                    time_col="ts", tie_col="event_id", watermark=WATERMARK)
         return (closed.writeStream.outputMode("append").format("parquet")
@@ -156,7 +220,7 @@ def q_stream_sessions(spark, sf_dir):
                 .option("checkpointLocation", run.checkpoint)
                 .trigger(availableNow=True).start())
 
-    _drive(spark, run, src, "event_id", start)
+    _drive(spark, start)
     closed = spark.read.parquet(f"{run.out}/closed")
     open_ = session_snapshot(spark, run.checkpoint)
     both = closed.unionByName(open_)
@@ -167,112 +231,150 @@ def q_stream_sessions(spark, sf_dir):
 
 def q_stream_upsert_by_ip(spark, sf_dir):
     run = _Run(spark, "stream-upsert")
-    src = access_lines(spark, sf_dir)
 
     def start():
-        rows = to_access_rows(parse_access_log(_line_stream(spark, run)), carry=["event_id", "ts"])
-        return upsert_by_key(rows, run.out, "ip", run.checkpoint)
+        rows = to_access_rows(parse_access_log(_lines(spark, sf_dir)), carry=["event_id", "ts"])
+        return upsert_by_key(rows, run.out, "ip", run.checkpoint, order_by=["ts", "event_id"])
 
-    _drive(spark, run, src, "event_id", start)
+    _drive(spark, start)
     return read_latest(spark, run.out, "ip", ["ts", "event_id"],
                        ["event_id", "url", "status", "agent"])
 
 
+def q_stream_upsert_row_counts(spark, sf_dir):
+    """Rows that the batches brought to the keyed sink (rejects included), from its ledger."""
+    run = _Run(spark, "stream-upsert-rows")
+
+    def start():
+        rows = to_access_rows(parse_access_log(_lines(spark, sf_dir)), carry=["event_id", "ts"])
+        return upsert_by_key(rows, run.out, "ip", run.checkpoint, order_by=["ts", "event_id"])
+
+    _drive(spark, start)
+    return running_totals(spark, run.out).agg(F.sum("rows").alias("rows"),
+                                              F.max("total").alias("total"))
+
+
 def q_stream_sql_per_batch(spark, sf_dir):
+    """SQL on every batch, keyed by the log's hour; the batches' partial counts add up."""
     run = _Run(spark, "stream-sql")
-    src = access_lines(spark, sf_dir)
 
     def start():
-        req = to_requests(parse_access_log(_line_stream(spark, run)))
-        return sql_per_batch(req, "requests",
-                             "select agent, count(*) as total from requests group by agent",
-                             run.out, run.checkpoint)
+        req = to_requests(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
+        hourly = req.withColumn("hour", F.date_trunc("hour", "ts"))
+        return sql_per_batch(hourly, "requests", "select hour, agent, count(*) as total "
+                             "from requests group by hour, agent", run.out, run.checkpoint)
 
-    _drive(spark, run, src, "event_id", start)
-    return spark.read.parquet(run.out).select(F.col("batch_id").cast("long").alias("batch_id"),
-                                              "agent", "total")
+    _drive(spark, start)
+    return spark.read.parquet(run.out).groupBy(epoch_s("hour").alias("window_start"), "agent") \
+        .agg(F.sum("total").alias("total"))
 
 
 def q_stream_text_batches(spark, sf_dir):
+    """Every status text, written per batch by all partitions."""
     run = _Run(spark, "stream-text")
-    src = status_json(table(spark, sf_dir, "conversations"))
 
     def start():
-        texts = status_texts(read_statuses(spark, run.landing))
-        return text_batches(texts, run.out, run.checkpoint, col="text", files_per_batch=1)
+        statuses = status_json(table_stream(spark, sf_dir, "conversations"))
+        return text_batches(status_texts(statuses), run.out, run.checkpoint, col="text")
 
-    # JSON status documents (one per line) land as text files and are read as JSON.
-    _drive(spark, run, src, "conv_id", start, fmt="text", cols=["value"])
+    _drive(spark, start)
     return spark.read.text(f"{run.out}/batch=*")
 
 
-def q_stream_custom_source(spark, sf_dir):
-    run = _Run(spark, "stream-replay")
-    src = access_lines(spark, sf_dir)
+def q_stream_text_until_limit(spark, sf_dir):
+    """A run that ends at the row limit, then one without: every text exactly once."""
+    run = _Run(spark, "stream-text-limit")
+    statuses = status_json(table(spark, sf_dir, "conversations"))
+    for block in _blocks(statuses, "conv_id", rows=32):
+        _land(statuses, "conv_id", block, run.landing)
 
-    def start():
-        lines = read_lines(spark, "replay", run.landing)
-        urls = to_urls(parse_access_log(lines), carry=["file_index", "line_no"])
-        return (urls.writeStream.outputMode("append").format("parquet")
-                .option("path", run.out).option("checkpointLocation", run.checkpoint)
-                .trigger(availableNow=True).start())
+    def start(limit):
+        landed = read_lines(spark, "files", run.landing, fmt="parquet", schema=statuses.schema,
+                            max_files_per_trigger=1)
+        return text_batches(status_texts(landed), run.out, run.checkpoint, col="text",
+                            max_rows=limit)
+
+    await_limit(start(TEXT_LIMIT))
+    _finish(start(None))
+    return spark.read.text(f"{run.out}/batch=*")
 
-    _drive(spark, run, src, "event_id", start, fmt="text", cols=["value"])
-    return spark.read.parquet(run.out).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
 
+def _train_and_score(spark, sf_dir, name, train_lines, test_lines, train_points, test_points,
+                     initial) -> DataFrame:
+    """Blocks of training and of test lines land in two folders; after each, train on the
+    new training lines, then score the new test lines."""
+    run = _Run(spark, name)
+    events = table(spark, sf_dir, "events")
+    train, test = train_lines(events), test_lines(events)
+    schema = "event_id long, ts timestamp, value string"
 
-def q_stream_linreg_train_score(spark, sf_dir):
-    """Train on each landed piece, then score it with the updated model."""
-    run = _Run(spark, "stream-ml")
-    src = regression_lines(table(spark, sf_dir, "events"))
+    def points(folder, parse):
+        return parse(read_lines(spark, "files", folder, fmt="parquet", schema=schema))
 
-    def points():
-        label, feats = parse_labeled(F.col("value"))
-        return _line_stream(spark, run).select("event_id", label.alias("label"),
-                                               feats.alias("features"))
+    for block in _blocks(events, "event_id"):
+        _land(train, "event_id", block, f"{run.landing}/train")
+        _land(test, "event_id", block, f"{run.landing}/test")
+        _, scoring = train_and_score(
+            points(f"{run.landing}/train", train_points), points(f"{run.landing}/test", test_points),
+            initial, f"{run.out}/model", f"{run.out}/scored", run.checkpoint)
+        _finish(scoring)
+    # the batch of a row is its block, a property of the data
+    first = F.lit(events.agg(F.min("event_id")).first()[0] // BLOCK_ROWS)
+    block = (F.floor(F.col("event_id") / BLOCK_ROWS) - first).cast("long")
+    return spark.read.parquet(f"{run.out}/scored").withColumn("block", block)
 
-    def start():
-        _tq, sq = train_and_score(points(), points(), LinRegState.zeros(1), f"{run.out}/model",
-                                  f"{run.out}/scored", run.checkpoint)
-        return sq
-
-    _drive(spark, run, src, "event_id", start)
-    scored = spark.read.parquet(f"{run.out}/scored")
-    return scored.select(F.col("batch_id").cast("long").alias("batch_id"), "event_id",
-                         F.round("label", 6).alias("label"),
+
+def _labeled(lines: DataFrame) -> DataFrame:
+    label, feats = parse_labeled(F.col("value"))
+    return lines.select("event_id", label.alias("label"), feats.alias("features"))
+
+
+def q_stream_linreg_train_score(spark, sf_dir):
+    """Train on each landed block, then score the block's test lines with the new model."""
+    scored = _train_and_score(spark, sf_dir, "stream-linreg", regression_lines, regression_lines,
+                              _labeled, _labeled, LinRegState.zeros(1))
+    return scored.select("block", "event_id", F.round("label", 6).alias("label"),
                          F.round("prediction", 6).alias("prediction"))
 
 
+def q_stream_kmeans_train_score(spark, sf_dir):
+    """Streaming k-means: training lines "[a, b]", test lines "(label,[a, b])"."""
+    def vectors(lines):
+        return lines.select("event_id", parse_vector(F.col("value")).alias("features"))
+
+    scored = _train_and_score(
+        spark, sf_dir, "stream-kmeans", clustering_lines,
+        lambda events: clustering_lines(events, labeled=True), vectors, _labeled,
+        KMeansState.fixed(KMEANS_START_CENTERS, weight=0.0))
+    return scored.select("block", "event_id", "label", "cluster")
+
+
 STREAM_QUERIES = {
     "stream_sliding_url_counts": q_stream_sliding_url_counts,
     "stream_sliding_url_counts_1s": q_stream_sliding_url_counts_1s,
     "stream_top_urls": q_stream_top_urls,
+    "stream_top_urls_newest": q_stream_top_urls_newest,
     "stream_error_alarm": q_stream_error_alarm,
+    "stream_error_alarm_1s": q_stream_error_alarm_1s,
     "stream_sessions": q_stream_sessions,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
+    "stream_upsert_row_counts": q_stream_upsert_row_counts,
     "stream_sql_per_batch": q_stream_sql_per_batch,
     "stream_text_batches": q_stream_text_batches,
-    "stream_custom_source": q_stream_custom_source,
+    "stream_text_until_limit": q_stream_text_until_limit,
     "stream_linreg_train_score": q_stream_linreg_train_score,
+    "stream_kmeans_train_score": q_stream_kmeans_train_score,
 }
 
-# Pieces are equal event_id ranges in order, one micro-batch each (batch ids 0..N-1).
-_SQL_PER_BATCH = BATCH_SQL["requests_by_agent"].replace(
-    "SELECT CASE WHEN matched THEN agent ELSE 'error' END AS agent, count(*) AS total\nFROM req GROUP BY 1",
-    f"""SELECT CAST(floor((event_id - (SELECT min(event_id) FROM events)) * {N_PIECES}
-                  / ((SELECT max(event_id) FROM events) - (SELECT min(event_id) FROM events) + 1))
-              AS BIGINT) AS batch_id,
-       CASE WHEN matched THEN agent ELSE 'error' END AS agent, count(*) AS total
-FROM req GROUP BY 1, 2""")
-
-# Streaming regression: pieces in event_id order are the micro-batches; each
+# Streaming regression: blocks in event_id order are the micro-batches; each
 # batch runs up to 50 descent steps from the previous weights with the intercept
 # restarted at 1.0, then its rows are scored with the new model.
 _STREAM_LINREG = "WITH RECURSIVE " + REG_POINTS_CTE + f""",
-bounds AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+bounds AS (SELECT min(event_id) // {BLOCK_ROWS} AS lo,
+                  max(event_id) // {BLOCK_ROWS} - min(event_id) // {BLOCK_ROWS} AS last
+           FROM events),
 pp AS (
-  SELECT pts.*, CAST(floor((event_id - lo) * {N_PIECES} / (hi - lo + 1)) AS BIGINT) AS piece
-  FROM pts, bounds
+  SELECT pts.*, CAST(event_id // {BLOCK_ROWS} - lo AS BIGINT) AS piece FROM pts, bounds
 ),
 stats AS (
   SELECT piece, count(*) AS n, sum(x * x) AS sxx, sum(x) AS sx, sum(x * y) AS sxy,
@@ -296,28 +398,65 @@ it AS (
            it.b - (0.1 / sqrt(it.i + 1)) * (((s.sx * it.w + s.n * it.b) - s.sy) / s.n) AS nb
     FROM it JOIN stats s ON s.piece = it.piece
   ) q
-  WHERE NOT (q.adv AND q.piece >= {N_PIECES - 1})
+  WHERE NOT (q.adv AND q.piece >= (SELECT last FROM bounds))
 ),
 models AS (
   SELECT piece, w, b FROM (
     SELECT *, row_number() OVER (PARTITION BY piece ORDER BY i DESC) AS r FROM it) z
   WHERE r = 1
 )
-SELECT pp.piece AS batch_id, pp.event_id, (round(pp.y, 6) + 0.0) AS label,
+SELECT pp.piece AS block, pp.event_id, (round(pp.y, 6) + 0.0) AS label,
        (round(pp.x * m.w + m.b, 6) + 0.0) AS prediction
 FROM pp JOIN models m ON pp.piece = m.piece"""
 
+
+# Streaming k-means with decay 1: the centre of a cluster becomes the mean of its old
+# centre, weighted by the rows it stands for, and of its new rows.  (Clusters that die are
+# split; none does here: every start centre gets rows in the first block.)
+_KK = range(len(KMEANS_START_CENTERS))
+_NOW = [(f"s.a{j}", f"s.b{j}") for j in _KK]
+_STREAM_KMEANS = "WITH RECURSIVE " + CLUSTER_POINTS_CTE + f""",
+bounds AS (SELECT min(event_id) // {BLOCK_ROWS} AS lo FROM events),
+pp AS (SELECT cpts.*, CAST(event_id // {BLOCK_ROWS} - lo AS BIGINT) AS block FROM cpts, bounds),
+s AS (
+  SELECT CAST(-1 AS BIGINT) AS block, {", ".join(
+      f"CAST({a!r} AS DOUBLE) AS a{j}, CAST({b!r} AS DOUBLE) AS b{j}, CAST(0 AS DOUBLE) AS w{j}"
+      for j, (a, b) in enumerate(KMEANS_START_CENTERS))}
+  UNION ALL
+  SELECT block, {", ".join(
+      f"(any_value(a{j}) * any_value(w{j}) + sum(a * (c = {j})::INT)) "
+      f"/ (any_value(w{j}) + sum((c = {j})::INT)), "
+      f"(any_value(b{j}) * any_value(w{j}) + sum(b * (c = {j})::INT)) "
+      f"/ (any_value(w{j}) + sum((c = {j})::INT)), any_value(w{j}) + sum((c = {j})::INT)"
+      for j in _KK)}
+  FROM (SELECT *, {argmin_sql('d', len(_KK))} AS c
+        FROM (SELECT p.block, p.a, p.b, s.* EXCLUDE (block), {distances_sql('d', _NOW)}
+              FROM s JOIN pp p ON p.block = s.block + 1) z) y
+  GROUP BY block
+)
+SELECT block, event_id, label, CAST({argmin_sql('e', len(_KK))} AS INTEGER) AS cluster
+FROM (SELECT pp.block, pp.event_id, pp.label, {distances_sql('e', _NOW)}
+      FROM pp JOIN s ON s.block = pp.block) z"""
+
+_TEXT_LINES = """
+SELECT unnest(string_split(text, chr(10))) AS value FROM conversations"""
+
 STREAM_SQL = {
     "stream_linreg_train_score": _STREAM_LINREG,
+    "stream_kmeans_train_score": _STREAM_KMEANS,
     # every written text comes back as its lines (text files split on newlines)
-    "stream_text_batches": """
-SELECT unnest(string_split(text, chr(10))) AS value FROM conversations WHERE role = 'user'""",
+    "stream_text_batches": _TEXT_LINES,
+    "stream_text_until_limit": _TEXT_LINES,
     "stream_sliding_url_counts": BATCH_SQL["sliding_url_counts"],
     "stream_sliding_url_counts_1s": BATCH_SQL["sliding_url_counts_1s"],
     "stream_top_urls": BATCH_SQL["top_urls_per_window"],
+    "stream_top_urls_newest": "SELECT window_start, url, n, rank FROM ("
+    + BATCH_SQL["top_urls_per_window"] + """) t
+WHERE window_start = (SELECT max(epoch_us(ts)) // 21600000000 * 21600 FROM events)""",
     "stream_error_alarm": BATCH_SQL["error_alarm"],
+    "stream_error_alarm_1s": status_run_states(),
     "stream_sessions": BATCH_SQL["sessions_30m"],
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
-    "stream_sql_per_batch": _SQL_PER_BATCH,
-    "stream_custom_source": BATCH_SQL["url_strict_counts"],
+    "stream_upsert_row_counts": "SELECT count(*) AS rows, count(*) AS total FROM events",
+    "stream_sql_per_batch": BATCH_SQL["agent_counts_per_interval"],
 }

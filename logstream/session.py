@@ -27,12 +27,16 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_spark(master: str = "local[*]", shuffle_partitions: int | None = None,
               app_name: str = "logstream", extra: dict | None = None) -> SparkSession:
+    """A session with the library's defaults.  The number of shuffle partitions is the
+    caller's or the cluster's; only local masters get a small one by default."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master.startswith("local"):
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local[") or master == "local":
+        conf.setdefault("spark.sql.shuffle.partitions", "8")
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
@@ -47,8 +51,9 @@ def shared_root(spark: SparkSession) -> str:
     """Folder for checkpoints and written tables, shared by the cluster.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set (local tests) a fresh temporary folder is created and
-    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` uses it too.
+    when neither is set on a local master a fresh temporary folder is created and
+    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` uses it too;
+    on a cluster that is an error, as executors would each write to their own disk.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -56,6 +61,9 @@ def shared_root(spark: SparkSession) -> str:
     ctx_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if ctx_dir.isDefined():
         return ctx_dir.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="logstream-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
@@ -66,13 +74,10 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that use Python file I/O."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path) if not path.startswith("/") else path
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any Hadoop file system exists (errors are raised)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 _SHIPPED: set[str] = set()
@@ -83,7 +88,7 @@ def ship_package(spark: SparkSession) -> None:
     (what ``--py-files`` does at submit time).  The zip is built in memory and
     written below the shared root (Hadoop FileSystem API), then added with
     ``addPyFile``.  Needed only by the few operators that run Python on
-    executors (stateful sessions, the replay source); idempotent per application."""
+    executors; idempotent per application."""
     import hashlib
     import io
     import zipfile

@@ -21,6 +21,8 @@ MALFORMED_MODULUS = 50
 EVENT_TYPES = ["signup", "error", "click", "view", "purchase"]
 #   Start centers of the clustering fixture ([value/100, k/100]).
 KMEANS_START_CENTERS = [[0.25, 0.25], [0.75, 0.75], [1.5, 0.25], [2.5, 0.75], [4.0, 0.5]]
+#   Sparse vectors: value/100 at index k of SPARSE_DIM.
+SPARSE_DIM = 100
 #   Wide clustering (embeddings, 64 dims): center j is WIDE_CENTER_VALUE in the
 #   dimensions d with d % 5 == j and 0 elsewhere (a rule, not a table).
 WIDE_K = 5
@@ -79,10 +81,9 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_json(conversations: DataFrame) -> DataFrame:
-    """User turns as tweet-like JSON status documents: (conv_id, turn, value)."""
-    return (conversations.where(F.col("role") == "user")
-            .select("conv_id", "turn",
-                    F.to_json(F.struct(F.col("text").alias("text"))).alias("value")))
+    """Turns as tweet-like JSON status documents: (conv_id, turn, value)."""
+    return conversations.select("conv_id", "turn",
+                                F.to_json(F.struct(F.col("text").alias("text"))).alias("value"))
 
 
 def regression_lines(events: DataFrame) -> DataFrame:
@@ -112,3 +113,18 @@ def clustering_lines(events: DataFrame, labeled: bool = False) -> DataFrame:
                        F.lit(","), vec, F.lit(")"))
     return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"),
                          vec.alias("value"))
+
+
+def sparse_lines(events: DataFrame) -> DataFrame:
+    """Sparse vectors "(SPARSE_DIM,[k],[value/100])"."""
+    text = F.concat(F.lit(f"({SPARSE_DIM},["), _k(F.col("props")).cast("string"), F.lit("],["),
+                    (F.col("value") / 100.0).cast("string"), F.lit("])"))
+    return events.select("event_id", text.alias("value"))
+
+
+def legacy_lines(events: DataFrame) -> DataFrame:
+    """Labeled points in the legacy form "label,a b"."""
+    text = F.concat(_label_of_type(F.col("event_type")).cast("double").cast("string"), F.lit(","),
+                    (F.col("value") / 100.0).cast("string"), F.lit(" "),
+                    (_k(F.col("props")) / 100.0).cast("string"))
+    return events.select("event_id", text.alias("value"))

@@ -7,7 +7,7 @@ column per log line, batch or streaming.
 | Kafka direct stream         | ``read_lines(spark, "kafka", servers=, topics=)``|
 | Kinesis stream              | ``read_lines(spark, "kinesis", stream=, ...)``  |
 | Flume push / pull           | agent lands files: ``read_lines(spark, "files")``|
-| custom receiver             | ``read_lines(spark, "replay", path=)`` (S2)     |
+| custom receiver             | its feed lands as files: ``read_lines("files")``|
 | Twitter stream              | JSON status files: ``read_statuses``            |
 | static scan (oracle path)   | ``read_lines(spark, "batch", path=)``           |
 """
@@ -51,8 +51,6 @@ def _source_options(kind: str, **kw) -> tuple[str, dict]:
         return "kinesis", {"streamName": kw["stream"], "endpointUrl": kw["endpoint"],
                            "region": kw.get("region", "us-east-1"),
                            "startingPosition": kw.get("starting_position", "LATEST")}
-    if kind == "replay":
-        return "replay_lines", {"path": kw["path"]}
     raise ValueError(f"unknown source kind {kind!r}")
 
 
@@ -77,13 +75,6 @@ def read_lines(spark: SparkSession, kind: str, path: str | None = None, *,
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.load(path)
-    if kind == "replay":
-        from .replay import register_replay_source
-        register_replay_source(spark)
-        if max_files_per_trigger:
-            raise ValueError("the replay source reads all newly landed files per trigger; "
-                             "bound batches by the landing cadence")
-        kw["path"] = path
     fmt_name, opts = _source_options(kind, **kw)
     df = spark.readStream.format(fmt_name).options(**opts).load()
     if kind in ("kafka", "kinesis"):

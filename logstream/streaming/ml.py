@@ -15,12 +15,11 @@ import json
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.online_ml import (KMeansState, LinRegState, kmeans_score, kmeans_train_batch,
                                    linreg_score, linreg_train_batch)
-from .sinks import run_batches
+from .sinks import newest_batch, run_batches
 
 _KINDS = {"linreg": LinRegState, "kmeans": KMeansState}
 
@@ -32,17 +31,14 @@ def save_model(spark: SparkSession, model_dir: str, batch_id: int, state) -> Non
 
 
 def load_model(spark: SparkSession, model_dir: str, before: int | None = None):
-    """Newest saved model (optionally from a batch before ``before``), or None."""
-    try:
-        rows = spark.read.schema("batch_id long, model string").json(model_dir)
-    except Exception:
-        return None
-    if before is not None:
-        rows = rows.where(F.col("batch_id") < before)
-    row = rows.orderBy(F.col("batch_id").desc()).select("model").first()  # one row
-    if row is None:
+    """Newest saved model (optionally from a batch before ``before``), or None.
+
+    Reads one folder, whatever the number of batches before it."""
+    newest = newest_batch(spark, model_dir, "batch", before)
+    if newest is None:
         return None
-    data = json.loads(row["model"])
+    rows = spark.read.schema("batch_id long, model string").json(f"{model_dir}/batch={newest}")
+    data = json.loads(rows.first()["model"])
     cls = LinRegState if data["kind"] == "LinRegState" else KMeansState
     return cls(**data["state"])
 

@@ -2,17 +2,19 @@
 
 The state of a key is a short list of *segments*: maximal runs of its clicks
 in which consecutive clicks are at most ``gap`` apart, each with start, end,
-count and its first ``max_clicks`` (time, tie, url) entries.  New rows are cut
-into segments and merged with the stored ones (two segments join when they are
-at most ``gap`` apart), so rows may arrive in any order within the watermark
-and the sessions still equal the batch result.  A segment is final once the
-watermark passes ``end + gap`` (no later row can reach it): it is emitted and
-dropped; an event-time timeout at the earliest such point wakes idle keys.
-
-State per key is bounded by (watermark delay + gap) / gap segments of at most
-``max_clicks`` entries each, whatever the key's row rate.  Rows of one key in
-a micro-batch reach the function as a stream of Arrow batches and are folded
-into that bounded state chunk by chunk.
+count and its first ``max_clicks`` (time, tie, url) entries.  Two segments join
+when they are at most ``gap`` apart, so rows may arrive in any order within the
+watermark and the sessions still equal the batch result.  A segment is final
+once the watermark passes ``end + gap`` (no later row can reach it): it is
+emitted and dropped; an event-time timeout at the earliest such point wakes
+idle keys.
+
+Before the shuffle every task cuts its rows into segments per key (a map-side
+combine), so what reaches a key's state function in a micro-batch is at most
+tasks x (batch time span / gap) segments of ``max_clicks`` entries, whatever the
+key's row rate.  Between batches a key holds at most (watermark delay + gap) /
+gap segments; while a batch is folded in, also those of the batch's time span.
+A segment is late as a whole, when its end is before the watermark.
 """
 
 from __future__ import annotations
@@ -49,11 +51,9 @@ def _merge(segs: list[dict], g: int, max_clicks: int) -> list[dict]:
     return out
 
 
-def _chunk_segments(pdf: pd.DataFrame, g: int, max_clicks: int) -> list[dict]:
-    """Cut one Arrow batch of a key's rows into gap-closed segments."""
-    t = pdf["_t"].to_numpy(dtype="int64")
-    tie = pdf["_tie"].to_numpy(dtype="int64")
-    v = pdf["_v"].to_numpy(dtype=object)
+def _row_segments(t: np.ndarray, tie: np.ndarray, v: np.ndarray, g: int,
+                  max_clicks: int) -> list[dict]:
+    """Cut rows of one key into gap-closed segments."""
     order = np.lexsort((tie, t))
     t, tie, v = t[order], tie[order], v[order]
     bounds = [0, *(np.flatnonzero(np.diff(t) > g) + 1).tolist(), len(t)]
@@ -65,18 +65,59 @@ def _chunk_segments(pdf: pd.DataFrame, g: int, max_clicks: int) -> list[dict]:
     return segs
 
 
+_SEGMENTS = ("_k string, _end timestamp, _s long, _e long, _n long, "
+             "_firsts array<struct<t:long,tie:long,v:string>>")
+COMBINE_KEYS = 50_000    # keys a task combines before it passes their segments on
+
+
+def _combine(g: int, max_clicks: int):
+    """Per task: rows to segments per key, merged over the task's Arrow batches."""
+    def emit(held: dict) -> pd.DataFrame:
+        flat = [(k, s) for k, segs in held.items() for s in segs]
+        return pd.DataFrame({
+            "_k": [k for k, _ in flat],
+            "_end": pd.to_datetime([s["end"] for _, s in flat], unit="us"),
+            "_s": [s["start"] for _, s in flat], "_e": [s["end"] for _, s in flat],
+            "_n": [s["n"] for _, s in flat], "_firsts": [s["firsts"] for _, s in flat]})
+
+    def fn(pdfs):
+        held: dict = {}
+        for pdf in pdfs:
+            keys = pdf["_k"].to_numpy(dtype=object)
+            codes, uniques = pd.factorize(keys, use_na_sentinel=False)
+            t = pdf["_t"].to_numpy(dtype="int64")
+            tie = pdf["_tie"].to_numpy(dtype="int64")
+            v = pdf["_v"].to_numpy(dtype=object)
+            by_key = np.argsort(codes, kind="stable")
+            cuts = np.flatnonzero(np.diff(codes[by_key])) + 1
+            for at in np.split(by_key, cuts) if len(by_key) else []:
+                k = uniques[codes[at[0]]]
+                k = k if isinstance(k, str) else None
+                held[k] = _merge(held.get(k, []) + _row_segments(
+                    t[at], tie[at], v[at], g, max_clicks), g, max_clicks)
+            if len(held) >= COMBINE_KEYS:
+                yield emit(held)
+                held = {}
+        if held:
+            yield emit(held)
+    return fn
+
+
+def _as_dicts(firsts) -> list[dict]:
+    return [f.asDict() if hasattr(f, "asDict") else dict(f) for f in firsts]
+
+
 def _session_fn(g: int, max_clicks: int):
     def fn(key, pdfs, state):
         segs = []
         if state.exists:
             segs = [{"start": s["start"], "end": s["end"], "n": s["n"],
-                     "firsts": [dict(f.asDict()) if hasattr(f, "asDict") else dict(f)
-                                for f in s["firsts"]]}
-                    for s in state.get[0]]
+                     "firsts": _as_dicts(s["firsts"])} for s in state.get[0]]
         if not state.hasTimedOut:
             for pdf in pdfs:
-                if len(pdf):
-                    segs = _merge(segs + _chunk_segments(pdf, g, max_clicks), g, max_clicks)
+                segs += [{"start": int(a), "end": int(e), "n": int(n), "firsts": _as_dicts(f)}
+                         for a, e, n, f in zip(pdf["_s"], pdf["_e"], pdf["_n"], pdf["_firsts"])]
+            segs = _merge(segs, g, max_clicks)
         wm_us = state.getCurrentWatermarkMs() * 1000
         done = [s for s in segs if s["end"] + g < wm_us]
         keep = [s for s in segs if s["end"] + g >= wm_us]
@@ -97,6 +138,18 @@ def _session_fn(g: int, max_clicks: int):
     return fn
 
 
+def segments(clicks: DataFrame, gap: str | int, max_clicks: int, key: str, time_col: str,
+             value_col: str, tie_col: str | None) -> DataFrame:
+    """Clicks reduced to segments per key inside each task (no shuffle)."""
+    ship_package(clicks.sparkSession)
+    tie = F.col(tie_col).cast("long") if tie_col else F.lit(0).cast("long")
+    rows = (clicks.where(F.col(time_col).isNotNull())
+            .select(F.col(key).cast("string").alias("_k"),
+                    F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"),
+                    tie.alias("_tie"), F.col(value_col).cast("string").alias("_v")))
+    return rows.mapInPandas(_combine(gap_micros(gap), max_clicks), _SEGMENTS)
+
+
 def sessionize_stream(clicks: DataFrame, gap: str | int = DEFAULT_GAP,
                       max_clicks: int = DEFAULT_MAX_CLICKS, key: str = "ip",
                       time_col: str = "event_time", value_col: str = "url",
@@ -107,16 +160,10 @@ def sessionize_stream(clicks: DataFrame, gap: str | int = DEFAULT_GAP,
     clickstream.  Sessions still open at the end of the input stay in the
     state store; read them with :func:`session_snapshot`.
     """
-    ship_package(clicks.sparkSession)
-    g = gap_micros(gap)
-    tie = F.col(tie_col).cast("long") if tie_col else F.lit(0).cast("long")
-    rows = (clicks.where(F.col(time_col).isNotNull())
-            .withWatermark(time_col, watermark)
-            .select(F.col(key).cast("string").alias("_k"), F.col(time_col),
-                    F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"),
-                    tie.alias("_tie"), F.col(value_col).cast("string").alias("_v")))
-    out = rows.groupBy("_k").applyInPandasWithState(
-        _session_fn(g, max_clicks), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    rows = segments(clicks, gap, max_clicks, key, time_col, value_col, tie_col)
+    out = rows.withWatermark("_end", watermark).groupBy("_k").applyInPandasWithState(
+        _session_fn(gap_micros(gap), max_clicks), _OUT, _STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
     return out.select(F.col("key").alias(key),
                       F.timestamp_micros("session_start").alias("session_start"),
                       F.timestamp_micros("session_end").alias("session_end"),

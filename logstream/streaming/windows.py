@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.windows import counts_per_interval, sliding_from_slices
-from .sinks import read_latest, upsert_by_key
+from ..operators.windows import (counts_per_interval, sliding_from_slices, status_sums, top_k)
+from .sinks import read_latest, run_batches, upsert_by_key
 
 
 def _keys(key) -> list[str]:
@@ -40,3 +40,37 @@ def read_sliding_counts(spark: SparkSession, table_dir: str, key, window: str,
     keys = _keys(key)
     slices = read_latest(spark, table_dir, ["slice_start", *keys], ["batch_id"], ["n"])
     return sliding_from_slices(slices, keys, window, slide)
+
+
+def read_status_runs(spark: SparkSession, table_dir: str, window: str, slide: str) -> DataFrame:
+    """Status totals from kept slices of ``status_class``, as in ``status_runs``."""
+    slices = read_latest(spark, table_dir, ["slice_start", "status_class"], ["batch_id"], ["n"])
+    sums = status_sums(F.col("n"))
+    wide = slices.groupBy("slice_start").agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    return sliding_from_slices(wide, None, window, slide, count_col=list(sums), fill=True,
+                               expand=False)
+
+
+def newest_window_top_k(counts: DataFrame, key: str, k: int, table_dir: str, out_dir: str,
+                        checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """In every micro-batch, the k largest counts of the newest window.
+
+    ``counts``: streaming ``sliding_counts`` (update mode).  A batch brings only the
+    counts that changed; they are kept by (window, key) in ``table_dir``, and the newest
+    window is read from there (a pushed-down filter) and ranked.  Written to
+    ``out_dir/batch_id=<id>``: window_start, key, n, rank.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        rows = df.select(F.col("window.start").alias("window_start"), key, "n")
+        rows.write.mode("overwrite").parquet(f"{table_dir}/log/batch_id={batch_id}")
+        kept = spark.read.parquet(f"{table_dir}/log")
+        newest = kept.agg(F.max("window_start")).first()[0]      # one time
+        if newest is None:
+            return
+        current = read_latest(spark, table_dir, ["window_start", key], ["batch_id"], ["n"]) \
+            .where(F.col("window_start") == F.lit(newest))
+        top_k(current, key, k, per="window_start").write.mode("overwrite").parquet(
+            f"{out_dir}/batch_id={batch_id}")
+
+    return run_batches(counts, write, checkpoint, trigger, output_mode="update")

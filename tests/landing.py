@@ -1,4 +1,4 @@
-"""Landing directories: how an agent (the reference's Flume / netcat role)
+"""Landing directories for tests: how an agent (the reference's Flume / netcat role)
 delivers data to a stream.  A piece is written to a staging folder by Spark,
 then its part files are renamed into the watched folder, so a stream never
 sees a half-written file.  Pieces are split by a key range (every row lands
@@ -8,7 +8,6 @@ exactly once), in key order.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -17,16 +16,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def piece_of(col: str, lo: int, hi: int, n: int):
-    """Piece number 0..n-1 of an integer key in [lo, hi] (equal-width ranges)."""
-    return F.floor((F.col(col) - F.lit(lo)) * F.lit(n) / F.lit(hi - lo + 1)).cast("int")
-
-
-def key_bounds(df: DataFrame, col: str) -> tuple[int, int]:
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()   # two numbers
-    return int(row["lo"]), int(row["hi"])
-
-
 def land_piece(spark: SparkSession, df: DataFrame, landing_dir: str, staging_dir: str,
                name: str, fmt: str = "parquet") -> int:
     """Write ``df`` with Spark into staging, then move its files into the landing
@@ -51,21 +40,3 @@ def land_piece(spark: SparkSession, df: DataFrame, landing_dir: str, staging_dir
         fs.rename(st.getPath(), target)
         moved += 1
     return moved
-
-
-def land_in_pieces(spark: SparkSession, df: DataFrame, landing_dir: str, staging_dir: str,
-                   key: str, n_pieces: int, fmt: str = "parquet", on_landed=None,
-                   cols: list[str] | None = None) -> list[int]:
-    """Land ``df`` as ``n_pieces`` key-ordered pieces (only ``cols`` if given);
-    ``on_landed(i)`` runs after each piece (e.g. one streaming trigger).
-    Returns the number of files per piece."""
-    lo, hi = key_bounds(df, key)
-    counts = []
-    for i in range(n_pieces):
-        part = df.where(piece_of(key, lo, hi, n_pieces) == i)
-        if cols:
-            part = part.select(*cols)
-        counts.append(land_piece(spark, part, landing_dir, staging_dir, f"piece-{i:05d}", fmt))
-        if on_landed is not None:
-            on_landed(i)
-    return counts

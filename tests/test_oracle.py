@@ -5,11 +5,12 @@ run here on sf0.001 so the suite stays quick.  Streaming keys included."""
 import pytest
 
 import __spark_entry__ as E
+from logstream.plans.registry import all_queries, all_sql
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+SQL = all_sql()
+QUERIES = all_queries()
 
 
 def test_every_sql_key_is_a_query():

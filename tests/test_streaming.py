@@ -1,6 +1,6 @@
 """Streaming operators: batch/stream parity with out-of-order arrival,
-late rows, sink stop rule and replays, keyed rejects, the replayable
-source across restarts, and source/JDBC option mapping (no servers)."""
+late rows, sink stop rule and restarts, keyed rejects and compaction,
+and source/JDBC option mapping (no servers)."""
 
 import datetime as dt
 import random
@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from logstream.operators.sessions import sessionize
 from logstream.operators.windows import sliding_counts
-from logstream.sources.lines import _source_options, decode_messages, read_lines
-from logstream.streaming.landing import land_piece
+from logstream.sources.lines import _source_options, decode_messages
+from landing import land_piece
 from logstream.streaming.sessions import session_snapshot, sessionize_stream
-from logstream.streaming.sinks import (compact_keyed_table, jdbc_append, ledger_total,
-                                       read_latest, text_batches, upsert_by_key)
+from logstream.streaming import sinks
+from logstream.streaming.sinks import (await_limit, compact_keyed_table, jdbc_append, ledger_total,
+                                       read_latest, running_totals, text_batches, upsert_by_key)
 
 BASE = dt.datetime(2024, 1, 1)
 CLICKS = "event_id long, ts timestamp, ip string, url string"
@@ -98,25 +99,41 @@ def test_late_row_is_dropped_and_counted(spark, workdir):
     assert dropped >= 1 and "/late" not in seen
 
 
-def test_text_batches_stop_rule_and_restart(spark, workdir):
+def test_row_limit_leaves_unread_rows_for_the_next_start(spark, workdir):
     landing, staging, ckpt, out = (f"{workdir}/{x}" for x in ("in", "stage", "ckpt", "out"))
     docs = spark.createDataFrame([(i, f'{{"text": "t{i}"}}') for i in range(12)],
                                  "i int, value string")
 
-    def start():
+    def start(max_rows):
         s = spark.readStream.schema("text string").json(landing)
-        return text_batches(s, out, ckpt, col="text", files_per_batch=1, max_rows=5)
+        return text_batches(s, out, ckpt, col="text", max_rows=max_rows)
 
+    ended = []
     for piece in range(3):
         land_piece(spark, docs.where(F.floor(F.col("i") / 4) == piece).select("value"),
                    landing, staging, f"p{piece}", "text")
-        _run_once(start())
-    assert ledger_total(spark, out) == 8      # 4 + 4 (> 5), third batch not written
-    from logstream.streaming.sinks import running_totals
-    assert [(r["rows"], r["total"]) for r in running_totals(spark, out).collect()] == \
-        [(4, 4), (4, 8)]
+        ended.append(await_limit(start(5)))
+    assert ended == [False, False, True]
+    assert ledger_total(spark, out) == 8      # 4 + 4 (> 5), the third batch stays unread
+    assert not await_limit(start(None))       # and is written by a start without a limit
+    assert sorted((r["rows"], r["total"]) for r in running_totals(spark, out).collect()) == \
+        [(4, 4), (4, 8), (4, 12)]
     written = spark.read.text(f"{out}/batch=*").collect()
-    assert sorted(r["value"] for r in written) == sorted(f"t{i}" for i in range(8))
+    assert sorted(r["value"] for r in written) == sorted(f"t{i}" for i in range(12))
+
+
+def test_hot_key_reaches_state_as_few_segments(spark):
+    """Rows of a key that a task passes on do not grow with the key's rate."""
+    from logstream.streaming.sessions import segments
+    sizes = []
+    for n in (2_000, 40_000):
+        rows = spark.range(n, numPartitions=2).select(
+            F.col("id").alias("event_id"), F.lit("error").alias("ip"), F.lit("/a").alias("url"),
+            F.timestamp_micros(F.col("id") * F.lit(3_600_000_000 // n)).alias("ts"))
+        got = segments(rows, "30 minutes", 10, "ip", "ts", "url", "event_id").collect()
+        assert sum(r["_n"] for r in got) == n
+        sizes.append(len(got))
+    assert sizes == [2, 2]
 
 
 def test_upsert_keeps_latest_and_rejects_null_keys(spark, workdir):
@@ -152,25 +169,14 @@ def test_upsert_keeps_latest_and_rejects_null_keys(spark, workdir):
     again = {r["ip"]: r["url"] for r in read_latest(spark, out, "ip", ["ts", "event_id"],
                                                       ["url"]).collect()}
     assert again == latest
+    names = [f.getPath().getName() for d in ("log", "snapshot") for f in _listed(spark, f"{out}/{d}")]
+    assert [n for n in names if "=" in n] == ["upto=2"]      # folded folders are gone
 
 
-def test_replay_source_resumes_after_restart(spark, workdir):
-    landing, staging, ckpt, out = (f"{workdir}/{x}" for x in ("in", "stage", "ckpt", "out"))
-    lines = spark.createDataFrame([(i, f"line {i}") for i in range(30)], "i int, value string")
-
-    def start():
-        s = read_lines(spark, "replay", landing)
-        return (s.writeStream.format("parquet").option("path", out)
-                .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-
-    land_piece(spark, lines.where("i < 10").select("value"), landing, staging, "p0", "text")
-    _run_once(start())
-    land_piece(spark, lines.where("i >= 10").select("value"), landing, staging, "p1", "text")
-    _run_once(start())
-    _run_once(start())            # nothing new: no duplicates
-    got = spark.read.parquet(out)
-    assert got.count() == 30
-    assert sorted(r["value"] for r in got.collect()) == sorted(f"line {i}" for i in range(30))
+def _listed(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.listStatus(p) if fs.exists(p) else []
 
 
 def test_source_option_mapping_and_decode(spark):
@@ -186,9 +192,11 @@ def test_source_option_mapping_and_decode(spark):
     assert decode_messages(raw).collect()[0]["value"] == "héllo line"
 
 
-def test_jdbc_append_skips_replayed_batches(spark, workdir, monkeypatch):
+def test_jdbc_append_deletes_the_batch_before_it_appends(spark, workdir, monkeypatch):
     from pyspark.sql import readwriter
     calls = []
+    monkeypatch.setattr(sinks, "_delete_batch", lambda s, url, table, batch_id, props:
+                        calls.append(("delete", table, batch_id)))
     monkeypatch.setattr(readwriter.DataFrameWriter, "jdbc",
                         lambda self, url, table, mode=None, properties=None:
                         calls.append((url, table, mode)))
@@ -196,7 +204,7 @@ def test_jdbc_append_skips_replayed_batches(spark, workdir, monkeypatch):
     land_piece(spark, spark.createDataFrame(_clicks(5), CLICKS), landing, staging, "p0")
     s = spark.readStream.schema(CLICKS).parquet(landing)
     _run_once(jdbc_append(s, "jdbc:none://x", "requests", ckpt))
-    assert calls == [("jdbc:none://x", "requests", "append")]
+    assert calls == [("delete", "requests", 0), ("jdbc:none://x", "requests", "append")]
 
 
 def test_two_step_sliding_counts_stream_append_equals_batch(spark, workdir):
