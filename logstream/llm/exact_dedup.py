@@ -154,10 +154,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chain = _chained(members)
     linked = [part.groupBy("__hash", "__link").agg(
         F.max(F.struct("__id", "__row")).alias("__last"),
-        F.count(F.lit(1)).alias("__size")) for part in chain]
+        F.count(F.lit(1)).alias("__size"), F.lit(True).alias("__shared")) for part in chain]
     links = alone.select("__hash", F.lit(0).alias("__link"), F.struct(
         "__id", F.lit(0).cast("long").alias("__row")).alias("__last"),
-        F.lit(1).cast("long").alias("__size"))
+        F.lit(1).cast("long").alias("__size"), F.lit(False).alias("__shared"))
     for part in linked:
         links = links.unionByName(part)
     index = _owned(links, capacity, max_depth)
@@ -165,7 +165,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = alone.select("__id", F.col("__id").alias("__keep_id"),
                        F.lit(1).cast("long").alias("__group_size"),
                        F.lit(True).alias("__kept"), "__sha")
-    entries = index.where("__size > 1 OR __link > 0").select(
+    entries = index.where("__shared").select(
         F.col("__hash").alias("__h"), F.col("__link").alias("__l"), "__last", "__size")
     for part in chain:
         out = out.unionByName(part.join(entries, (F.col("__hash") == F.col("__h")) & (
