@@ -137,6 +137,7 @@ def with_status_class(parsed: DataFrame) -> DataFrame:
 #   labeled "(1.0,[2.0,3.0])"   or legacy "1.0,2.0 3.0"
 # ---------------------------------------------------------------------------
 
+MAX_SPARSE_DIM = 65_536      # of sparse vectors whose dimension the caller does not name
 _SPARSE = r"^\(\s*(\d+)\s*,\s*(\[[^\]]*\])\s*,\s*(\[[^\]]*\])\s*\)$"
 
 
@@ -144,26 +145,25 @@ def parse_vector(text: Column, dim: int | None = None) -> Column:
     """array<double> from a dense or sparse vector text; NULL on bad input.
 
     A sparse text names its own size, so it is read only when that is the
-    expected ``dim`` (else NULL): the array a row expands to is never chosen by
-    the input.  Indices must be distinct and inside the vector.
+    expected ``dim``, or, with none given, at most MAX_SPARSE_DIM (else NULL): the
+    input never chooses how large an array a row expands to.  Indices must be
+    distinct and inside the vector.
     """
     s = F.trim(text)
     dense = F.from_json(s, "array<double>")
     size = F.regexp_extract(s, _SPARSE, 1).try_cast("int")
     idx = F.from_json(F.regexp_extract(s, _SPARSE, 2), "array<int>")
     vals = F.from_json(F.regexp_extract(s, _SPARSE, 3), "array<double>")
-    if dim is None:
-        return F.when(s.startswith("["), dense)
-    if dim == 0:
-        return F.when(s.startswith("["), dense).when(
-            s.startswith("(") & (size == 0), F.array().cast("array<double>"))
-    usable = (s.startswith("(") & (size == dim) & (F.size(idx) == F.size(vals))
+    wanted = size <= MAX_SPARSE_DIM if dim is None else size == dim
+    usable = (s.startswith("(") & wanted & (F.size(idx) == F.size(vals))
               & (F.size(F.array_distinct(idx)) == F.size(idx))
-              & F.forall(idx, lambda i: i.isNotNull() & (i >= 0) & (i < dim)))
+              & F.forall(idx, lambda i: i.isNotNull() & (i >= 0) & (i < size)))
     at = F.map_from_arrays(idx, vals)
-    sparse = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+    sparse = F.transform(F.sequence(F.lit(0), size - 1),
                          lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0.0)))
-    return F.when(s.startswith("["), dense).when(usable, sparse)
+    return (F.when(s.startswith("["), dense)
+            .when(usable & (size == 0), F.array().cast("array<double>"))
+            .when(usable, sparse))
 
 
 _LABELED = r"^\(\s*([^,()\[\]]+?)\s*,\s*(.*\S)\s*\)$"

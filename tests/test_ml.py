@@ -72,3 +72,21 @@ def test_kmeans_update_and_split(spark):
     lam = 2 / (4 * 0.5 + 2)
     assert m2.weights == [4.0, 2.0]
     assert np.allclose(m2.centers[0], [(1 - lam) * 0 + lam * 1.0, 0.0])
+
+
+def test_bad_vectors_neither_train_nor_score(spark):
+    from logstream.operators.online_ml import (KMeansState, LinRegState, kmeans_assign,
+                                               kmeans_train_batch, linreg_score, linreg_stats,
+                                               rejected)
+    rows = [(0.0, [4.0]), (0.0, [None, None]), (0.0, [0.2, 0.2]), (0.0, None), (1.0, [3.0, 3.0, 3.0])]
+    df = spark.createDataFrame(rows, "label double, features array<double>")
+    start = KMeansState.fixed([[0.0, 0.0], [5.0, 5.0]], weight=1.0)
+    trained = kmeans_train_batch(df, start)
+    assert trained.centers == [[0.1, 0.1], [5.0, 5.0]] and rejected(df, 2).count() == 4
+    assert [r["cluster"] for r in kmeans_assign(df, start).collect()] == [None, None, 0, None, None]
+    only_bad = kmeans_train_batch(df.where("size(features) != 2"), start)
+    assert only_bad.centers[1] == [5.0, 5.0]
+    n, a, _ = linreg_stats(df, 1)
+    assert n == 1 and a[0, 0] == 16.0 and a[1, 1] == 1.0
+    got = linreg_score(df, LinRegState([2.0], 1.0)).collect()
+    assert [r["prediction"] for r in got] == [9.0, None, None, None, None]

@@ -107,3 +107,20 @@ def test_vectors_and_labeled_points(spark):
     rows = lab.select(l.alias("l"), f.alias("f")).collect()
     assert [(r["l"], r["f"]) for r in rows] == [(1.5, [2.0, 3.0]), (2.0, [1.0, 2.0]),
                                                 (0.0, [0.0, 5.0])]
+
+
+def test_sparse_vectors_of_another_size_or_with_bad_indices_are_null(spark):
+    df = spark.createDataFrame(
+        [("(3,[0,2],[1.0,4.0])",), ("(2000000000,[0],[1.0])",), ("(3,[0,0],[1.0,2.0])",),
+         ("(3,[3],[1.0])",), ("(3,[-1],[1.0])",), ("(3,[0,1],[1.0])",), ("(0,[],[])",),
+         ("(3,[],[])",), (None,)], "v string")
+    free = [r["x"] for r in df.select(parse_vector(F.col("v")).alias("x")).collect()]
+    assert free == [[1.0, 0.0, 4.0], None, None, None, None, None, [], [0.0] * 3, None]
+    four = [r["x"] for r in df.select(parse_vector(F.col("v"), dim=4).alias("x")).collect()]
+    assert four == [None] * 9
+
+
+def test_legacy_points_with_a_bad_number_have_no_features(spark):
+    df = spark.createDataFrame([("1.0,2.0 x",), ("1.0,2.0 3.0",)], "v string")
+    _, feats = parse_labeled(F.col("v"))
+    assert [r["f"] for r in df.select(feats.alias("f")).collect()] == [None, [2.0, 3.0]]

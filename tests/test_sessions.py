@@ -63,3 +63,14 @@ def test_gap_boundary_and_first_ten(spark):
     hot = [s for s in got if s[0] == "hot"]
     assert max(s[3] for s in hot) > 10 and all(len(s[4]) <= 10 for s in hot)
     assert any(s[0] is None for s in got)            # NULL ip sessions kept
+
+
+def test_sessions_across_1970(spark):
+    """Buckets are floors also for times before the epoch."""
+    t = lambda *a: dt.datetime(*a)
+    df = spark.createDataFrame([(1, t(1969, 12, 31, 23, 31), "a", "/x"),
+                                (2, t(1970, 1, 1, 0, 29), "a", "/y"),
+                                (3, t(1970, 1, 1, 0, 40), "a", "/z")],
+                               "event_id long, ts timestamp, ip string, url string")
+    got = sessionize(df, gap="30 minutes", key="ip", time_col="ts").collect()
+    assert sorted(r["session_length"] for r in got) == [1, 2]

@@ -95,3 +95,27 @@ def test_alarm_rule_boundaries(spark):
     # ratio exactly 0.5 is not an alarm
     r = error_alarm(spark.createDataFrame([(100, 50)], "success long, failure long")).first()
     assert r["state"] == "ok" and r["ratio"] == 0.5
+
+
+def test_windows_without_traffic_are_reported_as_zeros(spark):
+    from logstream.operators.windows import status_runs, status_totals
+    base = dt.datetime(1969, 12, 31, 23, 0)
+    rows = [(base, "Success"), (base + dt.timedelta(hours=3), "Failure")]
+    df = spark.createDataFrame(rows, "ts timestamp, status_class string")
+    full = status_totals(df, "10 minutes", "5 minutes", time_col="ts", fill=True).collect()
+    got = {r["window"]["start"]: (r["success"], r["failure"], r["other"]) for r in full}
+    starts = [base - dt.timedelta(minutes=5) + dt.timedelta(minutes=5 * i) for i in range(38)]
+    assert sorted(got) == starts
+    assert [got[s] for s in starts] == [(1, 0, 0)] * 2 + [(0, 0, 0)] * 34 + [(0, 1, 0)] * 2
+    runs = status_runs(df, "10 minutes", "5 minutes", time_col="ts").collect()
+    assert sorted((r["first_start"], r["last_start"], r["success"], r["failure"]) for r in runs) == [
+        (starts[0], starts[1], 1, 0), (starts[2], starts[35], 0, 0), (starts[36], starts[37], 0, 1)]
+
+
+def test_wide_expansion_on_a_stream_must_be_named(spark, workdir):
+    import pytest
+    spark.createDataFrame([(dt.datetime(2024, 1, 1), "/a")], "ts timestamp, url string") \
+        .write.parquet(f"{workdir}/in")
+    s = spark.readStream.schema("ts timestamp, url string").parquet(f"{workdir}/in")
+    with pytest.raises(ValueError, match="keep_slice_counts"):
+        sliding_counts(s, "url", "300 seconds", "1 second", time_col="ts")
