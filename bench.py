@@ -33,7 +33,7 @@ HEADLINE = [
     "linreg_sgd_batch",
     "kmeans_train_batch",
     "kmeans_score",
-    # streaming: input landed in 3 pieces, one restarted micro-batch each
+    # streaming: the table's own files, bounded per micro-batch
     "stream_sessions",
     "stream_sliding_url_counts_1s",
 ]

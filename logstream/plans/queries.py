@@ -18,6 +18,7 @@ from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
 from ..operators.sessions import sessionize
 from ..operators.windows import (counts_per_interval, rank_counts, sliding_counts, status_runs,
                                  status_totals, top_k)
+from ..session import write_once
 from ..sources.fixtures import access_lines, status_json, table
 from ..sources.lines import status_texts
 
@@ -160,7 +161,8 @@ def q_access_rows(spark, sf_dir):
 
 
 def _sessions(spark, sf_dir, gap):
-    clicks = to_clicks(_parsed(spark, sf_dir), carry=["event_id", "ts"])
+    # sessionize reads its input twice: parse once into a narrow table
+    clicks = write_once(to_clicks(_parsed(spark, sf_dir), carry=["event_id", "ts"]), "clicks")
     s = sessionize(clicks, gap=gap, max_clicks=10, key="ip", time_col="ts")
     return s.select("ip", epoch_s("session_start").alias("session_start"),
                     epoch_s("session_end").alias("session_end"), "session_length",

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,6 +74,14 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder of the shared storage and read it back: later uses
+    start from the files, not from the plan (one pass; executors may come and go)."""
+    path = new_work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path of any Hadoop file system exists (errors are raised)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
