@@ -44,9 +44,9 @@ from .common import materialise, per_batch, read_table
 K = 10
 SAMPLE = 40_000          # entries that centroids are fitted on, at most
 MAX_LISTS = 1_024
-PROBE_SHARE, PROBE_LEAST = 0.75, 32
+PROBE_SHARE, PROBE_LEAST = 0.85, 32
 BLOCK_DIMS = 16
-EPSILON = 2.1            # of the hypothesis test; larger abandons less
+EPSILON = 1.5            # of the hypothesis test; larger abandons less
 CHUNK = 2_048            # entries
 QUERY_BLOCK = 256        # queries
 SEED = 7
