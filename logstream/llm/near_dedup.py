@@ -16,14 +16,18 @@
   k-mer bags when the common ones stand in the same order.  Linked: 0.8 or more.
 * Linked nodes form classes (connected components by star contraction on tables).
 
-Large buckets.  A bucket of up to BLOCK nodes goes to one task whole.  A larger one first
-meets its leaders, one per round: every member is verified against the leader (a plain
-equi-join on ids, hot leaders are split by adaptive execution).  Members linked to it need
-no comparison with one another.  By the triangle inequality of the Jaccard distance on bags
-a linked member can link to one that is not only if their distances to the leader differ by
-at most 0.2; just those stay, and what stays is compared in blocks.  So no link between
-different texts is lost to the size of a bucket, and a group of near copies costs its size
-times the rounds.
+Classes need every text linked to its class, not every pair compared.  A bucket of up to
+BLOCK nodes goes to one task whole.  A larger one meets leaders in rounds: first one member
+is the leader and those linked to it are the bucket's core; then several members of the
+core lead, and only members outside the core are verified against them (equi-joins on ids;
+hot leaders are split by adaptive execution).  In a group of near copies few stay outside;
+those are compared with all others of the bucket, block by block, and members of the core
+not with one another, as they are connected.  So no link between different classes is lost
+to the size of a bucket, and a group of near copies costs a few times its size.  (A large
+bucket of texts that are *not* similar, which four shared smallest k-mers make rare, costs
+the square of its size / BLOCK rows.)
+
+Texts travel compressed to the tasks that compare them.
 
 Defined results: NULL text counts as empty; texts without words are equal to each other; a
 text of one to four words has itself as its only k-mer; NULL and repeated ids are rows like
@@ -35,12 +39,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import keep_rows, materialise, per_batch, read_table, text_or_empty
@@ -48,7 +54,7 @@ from .common import keep_rows, materialise, per_batch, read_table, text_or_empty
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 20
 BLOCK = 128            # nodes of a bucket that one task compares
-LEADER_ROUNDS = 3      # for buckets above BLOCK; each is one join of narrow rows with texts
+LEADERS = (1, 6, 6)    # leaders that a bucket above BLOCK meets, by round
 SEED = 20_240_601
 
 _words = re.compile(r"\w+").findall
@@ -151,7 +157,7 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def _sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """__id, __node (hex digest of the words), __sha (of the text), __keys (bands)."""
+    """__id, __node (digest of the words), __sha (of the text), __keys (bands)."""
     rows = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
     kind = rows.schema["__id"].dataType.simpleString()
 
@@ -160,117 +166,155 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             nodes, keys, shas = [], [], []
             for text in batch.column(1).to_pylist():
                 digest, grams = kmers(text)
-                nodes.append(digest.hex())
+                nodes.append(digest)
                 keys.append(bands(grams).view(np.int64) if len(grams) else [])
                 shas.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.string()), pa.array(shas, pa.string()),
+                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(shas, pa.string()),
                  pa.array(keys, pa.list_(pa.int64()))], ["__id", "__node", "__sha", "__keys"])
 
-    return per_batch(rows, run, f"__id {kind}, __node string, __sha string, __keys array<long>")
+    return per_batch(rows, run, f"__id {kind}, __node binary, __sha string, __keys array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (__bucket, __node, __leader) with __linked and __distance (of the bags)."""
+    """The pairs (__node, __other) that are linked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
+        known: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            linked, distance = [], []
-            for a, leader, b in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(),
-                                    batch.column(3).to_pylist()):
-                if leader not in known:
+            linked = []
+            for a, other, b in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(),
+                                   batch.column(3).to_pylist()):
+                if other not in known:
                     if len(known) > 64:
                         known.clear()
-                    known[leader] = kmers(b)[1]
-                ga, gb = kmers(a)[1], known[leader]
-                jaccard = bag_jaccard(np.sort(ga), np.sort(gb))
-                distance.append(1 - jaccard)
-                linked.append(jaccard >= SIMILARITY and aligned(ga, gb) >= SIMILARITY)
+                    known[other] = _unpacked(b)
+                ga, gb = _unpacked(a), known[other]
+                linked.append(bag_jaccard(np.sort(ga), np.sort(gb)) >= SIMILARITY
+                              and aligned(ga, gb) >= SIMILARITY)
+            at = pa.array(np.flatnonzero(linked))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)],
+                                             ["__node", "__other"])
+
+    others = texts.withColumnsRenamed({"__n": "__m", "__packed": "__other_packed"})
+    joined = pairs.join(texts, F.col("__node") == F.col("__n")).join(
+        others, F.col("__other") == F.col("__m")).select(
+        "__node", "__other", "__packed", "__other_packed")
+    return per_batch(joined, run, "__node binary, __other binary")
+
+
+def _packed(docs: DataFrame, text_col: str) -> DataFrame:
+    """__t (SHA-256 of the text), __packed (the text, compressed) of every row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [t.encode("utf-8") for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
-                 pa.array(distance, pa.float64())],
-                ["__node", "__leader", "__linked", "__distance"])
-
-    distinct = pairs.select("__node", "__leader").distinct()
-    leaders = texts.withColumnsRenamed({"__n": "__m", "__text": "__leader_text"})
-    joined = distinct.join(texts, F.col("__node") == F.col("__n")).join(
-        leaders, F.col("__leader") == F.col("__m")).select(
-        "__node", "__leader", "__text", "__leader_text")
-    return per_batch(joined, run,
-                     "__node string, __leader string, __linked boolean, __distance double")
-
-
-def _leader_round(members: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One round of large buckets: links to the leaders, and the members that stay.
-
-    ``members``: __bucket, __node, __old (already linked to an earlier leader).
-    """
-    leaders = members.where("NOT __old").groupBy(F.col("__bucket").alias("__b")).agg(
-        F.min("__node").alias("__leader"))
-    met = members.join(leaders, F.col("__bucket") == F.col("__b")).where("__node != __leader")
-    met = materialise(met.select("__bucket", "__node", "__leader", "__old"), "near-met")
-    tested = materialise(_verified(met, texts), "near-tested").withColumnsRenamed(
-        {"__node": "__n", "__leader": "__l"})
-    known = met.join(tested, (F.col("__node") == F.col("__n"))
-                     & (F.col("__leader") == F.col("__l")))
-    known = materialise(known.select("__bucket", "__node", "__leader", "__linked", "__distance",
-                                     (F.col("__old") | F.col("__linked")).alias("__old")),
-                        "near-known")
-    links = known.where("__linked").select("__node", F.col("__leader").alias("__other")).distinct()
-    nearest = known.where("NOT __old").groupBy(F.col("__bucket").alias("__b")).agg(
-        F.min("__distance").alias("__nearest"))
-    stay = known.join(nearest, F.col("__bucket") == F.col("__b")).where(
-        ~F.col("__old") | (F.col("__distance") + (1 - SIMILARITY) + 1e-9 >= F.col("__nearest")))
-    return links, materialise(stay.select("__bucket", "__node", "__old"), "near-stay")
-
-
-def _blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside buckets, compared BLOCK by BLOCK nodes; both blocks of a pair of blocks
-    are one group.  Members marked __old are not compared with one another."""
-    block = F.pmod(F.xxhash64("__node", F.lit(7)), F.col("__count"))
-    sized = members.groupBy(F.col("__bucket").alias("__b")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__count"))
-    placed = members.join(sized, F.col("__bucket") == F.col("__b")).withColumn(
-        "__block", block.cast("int"))
-    every = F.sequence(F.lit(0), F.col("__count") - 1)
-    placed = placed.withColumn("__with", F.explode(every)).select(
-        "__bucket", F.least("__block", "__with").alias("__low"),
-        F.greatest("__block", "__with").alias("__high"), "__block", "__node", "__old")
-    rows = placed.join(texts, F.col("__node") == F.col("__n")).drop("__n")
-
-    def compare(key, table):
-        found_a, found_b = [], []
-        nodes, old = table["__node"].to_pylist(), table["__old"].to_pylist()
-        block_of = table["__block"].to_pylist()
-        crossing = key[1].as_py() != key[2].as_py()
-        grams = [kmers(t.as_py())[1] for t in table["__text"]]
-        bags = [np.sort(g) for g in grams]
-        root = list(range(len(nodes)))
-
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        order = sorted(range(len(nodes)), key=lambda i: (len(bags[i]), nodes[i]))
-        for x, i in enumerate(order):
-            for j in order[x + 1:]:
-                if len(bags[i]) < SIMILARITY * len(bags[j]):
+                [pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string()),
+                 pa.array([zlib.compress(d, 1) for d in data], pa.binary())],
+                ["__t", "__packed"])
+
+    return per_batch(docs.select(text_or_empty(text_col).alias("__text")), run,
+                     "__t string, __packed binary")
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return kmers(zlib.decompress(data).decode("utf-8"))[1]
+
+
+def _large(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links inside buckets above BLOCK nodes."""
+    members, links = members.withColumn("__core", F.lit(False)), None
+    for salt, many in enumerate(LEADERS):
+        first = F.row_number().over(W.partitionBy("__bucket").orderBy(
+            F.xxhash64("__node", F.lit(salt)), "__node"))
+        leads = members.where("__core") if salt else members
+        leads = leads.withColumn("__at", first).where(F.col("__at") <= many).select(
+            F.col("__bucket").alias("__b"), F.col("__node").alias("__other"))
+        leads = materialise(leads, "near-leaders")
+        met = members.where("NOT __core").join(leads, F.col("__bucket") == F.col("__b")).where(
+            "__node != __other").select("__bucket", "__node", "__other")
+        met = materialise(met, "near-met")
+        found = materialise(_verified(met.select("__node", "__other").distinct(), texts),
+                            "near-found")
+        links = found if links is None else links.unionByName(found)
+        pairs = found.withColumnsRenamed({"__node": "__n", "__other": "__o"})
+        joins = met.join(pairs, (F.col("__node") == F.col("__n"))
+                         & (F.col("__other") == F.col("__o"))).select("__bucket", "__node")
+        if not salt:        # the first leader is of the core it founds
+            joins = joins.unionByName(leads.select(F.col("__b").alias("__bucket"),
+                                                   F.col("__other").alias("__node")))
+        joins = joins.distinct().withColumnsRenamed({"__bucket": "__jb", "__node": "__jn"})
+        members = materialise(members.join(
+            joins, (F.col("__bucket") == F.col("__jb")) & (F.col("__node") == F.col("__jn")),
+            "left").select("__bucket", "__node", (F.col("__core") | F.col("__jn").isNotNull())
+                           .alias("__core")), "near-core")
+    return links.unionByName(_outside(members, texts))
+
+
+def _outside(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Compare members outside their bucket's core with all others of the bucket: blocks of
+    the former meet blocks of all members."""
+    out = ~F.col("__core")
+    sizes = members.groupBy(F.col("__bucket").alias("__b")).agg(
+        F.ceil(F.sum(out.cast("int")) / BLOCK).cast("int").alias("__outs"),
+        F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("__alls"))
+    sized = members.join(sizes.where("__outs > 0"), F.col("__bucket") == F.col("__b"))
+    part = lambda n: F.pmod(F.xxhash64("__node", F.lit(7)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    core = F.when(F.col("__core"), F.lit(b"core")).otherwise(F.col("__node"))
+    keep = ["__bucket", "__node", core.alias("__label")]
+    left = sized.where(out).select(*keep, part("__outs").alias("__i"), every("__alls").alias("__j"),
+                                   F.lit(True).alias("__query"))
+    right = sized.select(*keep, every("__outs").alias("__i"), part("__alls").alias("__j"),
+                         F.lit(False).alias("__query"))
+    return _compared(left.unionByName(right), texts, ["__bucket", "__i", "__j"])
+
+
+def _small(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links inside buckets of up to BLOCK nodes."""
+    return _compared(members.select("__bucket", "__node", F.col("__node").alias("__label"),
+                                    F.lit(True).alias("__query")), texts, ["__bucket"])
+
+
+def _compared(rows: DataFrame, texts: DataFrame, group: list[str]) -> DataFrame:
+    """Links in each group between a node marked __query and any node of another label;
+    nodes that the links found already connect are not compared."""
+    def compare(table):
+        found: list[tuple[bytes, bytes]] = []
+        sequences: dict[bytes, np.ndarray] = {}
+        labels, asked = {}, set()
+        for node, label, query, text in zip(*(table[c].to_pylist() for c in (
+                "__node", "__label", "__query", "__packed"))):
+            if node not in sequences:
+                sequences[node] = _unpacked(text)
+                labels[node] = label
+            if query:
+                asked.add(node)
+        bags = {n: np.sort(g) for n, g in sequences.items()}
+        root = {label: label for label in labels.values()}
+
+        def top(x: bytes) -> bytes:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        order = sorted(bags, key=lambda n: (len(bags[n]), n))
+        for x, a in enumerate(order):
+            for b in order[x + 1:]:
+                if len(bags[a]) < SIMILARITY * len(bags[b]):
                     break                      # longer ones differ even more in length
-                if (old[i] and old[j]) or (crossing and block_of[i] == block_of[j]) \
-                        or top(i) == top(j):
+                if not (a in asked or b in asked) or top(labels[a]) == top(labels[b]):
                     continue
-                if bag_jaccard(bags[i], bags[j]) >= SIMILARITY \
-                        and aligned(grams[i], grams[j]) >= SIMILARITY:
-                    root[top(j)] = top(i)
-                    found_a.append(nodes[i])
-                    found_b.append(nodes[j])
-        return pa.table({"__node": pa.array(found_a, pa.string()),
-                         "__other": pa.array(found_b, pa.string())})
+                if bag_jaccard(bags[a], bags[b]) >= SIMILARITY \
+                        and aligned(sequences[a], sequences[b]) >= SIMILARITY:
+                    root[top(labels[b])] = top(labels[a])
+                    found.append((a, b))
+        return pa.table({"__node": pa.array([f[0] for f in found], pa.binary()),
+                         "__other": pa.array([f[1] for f in found], pa.binary())})
 
-    return rows.groupBy("__bucket", "__low", "__high").applyInArrow(
-        compare, "__node string, __other string")
+    joined = rows.join(texts, F.col("__node") == F.col("__n")).select(
+        *group, "__node", "__label", "__query", "__packed")
+    return joined.groupBy(*group).applyInArrow(compare, "__node binary, __other binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -287,11 +331,10 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select(
             "k", F.least("k", "m").alias("m"))
-        large = both.join(materialise(least, "near-least"), F.col("u") == F.col("k")).where(
+        large = both.join(least, F.col("u") == F.col("k")).where(
             "v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialise(large, "near-large")
         low = large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-        low = materialise(low, "near-low")
         small = large.join(low, F.col("u") == F.col("k")).select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v")).where("u != v").distinct()
@@ -308,7 +351,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
     __kept, __sha (of the text)."""
     rows = materialise(_sketched(docs, id_col, text_col).withColumn(
         "__row", F.monotonically_increasing_id()), "near-rows")
-    keyed = rows.select("__node", F.explode("__keys").alias("__bucket")).distinct()
+    nodes = materialise(rows.groupBy("__node").agg(
+        F.min("__sha").alias("__s"), F.first("__keys").alias("__keys")), "near-nodes")
+    keyed = nodes.select("__node", F.explode("__keys").alias("__bucket"))
     shared = keyed.groupBy(F.col("__bucket").alias("__b")).agg(
         F.count(F.lit(1)).alias("__size"), F.bit_xor(F.xxhash64("__node")).alias("__set"))
     # bands with the same members would do the same work: one of them stays
@@ -316,31 +361,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
         F.min("__b").alias("__b"))
     shared = materialise(shared, "near-buckets")
     members = materialise(keyed.join(shared, F.col("__bucket") == F.col("__b")).select(
-        "__bucket", "__node", "__size", F.lit(False).alias("__old")), "near-members")
+        "__bucket", "__node", "__size"), "near-members")
 
     wanted = members.select(F.col("__node").alias("__w")).distinct()
-    first = rows.groupBy(F.col("__node").alias("__w")).agg(F.min("__sha").alias("__s"))
-    first = materialise(first.join(wanted, "__w", "left_semi"), "near-wanted")
-    plain = docs.select(text_or_empty(text_col).alias("__text"))
-    plain = plain.withColumn("__t", F.sha2("__text", 256))
-    texts = plain.join(first, F.col("__t") == F.col("__s")).select(
-        F.col("__w").alias("__n"), "__text").dropDuplicates(["__n"])
+    first = materialise(nodes.join(wanted, F.col("__node") == F.col("__w"), "left_semi").select(
+        F.col("__node").alias("__n"), "__s"), "near-wanted")
+    # merge: both sides grow with the corpus, so the join is the same at every size
+    texts = _packed(docs, text_col).join(first.hint("merge"), F.col("__t") == F.col("__s")).select(
+        "__n", "__packed").dropDuplicates(["__n"])
     texts = materialise(texts, "near-texts")
 
-    small = members.where(F.col("__size") <= BLOCK).drop("__size")
-    links = [materialise(_blocks(small, texts), "near-links")]
-    big = members.where(F.col("__size") > BLOCK).drop("__size")
-    for _ in range(LEADER_ROUNDS):
-        if big.isEmpty():
-            break
-        found, big = _leader_round(big, texts)
-        links.append(found)
-    if not big.isEmpty():
-        links.append(_blocks(big, texts))
-    every = links[0]
-    for part in links[1:]:
-        every = every.unionByName(part)
-    classes = components(every)
+    small = members.where(F.col("__size") <= BLOCK)
+    links = materialise(_small(small, texts), "near-links")
+    large = members.where(F.col("__size") > BLOCK).drop("__size")
+    if not large.isEmpty():
+        links = links.unionByName(_large(large, texts))
+    classes = components(links)
 
     placed = rows.join(classes, F.col("__node") == F.col("__n"), "left").select(
         "__id", "__sha", "__row", F.coalesce("__class", "__node").alias("__class"))
