@@ -122,8 +122,9 @@ def _chained(members: DataFrame) -> list[DataFrame]:
     rounds are as many as the longest chain has different texts (one, for 64 bits)."""
     done, pending = [], members
     while not pending.isEmpty():
-        heads = pending.groupBy(F.col("__hash").alias("__h")).agg(
-            F.max_by("__bytes", F.struct("__sha", "__row")).alias("__head"))
+        # written, so that both sides of the join are plain exchanges and a hot hash is split
+        heads = materialise(pending.groupBy(F.col("__hash").alias("__h")).agg(
+            F.max_by("__bytes", F.struct("__sha", "__row")).alias("__head")), "dedup-heads")
         compared = materialise(pending.join(heads, F.col("__hash") == F.col("__h")).select(
             "__id", "__hash", "__sha", "__row",
             (F.col("__bytes") == F.col("__head")).alias("__same"),
