@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import materialise, per_batch, read_table
 
 K = 10
-SAMPLE = 40_000          # entries that centroids are fitted on, at most
+SAMPLE = 16_384          # entries that centroids are fitted on, at most
 MAX_LISTS = 1_024
 PROBE_SHARE, PROBE_LEAST = 0.85, 32
 BLOCK_DIMS = 16
@@ -84,13 +84,15 @@ def rotation(dims: int, seed: int = SEED) -> np.ndarray:
 
 def fit_centroids(entries: DataFrame, n: int, rounds: int = 8) -> np.ndarray:
     """k-means centroids of a bounded sample, about sqrt(n) of them."""
-    sample = entries.select("__vec").orderBy(F.xxhash64("__vec"), "__vec").limit(SAMPLE).toPandas()
-    x = np.stack(sample["__vec"].to_list()).astype(np.float32)
+    sample = entries.orderBy(F.xxhash64("__vec"), "__vec").limit(SAMPLE).select(
+        F.col("__vec").cast("array<float>").alias("v")).toArrow()
+    x = _matrix(sample["v"].combine_chunks())
     lists = int(min(MAX_LISTS, max(1, round(n ** 0.5)), len(x)))
     rng = np.random.default_rng(SEED)
     c = x[rng.permutation(len(x))[:lists]].copy()
     for _ in range(rounds):
-        at = _nearest(x, c, 1)[:, 0]
+        at = np.concatenate([_nearest(x[i:i + 4096], c, 1)[:, 0]
+                             for i in range(0, len(x), 4096)])
         counts = np.bincount(at, minlength=lists)
         sums = np.zeros_like(c)
         np.add.at(sums, at, x)
@@ -102,6 +104,8 @@ def _nearest(x: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndarray:
     d = (centroids ** 2).sum(1) - 2 * x @ centroids.T
     if probes >= d.shape[1]:
         return np.broadcast_to(np.arange(d.shape[1]), d.shape)
+    if probes == 1:
+        return d.argmin(1)[:, None]
     return np.argpartition(d, probes - 1, axis=1)[:, :probes]
 
 
