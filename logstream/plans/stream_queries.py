@@ -6,6 +6,11 @@ the landing folder, ``maxFilesPerTrigger`` bounds a micro-batch (MAX_FILES), and
 lines is derived per row (FIXTURES.md), so no copy of the table is made.  The result
 is the sink's content.
 
+Queries with a watermark need more than that: the file source goes by modification time,
+which need not follow ``ts``.  Their delay covers the disorder of the table's files as
+measured before the start; a table of several batches that is further out of order than
+WATERMARK is streamed from a copy in ranges of ``ts``, so that the state stays small.
+
 Where results depend on what a batch holds (training batch by batch, a row limit),
 batches are blocks of the key: blocks of BLOCK_ROWS ids land one after another and the
 same query is restarted from its checkpoint after each; their number follows the data.
@@ -16,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,7 +48,7 @@ from .queries import (ALARM_SLIDE, ALARM_WINDOW, TOP_SLIDE, TOP_WINDOW, URL_SLID
 MAX_FILES = 16           # files of the table per micro-batch
 BLOCK_ROWS = 4_000       # ids per landed block
 TEXT_LIMIT = 200         # row limit of stream_text_until_limit
-WATERMARK = "10 minutes"
+WATERMARK = 600          # seconds; least delay of a watermark
 
 
 class _Run:
@@ -99,12 +105,43 @@ def _lines(spark, sf_dir) -> DataFrame:
     return access_log(table_stream(spark, sf_dir, "events"))
 
 
+def disorder(df: DataFrame, max_files: int = MAX_FILES) -> int:
+    """Seconds, rounded up, by which a row of the files of ``df`` can be older than a row of
+    an earlier micro-batch: 0 if one batch takes all files.  Files written at the same time
+    may come in any order; a file counts among its own predecessors."""
+    if len(df.inputFiles()) <= max_files:
+        return 0
+    ts = F.unix_micros(F.col("ts").cast("timestamp"))
+    files = df.groupBy(F.col("_metadata.file_path").alias("file"),
+                       F.col("_metadata.file_modification_time").alias("written")) \
+        .agg(F.min(ts).alias("oldest"), F.max(ts).alias("newest"))       # a row per file
+    seen = F.max("newest").over(W.orderBy("written").rangeBetween(
+        W.unboundedPreceding, W.currentRow))
+    late = files.select((seen - F.col("oldest")).alias("late")).agg(F.max("late")).first()[0]
+    return 0 if late is None else late // 1_000_000 + 1
+
+
+def _timed_lines(spark, sf_dir) -> tuple[DataFrame, str]:
+    """Stream of access-log lines, and the watermark delay under which no row is late."""
+    events = table(spark, sf_dir, "events")
+    late = disorder(events)
+    if late <= WATERMARK:
+        return _lines(spark, sf_dir), f"{WATERMARK} seconds"
+    path = new_work_dir(spark, "events-by-time")
+    events.repartitionByRange(len(events.inputFiles()), "ts").write.parquet(path)
+    late = disorder(spark.read.schema(events.schema).parquet(path))    # tasks end in any order
+    lines = access_log(read_lines(spark, "files", path, fmt="parquet", schema=events.schema,
+                                  max_files_per_trigger=MAX_FILES))
+    return lines, f"{max(WATERMARK, late)} seconds"
+
+
 def _stream_url_counts(spark, sf_dir, name, window, slide) -> _Run:
     run = _Run(spark, name)
 
     def start():
-        urls = to_urls(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
-        counts = sliding_counts(urls.withWatermark("ts", WATERMARK), "url", window,
+        lines, delay = _timed_lines(spark, sf_dir)
+        urls = to_urls(parse_access_log(lines), carry=["ts"])
+        counts = sliding_counts(urls.withWatermark("ts", delay), "url", window,
                                 slide, time_col="ts")
         rows = counts.select(epoch_s(F.col("window.start")).alias("window_start"),
                              epoch_s(F.col("window.end")).alias("window_end"), "url", "n")
@@ -133,9 +170,10 @@ def q_stream_sliding_url_counts_1s(spark, sf_dir):
     run = _Run(spark, "stream-sliding-1s")
 
     def start():
-        urls = to_urls(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
+        lines, delay = _timed_lines(spark, sf_dir)
+        urls = to_urls(parse_access_log(lines), carry=["ts"])
         return keep_slice_counts(urls, "url", "1 second", run.out, run.checkpoint,
-                                 time_col="ts", watermark=WATERMARK)
+                                 time_col="ts", watermark=delay)
 
     _drive(spark, start)
     c = read_sliding_counts(spark, run.out, "url", URL_WINDOW, "1 second")
@@ -156,8 +194,9 @@ def q_stream_top_urls_newest(spark, sf_dir):
     run = _Run(spark, "stream-top-newest")
 
     def start():
-        urls = to_urls(parse_access_log(_lines(spark, sf_dir)), carry=["ts"])
-        counts = sliding_counts(urls.withWatermark("ts", WATERMARK), "url", TOP_WINDOW,
+        lines, delay = _timed_lines(spark, sf_dir)
+        urls = to_urls(parse_access_log(lines), carry=["ts"])
+        counts = sliding_counts(urls.withWatermark("ts", delay), "url", TOP_WINDOW,
                                 TOP_SLIDE, time_col="ts")
         return newest_window_top_k(counts, "url", 10, f"{run.out}/counts", f"{run.out}/top",
                                    run.checkpoint)
@@ -174,8 +213,9 @@ def q_stream_error_alarm(spark, sf_dir):
     run = _Run(spark, "stream-alarm")
 
     def start():
-        classified = with_status_class(parse_access_log(_lines(spark, sf_dir)))
-        totals = status_totals(classified.withWatermark("ts", WATERMARK), ALARM_WINDOW,
+        lines, delay = _timed_lines(spark, sf_dir)
+        classified = with_status_class(parse_access_log(lines))
+        totals = status_totals(classified.withWatermark("ts", delay), ALARM_WINDOW,
                                ALARM_SLIDE, time_col="ts")
         rows = totals.select(epoch_s(F.col("window.start")).alias("window_start"),
                              epoch_s(F.col("window.end")).alias("window_end"),
@@ -197,9 +237,10 @@ def q_stream_error_alarm_1s(spark, sf_dir):
     run = _Run(spark, "stream-alarm-1s")
 
     def start():
-        classified = with_status_class(parse_access_log(_lines(spark, sf_dir)))
+        lines, delay = _timed_lines(spark, sf_dir)
+        classified = with_status_class(parse_access_log(lines))
         return keep_slice_counts(classified, "status_class", "1 second", run.out,
-                                 run.checkpoint, time_col="ts", watermark=WATERMARK)
+                                 run.checkpoint, time_col="ts", watermark=delay)
 
     _drive(spark, start)
     a = error_alarm(read_status_runs(spark, run.out, URL_WINDOW, "1 second"))
@@ -212,9 +253,10 @@ def q_stream_sessions(spark, sf_dir):
     run = _Run(spark, "stream-sessions")
 
     def start():
-        clicks = to_clicks(parse_access_log(_lines(spark, sf_dir)), carry=["event_id", "ts"])
+        lines, delay = _timed_lines(spark, sf_dir)
+        clicks = to_clicks(parse_access_log(lines), carry=["event_id", "ts"])
         closed = sessionize_stream(clicks, gap="30 minutes", max_clicks=10, key="ip",
-                                   time_col="ts", tie_col="event_id", watermark=WATERMARK)
+                                   time_col="ts", tie_col="event_id", watermark=delay)
         return (closed.writeStream.outputMode("append").format("parquet")
                 .option("path", f"{run.out}/closed")
                 .option("checkpointLocation", run.checkpoint)
