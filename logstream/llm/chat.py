@@ -9,14 +9,22 @@ the smallest id stays.  What stays is rendered in the ChatML layout:
 
     <|im_start|>role\ntext<|im_end|>\n            per turn
 
-A conversation is rendered in segments of SEGMENT_TURNS turns, one row each; joined in
-order they are the whole conversation.  So is the prefix hash computed: XOR inside segments,
-then over a conversation's segments.  No task ever gathers a whole conversation.
+A conversation is rendered in segments, one row each; joined in order they are the whole
+conversation.  A segment holds SEGMENT_TURNS turn numbers; in a conversation where that is
+more than SEGMENT_TURNS turns anywhere (repeated or NULL turn numbers, as when many logs have
+a NULL conv_id), all segments hold SEGMENT_TURNS places of its order instead.  So no segment
+has more than SEGMENT_TURNS turns, and OP6_SQL, which knows turn numbers only, differs there.
+
+Places are found without gathering a conversation: turns are range-partitioned by (conv_id,
+turn, role, head of the text), and a turn's place is its row in its range plus the rows of
+the conversation in earlier ranges.  Prefix hashes are XORs in three levels: inside pieces of
+PIECE places, over the pieces of a block, over the blocks of a conversation.  (The range's
+cuts see HEAD characters of a text; turns alike in all of that share a range.)
 
 DataFrame functions only.  Defined results: turns are ordered by (turn, role, text), NULLs
 first; rows that repeat all four columns are one turn; NULL role and text render as empty
-(but hash apart from empty); NULL conv_id is one conversation of its own, NULL turn sorts
-into segment 0; an empty table gives no rows; other columns are not read.
+(but hash apart from empty); NULL conv_id is one conversation of its own, NULL turn is in
+segment 0; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,53 +35,81 @@ from pyspark.sql import functions as F
 
 from .common import materialise, read_table
 
-SEGMENT_TURNS = 64        # turn numbers per segment
+SEGMENT_TURNS = 64        # turn numbers, or places, per segment
+PIECE = 64                # places per piece of the prefix hashes
+BLOCK = 4_096             # pieces per block
+HEAD = 256                # characters of a text that the cuts of the ranges see
 START, END = "<|im_start|>", "<|im_end|>"    # fixed values of the layout
 
 
+def _placed(turns: DataFrame) -> DataFrame:
+    """Distinct turns with __position, their place in the conversation from 1 on."""
+    order = ["conv_id", "turn", "role"]
+    rows = turns.select(*order, "text").distinct()
+    ranged = rows.repartitionByRange(*order, F.substring("text", 1, HEAD)) \
+        .sortWithinPartitions(*order, "text")
+    row = F.monotonically_increasing_id()
+    rows = materialise(ranged.withColumns({"__range": F.spark_partition_id(), "__row": row}),
+                       "chat-turns")
+    held = rows.groupBy("conv_id", "__range").agg(F.min("__row").alias("__first"),
+                                                  F.count(F.lit(1)).alias("__n"))
+    earlier = W.partitionBy("conv_id").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    starts = held.select(
+        F.col("conv_id").alias("__c"), F.col("__range").alias("__r"),
+        (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__add"))
+    same = F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("__range") == F.col("__r"))
+    return materialise(rows.join(starts, same).select(
+        *order, "text", (F.col("__row") + F.col("__add")).alias("__position")), "chat-placed")
+
+
+def _before(df: DataFrame, level: str, within: list[str]) -> DataFrame:
+    """Adds __ea, __eb: XOR of __sa, __sb over the earlier rows of the group in order."""
+    w = W.partitionBy("conv_id", *within).orderBy(level).rowsBetween(W.unboundedPreceding, -1)
+    return df.withColumns({e: F.coalesce(F.bit_xor(x).over(w), F.lit(0))
+                           for e, x in (("__ea", "__sa"), ("__eb", "__sb"))})
+
+
+def _summed(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
+    return df.groupBy("conv_id", *keys).agg(
+        F.bit_xor(a).alias("__sa"), F.bit_xor(b).alias("__sb"), F.max("__last").alias("__last"))
+
+
 def maximal(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """Turns of the conversations that no other one extends: conv_id, __segment, turn, role,
     text, and __turns (length of the conversation)."""
-    segment = F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(0)).cast("long")
-    rows = turns.select("conv_id", "turn", "role", "text").distinct()
-    rows = materialise(rows.withColumn("__segment", segment), "chat-turns")
-    hashes = rows.select(
-        "conv_id", "turn", "__segment", F.xxhash64(F.lit(1), *_named("role", "text")).alias("__a"),
-        F.xxhash64(F.lit(2), *_named("role", "text")).alias("__b"), "role", "text")
-
-    lengths = rows.groupBy("conv_id", "__segment").agg(F.count(F.lit(1)).alias("__n"))
-    by_segment = W.partitionBy("conv_id").orderBy("__segment").rowsBetween(
-        W.unboundedPreceding, -1)
-    starts = lengths.select(F.col("conv_id").alias("__c"), F.col("__segment").alias("__s"),
-                            F.coalesce(F.sum("__n").over(by_segment), F.lit(0)).alias("__before"))
-    in_order = W.partitionBy("conv_id", "__segment").orderBy("turn", "role", "text")
-    same = F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("__segment") == F.col("__s"))
-    placed = hashes.withColumn("__place", F.row_number().over(in_order)).join(starts, same).select(
-        "conv_id", "__segment", (F.col("__before") + F.col("__place")).alias("__position"),
-        "__a", "__b")
-    salted = materialise(placed.select(
-        "conv_id", "__segment", "__position",
-        F.xxhash64("__position", "__a").alias("__a"), F.xxhash64("__position", "__b").alias("__b")),
+    rows = _placed(turns)
+    by_turn = F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(0)).cast("long")
+    by_place = F.floor((F.col("__position") - 1) / segment_turns).cast("long")
+    piece = F.floor((F.col("__position") - 1) / PIECE)
+    salted = materialise(rows.select(
+        "conv_id", piece.alias("__piece"), F.col("__position").alias("__last"),
+        F.xxhash64("__position", F.xxhash64(F.lit(1), *_named("role", "text"))).alias("__a"),
+        F.xxhash64("__position", F.xxhash64(F.lit(2), *_named("role", "text"))).alias("__b")),
         "chat-hashes")
 
-    # prefix hashes in two levels: before the segment, then inside it
-    sums = salted.groupBy("conv_id", "__segment").agg(
-        F.bit_xor("__a").alias("__sa"), F.bit_xor("__b").alias("__sb"),
-        F.max("__position").alias("__last"))
-    earlier = sums.select(
-        F.col("conv_id").alias("__c"), F.col("__segment").alias("__s"),
-        F.coalesce(F.bit_xor("__sa").over(by_segment), F.lit(0)).alias("__ea"),
-        F.coalesce(F.bit_xor("__sb").over(by_segment), F.lit(0)).alias("__eb"))
-    whole = sums.groupBy("conv_id").agg(
-        F.max("__last").alias("__turns"), F.bit_xor("__sa").alias("__wa"),
-        F.bit_xor("__sb").alias("__wb"))
+    # prefix hashes in three levels: blocks, pieces of a block, places of a piece
+    pieces = _summed(salted, ["__piece"], "__a", "__b") \
+        .withColumn("__block", F.floor(F.col("__piece") / BLOCK))
+    blocks = _summed(pieces, ["__block"], "__sa", "__sb")
+    whole = _summed(blocks, [], "__sa", "__sb").select(
+        "conv_id", F.col("__last").alias("__turns"), F.col("__sa").alias("__wa"),
+        F.col("__sb").alias("__wb"))
     whole = materialise(whole, "chat-whole")
-    upto = W.partitionBy("conv_id", "__segment").orderBy("__position").rowsBetween(
+    blocks = _before(blocks, "__block", []).select(
+        F.col("conv_id").alias("__c"), F.col("__block").alias("__k"),
+        F.col("__ea").alias("__ba"), F.col("__eb").alias("__bb"))
+    earlier = _before(pieces, "__piece", ["__block"]).join(
+        blocks, F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("__block") == F.col("__k"))) \
+        .select(F.col("conv_id").alias("__c"), F.col("__piece").alias("__p"),
+                F.col("__ea").bitwiseXOR(F.col("__ba")).alias("__ea"),
+                F.col("__eb").bitwiseXOR(F.col("__bb")).alias("__eb"))
+    upto = W.partitionBy("conv_id", "__piece").orderBy("__last").rowsBetween(
         W.unboundedPreceding, W.currentRow)
     prefixes = salted.select(
-        "conv_id", "__segment", F.col("__position").alias("__length"),
+        "conv_id", "__piece", F.col("__last").alias("__length"),
         F.bit_xor("__a").over(upto).alias("__ia"), F.bit_xor("__b").over(upto).alias("__ib")) \
-        .join(earlier, same).select(
+        .join(earlier, F.col("conv_id").eqNullSafe(F.col("__c"))
+              & (F.col("__piece") == F.col("__p"))).select(
         "conv_id", "__length", F.col("__ia").bitwiseXOR(F.col("__ea")).alias("__pa"),
         F.col("__ib").bitwiseXOR(F.col("__eb")).alias("__pb"))
     lasts = whole.select(F.col("conv_id").alias("__c"), "__turns")
@@ -84,8 +120,14 @@ def maximal(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     stays = unique.join(proper, (F.col("__turns") == F.col("__length"))
                         & (F.col("__wa") == F.col("__pa"))
                         & (F.col("__wb") == F.col("__pb")), "left_anti")
-    stays = stays.select(F.col("conv_id").alias("__c"), "__turns")
-    return rows.join(stays, F.col("conv_id").eqNullSafe(F.col("__c"))).drop("__c")
+    full = rows.groupBy("conv_id", by_turn.alias("__s")).count().groupBy("conv_id").agg(
+        (F.max("count") > segment_turns).alias("__full"))
+    stays = stays.join(full.withColumnRenamed("conv_id", "__f"),
+                       F.col("conv_id").eqNullSafe(F.col("__f"))) \
+        .select(F.col("conv_id").alias("__c"), "__turns", "__full")
+    return rows.join(stays, F.col("conv_id").eqNullSafe(F.col("__c"))).select(
+        "conv_id", F.when(F.col("__full"), by_place).otherwise(by_turn).alias("__segment"),
+        "turn", "role", "text", "__turns")
 
 
 def _named(*names: str):

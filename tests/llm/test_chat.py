@@ -53,6 +53,29 @@ def test_equal_to_brute_force(spark):
         assert rendered(spark, rows, segment_turns) == brute(rows)
 
 
+def test_segments_are_bounded_whatever_the_key(spark):
+    rows = [(None, i % 7, "user", f"n{i}") for i in range(700)]          # few turn numbers
+    rows += [(1, None if i % 2 else i % 5, "user", f"t{i}") for i in range(300)]
+    rows += [(2, t, "user", f"s{t}") for t in range(0, 300, 3)]          # gaps, within the bound
+    rows += [(3, i, r, x) for i, (r, x) in enumerate(turns_of(rows)[None][:200])]
+    out = render(maximal(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert max(r["segment_turns"] for r in out) <= 64
+    assert {r["segment"]: r["segment_turns"] for r in out if r["conv_id"] == 2} == {
+        s: sum(t // 64 == s for t in range(0, 300, 3)) for s in range(5)}
+    assert {r["n_turns"] for r in out if r["conv_id"] is None} == {700}
+    assert rendered(spark, rows, 64) == brute(rows)      # conversation 3 is a snapshot
+    assert 3 not in brute(rows)
+
+
+def test_places_across_ranges_pieces_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr("logstream.llm.chat.PIECE", 3)
+    monkeypatch.setattr("logstream.llm.chat.BLOCK", 2)
+    rows = [(c, t, "user", f"{t}") for c, n in ((1, 40), (2, 100), (None, 99)) for t in range(n)]
+    rows += [(4, t, "user", f"{t if t != 50 else 'other'}") for t in range(90)]
+    assert set(rendered(spark, rows, 8)) == {2, 4}
+    assert rendered(spark, rows, 8) == brute(rows)
+
+
 def test_very_long_text_and_empty_table(spark):
     rows = [(1, 0, "user", "w" * 300_000), (2, 0, "user", "w" * 300_000), (2, 1, "assistant", "ok")]
     assert set(rendered(spark, rows, 64)) == {2}
