@@ -1,8 +1,9 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-* Texts become sequences of lower-case words; texts with equal sequences are one node.  The
-  k-mers of a node are its runs of five words, the j-th occurrence of a run labelled j, so
-  all labelled k-mers of a text differ.
+* Texts become sequences of lower-case words (letters, digits and their combining marks);
+  texts with equal sequences are one node, of texts without words only those equal up to
+  white space.  The k-mers of a node are its runs of five words, the j-th occurrence of a run
+  labelled j, so all labelled k-mers of a text differ.
 * Order MinHash (Marcais et al., 2019): each of ROWS * BANDS hash functions picks the two
   labelled k-mers with the smallest hashes and keeps them in text order.  Two texts share a
   sketch only if the same k-mers are smallest and stand in the same order, so sharing is
@@ -29,16 +30,19 @@ the square of its size / BLOCK rows.)
 
 Texts travel compressed to the tasks that compare them.
 
-Defined results: NULL text counts as empty; texts without words are equal to each other; a
-text of one to four words has itself as its only k-mer; NULL and repeated ids are rows like
-others; of a class the row with the smallest id stays (NULL last), and of rows that tie
-there one; an empty table gives no rows; other columns are not read (the stage passes them).
+Defined results: NULL text counts as empty; texts without words are alike only if equal up
+to white space; a text of one to four words has itself as its only k-mer; NULL and repeated
+ids are rows like others; of a class the row with the smallest id stays (NULL last), and of
+rows that tie there one; an empty table gives no rows; other columns are not read (the stage
+passes them).
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -57,7 +61,10 @@ BLOCK = 128            # nodes of a bucket that one task compares
 LEADERS = (1, 6, 6)    # leaders that a bucket above BLOCK meets, by round
 SEED = 20_240_601
 
-_words = re.compile(r"\w+").findall
+# vowel signs and the like are part of a word, but not of \w
+_MARKS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
+                 if unicodedata.category(c)[0] == "M")
+_words = re.compile(rf"[\w{_MARKS}]+").findall
 _MASK = (1 << 64) - 1
 
 
@@ -83,13 +90,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def kmers(text: str) -> tuple[bytes, np.ndarray]:
-    """Digest of the word sequence, and the labelled k-mers in text order (uint64)."""
+    """Digest of the word sequence (of the text if it has no words), and the labelled k-mers
+    in text order (uint64)."""
     words = _words(text.lower())
     hashes = np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
-    digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
     n = len(hashes)
     if not n:
-        return digest, hashes
+        data = " ".join(text.split()).encode("utf-8")
+        return hashlib.blake2b(data, digest_size=16, person=b"text").digest(), hashes
+    digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
     span = min(WORDS, n)
     out = np.zeros(n - span + 1, np.uint64)
     for i in range(span):

@@ -75,6 +75,14 @@ def test_equal_to_brute_force(spark, documents):
         assert r["__kept"] == (r["__id"] == r["__class_id"])
 
 
+def test_texts_without_words_and_words_with_marks(spark, documents):
+    ki, ku = "\u0915\u093f", "\u0915\u0941"          # one consonant, two vowel signs
+    rows = list(enumerate(["\U0001f600 \U0001f680", "--- ***", "\U0001f600 \U0001f680", "", None,
+                           " ".join([ki, ku] * 10), " ".join([ku, ki] * 3 + [ki] * 14)]))
+    got = {r["__id"]: r["__class_id"] for r in near_duplicates(documents(rows)).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 3, 4: 3, 5: 5, 6: 6}
+
+
 def test_large_buckets_meet_leaders_and_lose_no_link(spark, documents, monkeypatch):
     """Small blocks: most buckets are large, go through leader rounds and pairs of blocks."""
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
