@@ -36,8 +36,8 @@ from ..sources.fixtures import (KMEANS_START_CENTERS, access_log, clustering_lin
 from ..sources.lines import read_lines, status_texts
 from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
-from ..streaming.sinks import (await_limit, read_latest, running_totals, sql_per_batch,
-                               text_batches, upsert_by_key)
+from ..streaming.sinks import (await_limit, newest_batch, read_latest, running_totals,
+                               sql_per_batch, text_batches, upsert_by_key)
 from ..streaming.windows import (keep_slice_counts, newest_window_top_k, read_sliding_counts,
                                  read_status_runs)
 from .ml_oracle import CLUSTER_POINTS_CTE, REG_POINTS_CTE, argmin_sql, distances_sql
@@ -89,16 +89,19 @@ def _drive(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
 
 
 def _blocks(df: DataFrame, key: str, rows: int = BLOCK_ROWS):
-    """(low, high) key ranges of ``rows`` ids each that cover the table."""
+    """(low, high) key ranges of ``rows`` ids each that cover the rows with a key."""
     ends = df.agg(F.min(key), F.max(key)).first()        # two numbers
+    if ends[0] is None:
+        return []
     return [(lo, lo + rows) for lo in range(ends[0] // rows * rows, ends[1] + 1, rows)]
 
 
-def _land(df: DataFrame, key: str, block: tuple[int, int], folder: str) -> None:
-    """Append the rows of one block (a pushed-down range) to a landing folder; Spark's
-    committer shows files only when they are complete."""
-    df.where((F.col(key) >= block[0]) & (F.col(key) < block[1])).write.mode("append") \
-        .parquet(folder)
+def _land(df: DataFrame, key: str, block: tuple[int, int] | None, folder: str) -> None:
+    """Append the rows of one block (a pushed-down range; None: the rows without a key) to a
+    landing folder; Spark's committer shows files only when they are complete."""
+    rows = F.col(key).isNull() if block is None else \
+        (F.col(key) >= block[0]) & (F.col(key) < block[1])
+    df.where(rows).write.mode("append").parquet(folder)
 
 
 def _lines(spark, sf_dir) -> DataFrame:
@@ -324,10 +327,11 @@ def q_stream_text_batches(spark, sf_dir):
 
 
 def q_stream_text_until_limit(spark, sf_dir):
-    """A run that ends at the row limit, then one without: every text exactly once."""
+    """A run that ends at the row limit, then one without: every text exactly once (those
+    without a conv_id land last)."""
     run = _Run(spark, "stream-text-limit")
     statuses = status_json(table(spark, sf_dir, "conversations"))
-    for block in _blocks(statuses, "conv_id", rows=32):
+    for block in [*_blocks(statuses, "conv_id", rows=32), None]:
         _land(statuses, "conv_id", block, run.landing)
 
     def start(limit):
@@ -338,13 +342,16 @@ def q_stream_text_until_limit(spark, sf_dir):
 
     await_limit(start(TEXT_LIMIT))
     _finish(start(None))
+    if newest_batch(spark, run.out, "batch") is None:        # no rows
+        return spark.createDataFrame([], "value string")
     return spark.read.text(f"{run.out}/batch=*")
 
 
 def _train_and_score(spark, sf_dir, name, train_lines, test_lines, train_points, test_points,
-                     initial) -> DataFrame:
+                     initial, scores: str) -> DataFrame:
     """Blocks of training and of test lines land in two folders; after each, train on the
-    new training lines, then score the new test lines."""
+    new training lines, then score the new test lines.  Lines without an event_id are in no
+    block.  ``scores``: columns of an empty result."""
     run = _Run(spark, name)
     events = table(spark, sf_dir, "events")
     train, test = train_lines(events), test_lines(events)
@@ -353,7 +360,10 @@ def _train_and_score(spark, sf_dir, name, train_lines, test_lines, train_points,
     def points(folder, parse):
         return parse(read_lines(spark, "files", folder, fmt="parquet", schema=schema))
 
-    for block in _blocks(events, "event_id"):
+    blocks = _blocks(events, "event_id")
+    if not blocks:
+        return spark.createDataFrame([], f"event_id long, {scores}, block long")
+    for block in blocks:
         _land(train, "event_id", block, f"{run.landing}/train")
         _land(test, "event_id", block, f"{run.landing}/test")
         _, scoring = train_and_score(
@@ -374,7 +384,8 @@ def _labeled(lines: DataFrame) -> DataFrame:
 def q_stream_linreg_train_score(spark, sf_dir):
     """Train on each landed block, then score the block's test lines with the new model."""
     scored = _train_and_score(spark, sf_dir, "stream-linreg", regression_lines, regression_lines,
-                              _labeled, _labeled, LinRegState.zeros(1))
+                              _labeled, _labeled, LinRegState.zeros(1),
+                              "label double, prediction double")
     return scored.select("block", "event_id", F.round("label", 6).alias("label"),
                          F.round("prediction", 6).alias("prediction"))
 
@@ -387,7 +398,7 @@ def q_stream_kmeans_train_score(spark, sf_dir):
     scored = _train_and_score(
         spark, sf_dir, "stream-kmeans", clustering_lines,
         lambda events: clustering_lines(events, labeled=True), vectors, _labeled,
-        KMeansState.fixed(KMEANS_START_CENTERS, weight=0.0))
+        KMeansState.fixed(KMEANS_START_CENTERS, weight=0.0), "label int, cluster int")
     return scored.select("block", "event_id", "label", "cluster")
 
 
