@@ -7,7 +7,8 @@
   documents and the share of good ones, without any true label.
 * The posterior of a pattern is the soft label of its documents.  A linear scorer on hashed
   shapes of the tokens (letters, capitals, digits, punctuation as they stand) learns it, from
-  a sample of at most ``MAX_TRAINING`` documents in the order of a hash of id and text.
+  a sample of at most ``MAX_TRAINING`` rows: one per id and text, in the order of a hash of
+  both.
 * Every whole text is then scored; what a labeller abstained on still gets a score.
 
 Defined results: NULL text counts as empty; a text without words is bad; ids may be NULL or repeat; an empty table gives no rows; other
@@ -172,31 +173,28 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              max_training: int = MAX_TRAINING) -> DataFrame:
     """__id, __posterior (of the label model), __score (of the scorer) for every row."""
     rows = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
+    rows = rows.withColumn("__key", F.xxhash64("__id", "__text"))
     kind = rows.schema["__id"].dataType.simpleString()
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = [pattern(t.as_py()) for t in batch.column(1)]
-            order = [zlib.crc32(t.as_py().encode("utf-8")) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(codes, pa.int64()), pa.array(order, pa.int64())],
-                ["__id", "__code", "__order"])
+            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), batch.column(2)],
+                                             ["__code", "__key"])
 
-    voted = materialise(per_batch(rows, vote, f"__id {kind}, __code long, __order long"),
-                        "quality-votes")
+    voted = materialise(per_batch(rows, vote, "__code long, __key long"), "quality-votes")
     counted = voted.groupBy("__code").count().toPandas().sort_values("__code")  # 3^11 at most
     if not len(counted):
         return rows.select("__id", F.lit(0.0).alias("__posterior"), F.lit(0.0).alias("__score"))
     labels = fit_labels(counted["__code"].to_numpy(), counted["count"].to_numpy(float))
 
-    # every share of the order is as random as the next: the cut keeps about max_training
-    n = int(counted["count"].sum())
-    cut = int(min(1.0, max_training / n) * 2 ** 32)
+    # a bounded sample, so it may be broadcast; rows that repeat come back as one
+    chosen = F.broadcast(voted.select("__key").distinct().orderBy("__key").limit(max_training))
+    drawn = rows.join(chosen, "__key", "left_semi").dropDuplicates(["__key"])
 
     def training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t for t in batch.column(1).to_pylist()
-                     if zlib.crc32(t.encode("utf-8")) < cut]
+            texts = batch.column(0).to_pylist()
             posterior = labels.posterior(np.array([pattern(t) for t in texts], np.int64)) \
                 if texts else np.zeros(0)
             found = [shapes(t) for t in texts]
@@ -205,8 +203,8 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pa.array([f[1] for f in found], pa.list_(pa.float64())), pa.array(posterior)],
                 ["cells", "vals", "target"])
 
-    sample = per_batch(rows, training, "cells array<long>, vals array<double>, target double") \
-        .limit(2 * max_training).toPandas()
+    sample = per_batch(drawn.select("__text"), training,
+                       "cells array<long>, vals array<double>, target double").toPandas()
     sizes = [len(c) for c in sample["cells"]]
     if not sizes:
         w, b = np.zeros(HASH_CELLS), 0.0

@@ -8,8 +8,9 @@ numpy over the presence of words and word beginnings.
 
 * Labels are learned only from rows outside the held-out fold; a score depends on the text
   alone.
-* ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` bound the sample the classifier is fitted on, in
-  the order of a hash of doc_id.  Feature counts, too, are of that sample.  The class prior
+* ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` bound the rows the classifier is fitted on: one
+  row per doc_id and text, in the order of a hash of both.  Feature counts, too, are of that
+  sample.  The class prior
   is the toxic share of all labelled training rows, unless given.
 * Every whole text is scored, in one pass without a shuffle.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, per_batch, read_table, text_or_empty
+from .common import held_out, materialise, per_batch, read_table, text_or_empty
 
 MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 12_000
@@ -144,14 +145,18 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None,
     if prior is None:
         seen = known.agg(F.avg(F.col("toxic").cast("double")).alias("p")).first()["p"]
         prior = min(0.9, max(0.01, seen or 0.01))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = train.select("doc_id").distinct()
-    pos_ids = ids.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    # bounded samples, so both sets of ids may be broadcast
-    positives = train.join(F.broadcast(pos_ids.orderBy(*order).limit(max_positive)), "doc_id",
-                           "left_semi").select("text")
-    unlabelled = train.join(F.broadcast(ids.orderBy(*order).limit(max_unlabelled)), "doc_id",
-                            "left_semi").select("text")
+    train = train.withColumn("hash", F.xxhash64("doc_id", "text"))
+    rows = train.select("doc_id", "hash").distinct()
+    toxic = rows.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+
+    def sample(of: DataFrame, most: int, name: str) -> DataFrame:
+        # a bounded sample, so it may be broadcast; rows that repeat come back as one
+        chosen = F.broadcast(of.orderBy("hash", "doc_id").limit(most))
+        return materialise(train.join(chosen, ["doc_id", "hash"], "left_semi")
+                           .dropDuplicates(["doc_id", "hash"]).select("text"), name)
+
+    positives = sample(toxic, max_positive, "toxicity-positives")
+    unlabelled = sample(rows, max_unlabelled, "toxicity-unlabelled")
 
     n_pos = positives.count()
     if not n_pos:

@@ -54,3 +54,22 @@ def test_defined_cases(spark, documents):
     assert all(0 <= r["__score"] <= 1 and 0 <= r["__posterior"] <= 1 for r in got)
     assert all(r["__posterior"] < 0.5 for r in got if r["__id"] in (1, 2, 5))
     assert classify(documents(rows).limit(0)).count() == 0
+
+
+def test_the_sample_is_one_row_per_id_and_text(spark, documents, monkeypatch):
+    from logstream.llm import quality
+    rows = [(1, "The same text in a third of all rows. It is copied.")] * 300 + [
+        (100 + i, f"This is text number {i} with calm words and ends.") for i in range(60)]
+    sizes, fitted = [], quality.fit_scorer
+
+    def seen(rows, cols, values, target):
+        sizes.append(len(target))
+        return fitted(rows, cols, values, target)
+
+    monkeypatch.setattr(quality, "fit_scorer", seen)
+    one = classify(documents(rows), max_training=20).collect()
+    two = classify(documents(rows).repartition(7), max_training=20).collect()
+    classify(documents(rows)).collect()
+    assert sizes == [20, 20, 61] and len(one) == len(rows)
+    scores = lambda got: sorted(round(r["__score"], 9) for r in got)
+    assert scores(one) == scores(two)

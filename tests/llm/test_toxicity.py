@@ -86,3 +86,24 @@ def test_defined_cases_and_stage(spark, documents, tmp_path):
     texts = [r["text"] for r in kept.collect()]
     assert not any("vile" in t for t in texts) and len(texts) >= 310
     assert toxicity_stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_the_sample_is_bounded_in_rows(spark, documents, monkeypatch):
+    from logstream.llm import toxicity
+    docs, labels = make(spark, documents)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 0]
+    toxic = next(r["doc_id"] for r in labels.where("toxic = 1").orderBy("doc_id").collect()
+                 if r["doc_id"] in ids)
+    hot = documents([(toxic, f"vile row {i % 150}") for i in range(900)])
+    sizes, ones = [], toxicity._ones
+
+    def seen(sample, index):
+        out = ones(sample, index)
+        sizes.append(len(out))
+        return out
+
+    monkeypatch.setattr(toxicity, "_ones", seen)
+    fit(docs.unionByName(hot), labels, max_positive=50, max_unlabelled=100)
+    fit(docs.unionByName(hot), labels)
+    known = {r["doc_id"] for r in labels.where("toxic = 1").collect()} & set(ids)
+    assert sizes == [50, 100, len(known) + 150, len(ids) + 150]
