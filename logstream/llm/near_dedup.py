@@ -64,10 +64,15 @@ SEED = 20_240_601
 # vowel signs and the like are part of a word, but not of \w
 _MARKS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
                  if unicodedata.category(c)[0] == "M")
-_words = re.compile(rf"[\w{_MARKS}]+").findall
+_plain_words = re.compile(r"\w+").findall
+_marked_words = re.compile(rf"[\w{_MARKS}]+").findall
 _MASK = (1 << 64) - 1
 
 
+def _words(text: str) -> list[str]:
+    return _plain_words(text) if text.isascii() else _marked_words(text)
+
+
 class _WordHash(dict):
     """64-bit hash of a word, remembered up to a bound."""
 
