@@ -6,6 +6,7 @@ from .ann import op1_ann
 from .bpe import digests
 from .chat import OP6_SQL, op6_chat
 from .common import read_table
+from .decontaminate import OP12_SQL, op12_decontamination
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import op2_mixing
 from .near_dedup import op5_near_dedup
@@ -33,5 +34,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op12_decontamination": op12_decontamination,
 }
-SQL = {"op6_chat": OP6_SQL, "op7_warc": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+SQL = {"op6_chat": OP6_SQL, "op7_warc": OP7_SQL, "op9_exact_dedup": OP9_SQL,
+       "op12_decontamination": OP12_SQL}
