@@ -10,6 +10,7 @@ from .decontaminate import OP12_SQL, op12_decontamination
 from .exact_dedup import OP9_SQL, op9_exact_dedup
 from .mixing import op2_mixing
 from .near_dedup import op5_near_dedup
+from .periodic import OP11_SQL, op11_periodic_runs
 from .quality import op8_quality
 from .sharding import op10_sharding
 from .toxicity import op3_toxicity
@@ -34,7 +35,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_decontamination": op12_decontamination,
 }
 SQL = {"op6_chat": OP6_SQL, "op7_warc": OP7_SQL, "op9_exact_dedup": OP9_SQL,
-       "op12_decontamination": OP12_SQL}
+       "op11_periodic_runs": OP11_SQL, "op12_decontamination": OP12_SQL}
