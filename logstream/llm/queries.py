@@ -15,6 +15,7 @@ from .quality import op8_quality
 from .sharding import op10_sharding
 from .toxicity import op3_toxicity
 from .warc import OP7_SQL, op7_warc
+from .whitening import op13_whitening
 
 
 def op4_bpe(spark, sf_dir):
@@ -37,6 +38,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_decontamination": op12_decontamination,
+    "op13_whitening": op13_whitening,
 }
 SQL = {"op6_chat": OP6_SQL, "op7_warc": OP7_SQL, "op9_exact_dedup": OP9_SQL,
        "op11_periodic_runs": OP11_SQL, "op12_decontamination": OP12_SQL}
