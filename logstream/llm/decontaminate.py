@@ -178,8 +178,9 @@ def leaks(docs: DataFrame, bench: Benchmark, text_col: str = "text") -> DataFram
         return spark.createDataFrame([], "__leak string, __spans array<struct<start:int,end:int>>,"
                                          " __items array<string>")
     entries = _entries(docs, text_col, bench)
+    # merge: both sides grow with the corpus, so the join is the same at every size
     texts = docs.select(text_or_empty(text_col).alias("__text")).join(
-        entries, F.xxhash64("__text") == F.col("__key"))
+        entries.hint("merge"), F.xxhash64("__text") == F.col("__key"))
     texts = texts.select(F.sha2("__text", 256).alias("__leak"), "__text", "__entries") \
         .dropDuplicates(["__leak"])
     texts = _kept(texts, of="__leak __entries", __w=_words(F.col("__text")))
