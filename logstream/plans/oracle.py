@@ -90,13 +90,9 @@ urlcounts AS (
 )"""
 
 
-def _sessions(gap_s: int) -> str:
+def _session_ctes(gap_s: int) -> str:
     g = gap_s * 1000000
-    return _with(f"""
-SELECT ip, min(t) // 1000000 AS session_start, max(t) // 1000000 AS session_end,
-       count(*) AS session_length,
-       array_to_string(list(url ORDER BY t, event_id) FILTER (WHERE rn <= 10), ' ') AS clickstream
-FROM s3 GROUP BY ip, sid""", f"""
+    return f"""
 clicks AS (
   SELECT event_id, epoch_us(ts) AS t,
          CASE WHEN matched THEN ip ELSE 'error' END AS ip, url_lenient AS url
@@ -115,7 +111,24 @@ s2 AS (
 ),
 s3 AS (
   SELECT *, row_number() OVER (PARTITION BY ip, sid ORDER BY t, event_id) AS rn FROM s2
-)""")
+)"""
+
+
+def _sessions(gap_s: int) -> str:
+    return _with("""
+SELECT ip, min(t) // 1000000 AS session_start, max(t) // 1000000 AS session_end,
+       count(*) AS session_length,
+       array_to_string(list(url ORDER BY t, event_id) FILTER (WHERE rn <= 10), ' ') AS clickstream
+FROM s3 GROUP BY ip, sid""", _session_ctes(gap_s))
+
+
+def session_progress(gap_s: int) -> str:
+    """Every click with its session up to it."""
+    return _with("""
+SELECT event_id, ip, min(t) OVER w // 1000000 AS session_start, rn AS clicks,
+       array_to_string((list(url) OVER w)[1:10], ' ') AS clickstream
+FROM s3 WINDOW w AS (PARTITION BY ip, sid ORDER BY t, event_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", _session_ctes(gap_s))
 
 
 _ALARM_WINDOW_S, _ALARM_SLIDE_S = 86400, 21600

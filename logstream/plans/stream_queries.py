@@ -36,12 +36,13 @@ from ..sources.fixtures import (KMEANS_START_CENTERS, access_log, clustering_lin
 from ..sources.lines import read_lines, status_texts
 from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
+from ..streaming.state import ClickProgress, finish, map_with_state, state_conf
 from ..streaming.sinks import (await_limit, newest_batch, read_latest, running_totals,
                                sql_per_batch, text_batches, upsert_by_key)
 from ..streaming.windows import (keep_slice_counts, newest_window_top_k, read_sliding_counts,
                                  read_status_runs)
 from .ml_oracle import CLUSTER_POINTS_CTE, REG_POINTS_CTE, argmin_sql, distances_sql
-from .oracle import BATCH_SQL, status_run_states
+from .oracle import BATCH_SQL, session_progress, status_run_states
 from .queries import (ALARM_SLIDE, ALARM_WINDOW, TOP_SLIDE, TOP_WINDOW, URL_SLIDE, URL_WINDOW,
                       epoch_s)
 
@@ -274,6 +275,28 @@ def q_stream_sessions(spark, sf_dir):
                        F.array_join("clickstream", " ").alias("clickstream"))
 
 
+def q_stream_click_progress(spark, sf_dir):
+    """Every click with its session so far: general keyed state, a row out per row in.  Rows
+    that the last watermark has not passed come from the checkpoint."""
+    run, process = _Run(spark, "stream-progress"), ClickProgress(10)
+
+    def start():
+        lines, delay = _timed_lines(spark, sf_dir)
+        clicks = to_clicks(parse_access_log(lines), carry=["event_id", "ts"])
+        out = map_with_state(clicks, "ip", process, "ts", tie_col="event_id", watermark=delay)
+        return (out.writeStream.outputMode("append").format("parquet")
+                .option("path", f"{run.out}/rows").option("checkpointLocation", run.checkpoint)
+                .trigger(availableNow=True).start())
+
+    with state_conf(spark):
+        _drive(spark, start)
+    rest = finish(spark, run.checkpoint, "ip", process)
+    both = spark.read.schema(rest.schema).parquet(f"{run.out}/rows").unionByName(rest)
+    return both.select("event_id", "ip",
+                       F.expr("session_start div 1000000").alias("session_start"), "clicks",
+                       F.array_join("clickstream", " ").alias("clickstream"))
+
+
 def q_stream_upsert_by_ip(spark, sf_dir):
     run = _Run(spark, "stream-upsert")
 
@@ -410,6 +433,7 @@ STREAM_QUERIES = {
     "stream_error_alarm": q_stream_error_alarm,
     "stream_error_alarm_1s": q_stream_error_alarm_1s,
     "stream_sessions": q_stream_sessions,
+    "stream_click_progress": q_stream_click_progress,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
     "stream_upsert_row_counts": q_stream_upsert_row_counts,
     "stream_sql_per_batch": q_stream_sql_per_batch,
@@ -509,6 +533,7 @@ WHERE window_start = (SELECT max(epoch_us(ts)) // 21600000000 * 21600 FROM event
     "stream_error_alarm": BATCH_SQL["error_alarm"],
     "stream_error_alarm_1s": status_run_states(),
     "stream_sessions": BATCH_SQL["sessions_30m"],
+    "stream_click_progress": session_progress(1800),
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
     "stream_upsert_row_counts": "SELECT count(*) AS rows, count(*) AS total FROM events",
     "stream_sql_per_batch": BATCH_SQL["agent_counts_per_interval"],
