@@ -122,6 +122,42 @@ SELECT ip, min(t) // 1000000 AS session_start, max(t) // 1000000 AS session_end,
 FROM s3 GROUP BY ip, sid""", _session_ctes(gap_s))
 
 
+def open_sessions(gap_s: int, spans: int, delay_s: int) -> str:
+    """Sessions of the rows of spans 0..k that are open after span k, for each k: their end
+    and the gap reach the watermark, the newest row (in ms) less the delay."""
+    g = gap_s * 1000000
+    return _with(f"""
+SELECT k AS span, ip, min(t) // 1000000 AS session_start, count(*) AS session_length,
+       array_to_string(list(url ORDER BY t, event_id) FILTER (WHERE rn <= 10), ' ') AS clickstream
+FROM z3 GROUP BY k, ip, sid
+HAVING max(t) + {g} >= any_value(newest) // 1000 * 1000 - {delay_s * 1000000}""", f"""
+clicks AS (
+  SELECT event_id, epoch_us(ts) AS t,
+         CASE WHEN matched THEN ip ELSE 'error' END AS ip, url_lenient AS url
+  FROM req
+),
+ends AS (SELECT min(t) AS low, max(t) AS high FROM clicks),
+spanned AS (
+  SELECT c.*, ((t - low) * {spans}) // (high - low + 1) AS span FROM clicks c, ends
+),
+z0 AS (
+  SELECT s.*, k, max(t) OVER (PARTITION BY k) AS newest
+  FROM spanned s, (SELECT unnest(range({spans})) AS k) r WHERE span <= k
+),
+z1 AS (
+  SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > {g} THEN 1 ELSE 0 END AS nw
+  FROM z0 WINDOW w AS (PARTITION BY k, ip ORDER BY t, event_id)
+),
+z2 AS (
+  SELECT *, sum(nw) OVER (PARTITION BY k, ip ORDER BY t, event_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM z1
+),
+z3 AS (
+  SELECT *, row_number() OVER (PARTITION BY k, ip, sid ORDER BY t, event_id) AS rn FROM z2
+)""")
+
+
 def session_progress(gap_s: int) -> str:
     """Every click with its session up to it."""
     return _with("""

@@ -34,6 +34,7 @@ from ..session import new_work_dir
 from ..sources.fixtures import (KMEANS_START_CENTERS, access_log, clustering_lines,
                                 regression_lines, status_json, table)
 from ..sources.lines import read_lines, status_texts
+from ..streaming.history import committed_batches, sql_on_states
 from ..streaming.ml import train_and_score
 from ..streaming.sessions import session_snapshot, sessionize_stream
 from ..streaming.state import ClickProgress, finish, map_with_state, state_conf
@@ -42,7 +43,7 @@ from ..streaming.sinks import (await_limit, newest_batch, read_latest, running_t
 from ..streaming.windows import (keep_slice_counts, newest_window_top_k, read_sliding_counts,
                                  read_status_runs)
 from .ml_oracle import CLUSTER_POINTS_CTE, REG_POINTS_CTE, argmin_sql, distances_sql
-from .oracle import BATCH_SQL, session_progress, status_run_states
+from .oracle import BATCH_SQL, open_sessions, session_progress, status_run_states
 from .queries import (ALARM_SLIDE, ALARM_WINDOW, TOP_SLIDE, TOP_WINDOW, URL_SLIDE, URL_WINDOW,
                       epoch_s)
 
@@ -50,6 +51,7 @@ MAX_FILES = 16           # files of the table per micro-batch
 BLOCK_ROWS = 4_000       # ids per landed block
 TEXT_LIMIT = 200         # row limit of stream_text_until_limit
 WATERMARK = 600          # seconds; least delay of a watermark
+HISTORY_SPANS = 4        # spans of time that stream_session_history lands one by one
 
 
 class _Run:
@@ -275,6 +277,52 @@ def q_stream_sessions(spark, sf_dir):
                        F.array_join("clickstream", " ").alias("clickstream"))
 
 
+def q_stream_session_history(spark, sf_dir):
+    """SQL on the live session state after every batch.  The events arrive in HISTORY_SPANS
+    spans of time, one batch each; a span's rows are set apart once, then landed."""
+    run = _Run(spark, "stream-history")
+    events = table(spark, sf_dir, "events")
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(t), F.max(t)).first()              # two numbers
+    span = F.floor((t - F.lit(low)) * HISTORY_SPANS / F.lit((high or 0) - (low or 0) + 1))
+    staged = f"{run.landing}-staged"
+    events.where(F.col("ts").isNotNull()).withColumn("span", span.cast("int")) \
+        .write.partitionBy("span").parquet(staged)
+    after = {}                                   # span -> the batch that ended it
+
+    def start():
+        lines = access_log(read_lines(spark, "files", run.landing, fmt="parquet",
+                                      schema=events.schema))
+        clicks = to_clicks(parse_access_log(lines), carry=["event_id", "ts"])
+        closed = sessionize_stream(clicks, gap="30 minutes", max_clicks=10, key="ip",
+                                   time_col="ts", tie_col="event_id",
+                                   watermark=f"{WATERMARK} seconds")
+        return (closed.writeStream.outputMode("append").format("parquet")
+                .option("path", f"{run.out}/closed")
+                .option("checkpointLocation", run.checkpoint)
+                .trigger(availableNow=True).start())
+
+    with_span = spark.read.schema(f"{_ddl(events)}, span int").parquet(staged)
+    for k in range(HISTORY_SPANS):
+        with_span.where(F.col("span") == k).drop("span").write.mode("append").parquet(run.landing)
+        _drive(spark, start)
+        after[k] = max(committed_batches(spark, run.checkpoint), default=None)
+
+    def states(k: int) -> DataFrame:
+        return session_snapshot(spark, run.checkpoint, batch_id=after[k])
+
+    found = sql_on_states(
+        spark, states, [k for k in after if after[k] is not None], "session_data",
+        "SELECT batch_id AS span, ip, unix_seconds(session_start) AS session_start, "
+        "session_length, array_join(clickstream, ' ') AS clickstream FROM session_data")
+    return found if found is not None else spark.createDataFrame(
+        [], "span long, ip string, session_start long, session_length long, clickstream string")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 def q_stream_click_progress(spark, sf_dir):
     """Every click with its session so far: general keyed state, a row out per row in.  Rows
     that the last watermark has not passed come from the checkpoint."""
@@ -434,6 +482,7 @@ STREAM_QUERIES = {
     "stream_error_alarm_1s": q_stream_error_alarm_1s,
     "stream_sessions": q_stream_sessions,
     "stream_click_progress": q_stream_click_progress,
+    "stream_session_history": q_stream_session_history,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
     "stream_upsert_row_counts": q_stream_upsert_row_counts,
     "stream_sql_per_batch": q_stream_sql_per_batch,
@@ -534,6 +583,7 @@ WHERE window_start = (SELECT max(epoch_us(ts)) // 21600000000 * 21600 FROM event
     "stream_error_alarm_1s": status_run_states(),
     "stream_sessions": BATCH_SQL["sessions_30m"],
     "stream_click_progress": session_progress(1800),
+    "stream_session_history": open_sessions(1800, HISTORY_SPANS, WATERMARK),
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
     "stream_upsert_row_counts": "SELECT count(*) AS rows, count(*) AS total FROM events",
     "stream_sql_per_batch": BATCH_SQL["agent_counts_per_interval"],

@@ -170,10 +170,15 @@ def sessionize_stream(clicks: DataFrame, gap: str | int = DEFAULT_GAP,
                       "session_length", "clickstream")
 
 
-def session_snapshot(spark: SparkSession, checkpoint: str, key: str = "ip") -> DataFrame:
+def session_snapshot(spark: SparkSession, checkpoint: str, key: str = "ip",
+                     batch_id: int | None = None) -> DataFrame:
     """Open sessions held in the state store of a sessionize_stream query
-    (the reference's state snapshots), as the same columns as closed ones."""
-    raw = spark.read.format("statestore").load(checkpoint)
+    (the reference's state snapshots), as the same columns as closed ones; after the last
+    batch, or after an earlier one that the store still has."""
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", str(batch_id))
+    raw = reader.load(checkpoint)
     # the value row wraps the user state as value.groupState (plus its timeout)
     seg = raw.select(F.col("key").getField("_k").alias(key),
                      F.explode(F.col("value.groupState.segments")).alias("s"))
