@@ -36,6 +36,7 @@ from ..sources.fixtures import (KMEANS_START_CENTERS, access_log, clustering_lin
 from ..sources.lines import read_lines, status_texts
 from ..streaming.history import committed_batches, sql_on_states
 from ..streaming.ml import train_and_score
+from ..streaming.ring import open_runs, run_windows, sliding_runs_stream
 from ..streaming.sessions import session_snapshot, sessionize_stream
 from ..streaming.state import ClickProgress, finish, map_with_state, state_conf
 from ..streaming.sinks import (await_limit, newest_batch, read_latest, running_totals,
@@ -213,6 +214,29 @@ def q_stream_top_urls_newest(spark, sf_dir):
     return newest.select(epoch_s("window_start").alias("window_start"), "url", "n", "rank")
 
 
+def q_stream_sliding_incremental(spark, sf_dir):
+    """300 s windows sliding every second, kept up to date in state: entering slices are
+    added, leaving ones subtracted.  Closed windows come from the sink, open ones from state."""
+    run = _Run(spark, "stream-ring")
+
+    def start():
+        lines, delay = _timed_lines(spark, sf_dir)
+        urls = to_urls(parse_access_log(lines), carry=["ts"])
+        runs = sliding_runs_stream(urls, "url", URL_WINDOW, "1 second", time_col="ts",
+                                   watermark=delay)
+        return (runs.writeStream.outputMode("append").format("parquet")
+                .option("path", f"{run.out}/closed")
+                .option("checkpointLocation", run.checkpoint)
+                .trigger(availableNow=True).start())
+
+    _drive(spark, start)
+    opened = open_runs(spark, run.checkpoint, "url", URL_WINDOW, "1 second")
+    runs = spark.read.schema(opened.schema).parquet(f"{run.out}/closed").unionByName(opened)
+    start_s = epoch_s("window_start")
+    return run_windows(runs, "1 second").select(
+        start_s.alias("window_start"), (start_s + 300).alias("window_end"), "url", "n")
+
+
 def q_stream_error_alarm(spark, sf_dir):
     """Status totals per sliding window kept up to date by the stream (update
     mode into the keyed sink); the alarm rule runs on the current totals."""
@@ -481,6 +505,7 @@ STREAM_QUERIES = {
     "stream_error_alarm": q_stream_error_alarm,
     "stream_error_alarm_1s": q_stream_error_alarm_1s,
     "stream_sessions": q_stream_sessions,
+    "stream_sliding_incremental": q_stream_sliding_incremental,
     "stream_click_progress": q_stream_click_progress,
     "stream_session_history": q_stream_session_history,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
@@ -582,6 +607,7 @@ WHERE window_start = (SELECT max(epoch_us(ts)) // 21600000000 * 21600 FROM event
     "stream_error_alarm": BATCH_SQL["error_alarm"],
     "stream_error_alarm_1s": status_run_states(),
     "stream_sessions": BATCH_SQL["sessions_30m"],
+    "stream_sliding_incremental": BATCH_SQL["sliding_url_counts_1s"],
     "stream_click_progress": session_progress(1800),
     "stream_session_history": open_sessions(1800, HISTORY_SPANS, WATERMARK),
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
