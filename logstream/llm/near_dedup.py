@@ -59,25 +59,31 @@ WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 20
 BLOCK = 128            # nodes of a bucket that one task compares
 LEADERS = (1, 6, 6)    # leaders that a bucket above BLOCK meets, by round
+KNOWN_WORDS = 1 << 16  # hashes of words that a worker remembers
+CELLS = 1 << 16        # hashes that a task holds at a time for one text
 SEED = 20_240_601
 
 # vowel signs and the like are part of a word, but not of \w
-_MARKS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
-                 if unicodedata.category(c)[0] == "M")
-_plain_words = re.compile(r"\w+").findall
-_marked_words = re.compile(rf"[\w{_MARKS}]+").findall
+_MARKS = frozenset(c for c in map(chr, range(sys.maxunicode + 1))
+                   if unicodedata.category(c)[0] == "M")
+_AS_LETTER = dict.fromkeys(map(ord, _MARKS), "a")
+_word = re.compile(r"\w+")
+_beyond = re.compile(f"[{min(_MARKS)}-{chr(sys.maxunicode)}]").search   # could be a mark
 _MASK = (1 << 64) - 1
 
 
 def _words(text: str) -> list[str]:
-    return _plain_words(text) if text.isascii() else _marked_words(text)
+    if _beyond(text) and not _MARKS.isdisjoint(text):
+        # same places with each mark a letter, read from the text itself
+        return [text[m.start():m.end()] for m in _word.finditer(text.translate(_AS_LETTER))]
+    return _word.findall(text)
 
 
 class _WordHash(dict):
     """64-bit hash of a word, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         value = self[word] = int.from_bytes(
             hashlib.blake2b(word.encode("utf-8"), digest_size=8).digest(), "little")
@@ -126,11 +132,12 @@ _ODD = _rng.integers(0, 1 << 63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.ui
 def bands(grams: np.ndarray) -> np.ndarray:
     """One 64-bit key per band."""
     picked = np.zeros((2, ROWS * BANDS), np.int64)       # a single k-mer stands twice
-    for i in range(ROWS * BANDS):
-        h = (grams ^ _SALT[i]) * _ODD[i]
-        picked[0, i] = np.argmin(h)
-        h[picked[0, i]] = _MASK
-        picked[1, i] = np.argmin(h)
+    step = max(1, CELLS // len(grams))                   # hash functions at a time
+    for i in range(0, ROWS * BANDS, step):
+        h = (grams ^ _SALT[i:i + step, None]) * _ODD[i:i + step, None]
+        first = picked[0, i:i + step] = h.argmin(axis=1)
+        h[np.arange(len(h)), first] = _MASK
+        picked[1, i:i + step] = h.argmin(axis=1)
     picked.sort(axis=0)                                  # text order
     sketches = grams[picked[0]] * np.uint64(0x9E3779B97F4A7C15) + grams[picked[1]]
     keys = np.arange(BANDS, dtype=np.uint64)
