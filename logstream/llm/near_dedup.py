@@ -21,12 +21,12 @@ Classes need every text linked to its class, not every pair compared.  A bucket
 BLOCK nodes goes to one task whole.  A larger one meets leaders in rounds: first one member
 is the leader and those linked to it are the bucket's core; then several members of the
 core lead, and only members outside the core are verified against them (equi-joins on ids;
-hot leaders are split by adaptive execution).  In a group of near copies few stay outside;
-those are compared with all others of the bucket, block by block, and members of the core
-not with one another, as they are connected.  So no link between different classes is lost
-to the size of a bucket, and a group of near copies costs a few times its size.  (A large
-bucket of texts that are *not* similar, which four shared smallest k-mers make rare, costs
-the square of its size / BLOCK rows.)
+hot leaders are split by adaptive execution).  A member that one band leaves outside and
+another one connects with the same core counts as connected.  In a group of near copies few stay outside its class; those are compared with
+all others of the bucket, block by block, and members of one class not with one another.  So
+no link between different classes is lost to the size of a bucket, and a group of near
+copies costs a few times its size.  (A large bucket of texts that are *not* similar, which
+four shared smallest k-mers make rare, costs the square of its size / BLOCK rows.)
 
 Texts travel compressed to the tasks that compare them.
 
@@ -59,8 +59,9 @@ WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 20
 BLOCK = 128            # nodes of a bucket that one task compares
 LEADERS = (1, 6, 6)    # leaders that a bucket above BLOCK meets, by round
-KNOWN_WORDS = 1 << 16  # hashes of words that a worker remembers
 CELLS = 1 << 16        # hashes that a task holds at a time for one text
+RECENT_BYTES = 1 << 24 # of k-mers that a worker keeps between groups
+KNOWN_WORDS = 1 << 16  # hashes of words that a worker remembers
 SEED = 20_240_601
 
 # vowel signs and the like are part of a word, but not of \w
@@ -241,6 +242,56 @@ def _unpacked(data: bytes) -> np.ndarray:
     return kmers(zlib.decompress(data).decode("utf-8"))[1]
 
 
+class _Recent(dict):
+    """K-mers of nodes that a worker met last, bounded in bytes."""
+
+    size = 0
+
+    def of(self, node: bytes, text: bytes) -> np.ndarray:
+        grams = self.get(node)
+        if grams is None:
+            grams = _unpacked(text)
+            if self.size + grams.nbytes > RECENT_BYTES:
+                self.clear()
+                self.size = 0
+            if grams.nbytes <= RECENT_BYTES:
+                self[node] = grams
+                self.size += grams.nbytes
+        return grams
+
+
+_recent = _Recent()
+
+
+def _alike(bags: list[np.ndarray], ask: list[int]) -> list[tuple[int, int]]:
+    """Pairs (one of ``ask``, any other), each once, whose bags of k-mers have a Jaccard
+    similarity of SIMILARITY or more."""
+    sizes = np.array([len(b) for b in bags], np.int64)
+    ask = np.array(ask, np.int64)
+    common = np.zeros((len(ask), len(bags)), np.float32)
+    flat = np.concatenate(bags)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(bags)), sizes)[order]
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])[:len(flat)]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column, minlength=1)[column] > 1 if len(flat) else new
+    owner, column = owner[shared], column[shared]
+    if len(column):
+        column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]]))
+        # counts of common k-mers as a product of 0/1 matrices, some columns at a time
+        step = max(1, CELLS * 16 // len(bags))
+        for low in range(0, int(column[-1]) + 1, step):
+            a, b = np.searchsorted(column, [low, low + step])
+            holds = np.zeros((len(bags), step), np.float32)
+            holds[owner[a:b], column[a:b] - low] = 1
+            common += holds[ask] @ holds.T
+    either = sizes[ask][:, None] + sizes[None, :] - common
+    i, j = np.nonzero((common >= SIMILARITY * either - 1e-6)
+                      & (np.arange(len(bags))[None, :] != ask[:, None]))
+    pairs = {(min(x, y), max(x, y)) for x, y in zip(ask[i].tolist(), j.tolist())}
+    return sorted(pairs)
+
+
 def _large(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links inside buckets above BLOCK nodes."""
     members, links = members.withColumn("__core", F.lit(False)), None
@@ -271,20 +322,35 @@ def _large(members: DataFrame, texts: DataFrame) -> DataFrame:
     return links.unionByName(_outside(members, texts))
 
 
+def _labelled(members: DataFrame) -> DataFrame:
+    """__bucket, __node, __label; nodes of one label are connected.  A bucket's core is, so
+    buckets that share a node of both cores are: a bucket takes the least bucket that a node
+    of its core has in common with it, a node the label of its own least one."""
+    core = members.where("__core").select(F.col("__bucket").alias("__b"), F.col("__node").alias("__n"))
+    home = materialise(core.groupBy("__n").agg(F.min("__b").alias("__home")), "near-home")
+    shared = core.join(home, "__n").groupBy("__b").agg(F.min("__home").alias("__least"))
+    names = home.join(shared, F.col("__home") == F.col("__b")).select(
+        "__n", F.concat(F.lit("bucket "), "__least").cast("binary").alias("__name"))
+    return materialise(members.join(names, F.col("__node") == F.col("__n"), "left").select(
+        "__bucket", "__node", F.coalesce("__name", "__node").alias("__label")), "near-labelled")
+
+
 def _outside(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Compare members outside their bucket's core with all others of the bucket: blocks of
-    the former meet blocks of all members."""
-    out = ~F.col("__core")
-    sizes = members.groupBy(F.col("__bucket").alias("__b")).agg(
-        F.ceil(F.sum(out.cast("int")) / BLOCK).cast("int").alias("__outs"),
-        F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("__alls"))
-    sized = members.join(sizes.where("__outs > 0"), F.col("__bucket") == F.col("__b"))
+    """Compare members of large buckets that no link of any band is seen to connect with most
+    of the bucket with all others of it: blocks of the former meet blocks of all members."""
+    labelled = _labelled(members)
+    main = labelled.groupBy("__bucket", "__label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = main.groupBy(F.col("__bucket").alias("__b")).agg(
+        F.max_by("__label", F.struct("n", "__label")).alias("__main"),
+        F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("__outs"),
+        F.ceil(F.sum("n") / (4 * BLOCK)).cast("int").alias("__alls"))
+    sized = labelled.join(sizes.where("__outs > 0"), F.col("__bucket") == F.col("__b"))
     part = lambda n: F.pmod(F.xxhash64("__node", F.lit(7)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    core = F.when(F.col("__core"), F.lit(b"core")).otherwise(F.col("__node"))
-    keep = ["__bucket", "__node", core.alias("__label")]
-    left = sized.where(out).select(*keep, part("__outs").alias("__i"), every("__alls").alias("__j"),
-                                   F.lit(True).alias("__query"))
+    keep = ["__bucket", "__node", "__label"]
+    left = sized.where("__label != __main").select(
+        *keep, part("__outs").alias("__i"), every("__alls").alias("__j"),
+        F.lit(True).alias("__query"))
     right = sized.select(*keep, every("__outs").alias("__i"), part("__alls").alias("__j"),
                          F.lit(False).alias("__query"))
     return _compared(left.unionByName(right), texts, ["__bucket", "__i", "__j"])
@@ -300,17 +366,16 @@ def _compared(rows: DataFrame, texts: DataFrame, group: list[str]) -> DataFrame:
     """Links in each group between a node marked __query and any node of another label;
     nodes that the links found already connect are not compared."""
     def compare(table):
-        found: list[tuple[bytes, bytes]] = []
         sequences: dict[bytes, np.ndarray] = {}
         labels, asked = {}, set()
         for node, label, query, text in zip(*(table[c].to_pylist() for c in (
                 "__node", "__label", "__query", "__packed"))):
             if node not in sequences:
-                sequences[node] = _unpacked(text)
+                sequences[node] = _recent.of(node, text)
                 labels[node] = label
             if query:
                 asked.add(node)
-        bags = {n: np.sort(g) for n, g in sequences.items()}
+        nodes = sorted(sequences)
         root = {label: label for label in labels.values()}
 
         def top(x: bytes) -> bytes:
@@ -319,17 +384,14 @@ def _compared(rows: DataFrame, texts: DataFrame, group: list[str]) -> DataFrame:
                 x = root[x]
             return x
 
-        order = sorted(bags, key=lambda n: (len(bags[n]), n))
-        for x, a in enumerate(order):
-            for b in order[x + 1:]:
-                if len(bags[a]) < SIMILARITY * len(bags[b]):
-                    break                      # longer ones differ even more in length
-                if not (a in asked or b in asked) or top(labels[a]) == top(labels[b]):
-                    continue
-                if bag_jaccard(bags[a], bags[b]) >= SIMILARITY \
-                        and aligned(sequences[a], sequences[b]) >= SIMILARITY:
-                    root[top(labels[b])] = top(labels[a])
-                    found.append((a, b))
+        found: list[tuple[bytes, bytes]] = []
+        ask = [i for i, n in enumerate(nodes) if n in asked]
+        for i, j in _alike([sequences[n] for n in nodes], ask):
+            a, b = nodes[i], nodes[j]
+            if top(labels[a]) != top(labels[b]) \
+                    and aligned(sequences[a], sequences[b]) >= SIMILARITY:
+                root[top(labels[b])] = top(labels[a])
+                found.append((a, b))
         return pa.table({"__node": pa.array([f[0] for f in found], pa.binary()),
                          "__other": pa.array([f[1] for f in found], pa.binary())})
 
@@ -342,13 +404,12 @@ def components(links: DataFrame) -> DataFrame:
     """__n, __class: the smallest node connected to each linked node.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014); every step is
-    joins and aggregates over a table, until the edges no longer change.
+    joins and aggregates over a table, until the edges are stars.
     """
     edges = materialise(links.select(F.greatest("__node", "__other").alias("u"),
                                      F.least("__node", "__other").alias("v"))
                         .where("u != v").distinct(), "near-edges")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select(
             "k", F.least("k", "m").alias("m"))
@@ -360,10 +421,17 @@ def components(links: DataFrame) -> DataFrame:
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v")).where("u != v").distinct()
         edges = materialise(small, "near-edges")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("__n"), F.col("v").alias("__class"))
-        before = now
+    return edges.select(F.col("u").alias("__n"), F.col("v").alias("__class"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node that points to another one points to one only, to which none points
+    that is pointed to itself."""
+    ends = edges.select(F.col("u").alias("k"), F.lit(1).alias("out"), F.lit(0).alias("to")) \
+        .unionByName(edges.select(F.col("v").alias("k"), F.lit(0).alias("out"),
+                                  F.lit(1).alias("to")))
+    return ends.groupBy("k").agg(F.sum("out").alias("out"), F.max("to").alias("to")).where(
+        "out > 1 OR (out > 0 AND to > 0)").isEmpty()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
