@@ -137,6 +137,14 @@ def with_status_class(parsed: DataFrame) -> DataFrame:
 #   labeled "(1.0,[2.0,3.0])"   or legacy "1.0,2.0 3.0"
 # ---------------------------------------------------------------------------
 
+def parsed_columns(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
+    """The columns ``keep`` and the parsed ``columns``, each parsed once: a generator stands
+    between the parser and what uses its columns, so a filter or an aggregate over them is not
+    rewritten into copies of the parser."""
+    held = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select(*keep, held.alias("_held")).select(*keep, "_held.*")
+
+
 MAX_SPARSE_DIM = 65_536      # of sparse vectors whose dimension the caller does not name
 _SPARSE = r"^\(\s*(\d+)\s*,\s*(\[[^\]]*\])\s*,\s*(\[[^\]]*\])\s*\)$"
 
@@ -146,8 +154,8 @@ def parse_vector(text: Column, dim: int | None = None) -> Column:
 
     A sparse text names its own size, so it is read only when that is the
     expected ``dim``, or, with none given, at most MAX_SPARSE_DIM (else NULL): the
-    input never chooses how large an array a row expands to.  Indices must be
-    distinct and inside the vector.
+    input never chooses how large an array a row expands to.  (:func:`parse_sparse` keeps
+    vectors of any size as they are.)  Indices must be distinct and inside the vector.
     """
     s = F.trim(text)
     dense = F.from_json(s, "array<double>")
@@ -166,6 +174,31 @@ def parse_vector(text: Column, dim: int | None = None) -> Column:
             .when(usable, sparse))
 
 
+def parse_sparse(text: Column) -> Column:
+    """struct<size, indices, values> (indices ascending) from a sparse vector text of any
+    size, or from a dense one (its entries other than 0); NULL on bad input.  What a row takes
+    depends on its entries, not on its size."""
+    s = F.trim(text)
+    dense = F.from_json(s, "array<double>")
+    entries = F.filter(F.transform(dense, lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
+                       lambda e: e["v"] != 0)
+    of_dense = F.when(F.forall(dense, lambda v: v.isNotNull()), F.struct(
+        F.size(dense).alias("size"), entries.alias("e")))
+    size = F.regexp_extract(s, _SPARSE, 1).try_cast("int")
+    idx = F.from_json(F.regexp_extract(s, _SPARSE, 2), "array<int>")
+    vals = F.from_json(F.regexp_extract(s, _SPARSE, 3), "array<double>")
+    good = (size.isNotNull() & (F.size(idx) == F.size(vals))
+            & (F.size(F.array_distinct(idx)) == F.size(idx))
+            & F.forall(idx, lambda i: i.isNotNull() & (i >= 0) & (i < size))
+            & F.forall(vals, lambda v: v.isNotNull()))
+    pairs = F.zip_with(idx, vals, lambda i, v: F.struct(i.alias("i"), v.alias("v")))
+    of_sparse = F.when(good, F.struct(size.alias("size"), F.array_sort(pairs).alias("e")))
+    both = F.when(s.startswith("["), of_dense).when(s.startswith("("), of_sparse)
+    return F.when(both.isNotNull(), F.struct(
+        both["size"].alias("size"), F.transform(both["e"], lambda e: e["i"]).alias("indices"),
+        F.transform(both["e"], lambda e: e["v"]).alias("values")))
+
+
 _LABELED = r"^\(\s*([^,()\[\]]+?)\s*,\s*(.*\S)\s*\)$"
 
 

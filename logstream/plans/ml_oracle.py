@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ..sources.fixtures import (EVENT_TYPES, KMEANS_START_CENTERS, SPARSE_DIM,
-                                wide_start_centers)
+from ..sources.fixtures import (EVENT_TYPES, KMEANS_START_CENTERS, SPARSE_DIM, WIDE_STEP,
+                                WIDE_TYPES, wide_sparse_centers, wide_start_centers)
 
 _K = "CAST(regexp_extract(props, '\"k\":\\s*(\\d+)', 1) AS INTEGER)"
 
@@ -148,7 +148,45 @@ trained AS (
        JOIN upd l ON l.cluster = e.lg AND l.d = u.d
 )"""
 
+# Cells of sparse points and centers; distances over the indices that either has.
+_SPARSE_ASSIGN = f"""
+cell AS (
+  SELECT event_id, {WIDE_STEP} * {_K} AS index, value / 100.0 AS v FROM events
+  UNION ALL SELECT event_id, {WIDE_TYPES} + {_LABEL}, 1.0 FROM events
+),
+center AS (
+  SELECT * FROM (VALUES {", ".join(
+      f"({j}, {i}, CAST({v!r} AS DOUBLE))"
+      for j, c in enumerate(wide_sparse_centers()) for i, v in c.items())}) t(cluster, index, c)
+),
+pair AS (SELECT event_id, cluster FROM events, (SELECT DISTINCT cluster FROM center) k),
+dist AS (
+  SELECT event_id, cluster, sum((v - c) * (v - c)) AS d
+  FROM (
+    SELECT p.event_id, p.cluster, x.v, coalesce(m.c, 0.0) AS c
+    FROM pair p JOIN cell x ON x.event_id = p.event_id
+         LEFT JOIN center m ON m.cluster = p.cluster AND m.index = x.index
+    UNION ALL
+    SELECT p.event_id, p.cluster, 0.0, m.c
+    FROM pair p JOIN center m ON m.cluster = p.cluster
+         LEFT JOIN cell x ON x.event_id = p.event_id AND x.index = m.index
+    WHERE x.event_id IS NULL
+  ) z GROUP BY event_id, cluster
+),
+near AS (SELECT event_id, min(cluster) AS cluster FROM (
+  SELECT *, min(round(d, 9)) OVER (PARTITION BY event_id) AS least FROM dist) z
+  WHERE round(d, 9) = least GROUP BY event_id)"""
+
 ML_SQL = {
+    "kmeans_assign_sparse": "WITH " + _SPARSE_ASSIGN.strip() + """
+SELECT event_id, CAST(cluster AS INTEGER) AS cluster FROM near""",
+    "kmeans_train_sparse": "WITH " + _SPARSE_ASSIGN.strip() + """,
+n AS (SELECT cluster, count(*) AS n FROM near GROUP BY cluster),
+s AS (SELECT cluster, index, sum(v) AS s FROM near JOIN cell USING (event_id) GROUP BY cluster, index)
+SELECT CAST(cluster AS INTEGER) AS cluster, CAST(index AS INTEGER) AS index,
+       (round(CASE WHEN n.n IS NULL THEN c ELSE coalesce(s, 0.0) / n.n END, 6) + 0.0) AS center,
+       CAST(coalesce(n.n, 0) AS DOUBLE) AS weight
+FROM (SELECT * FROM center FULL JOIN s USING (cluster, index)) b LEFT JOIN n USING (cluster)""",
     "parse_vector": "WITH " + _CL_PTS.strip() + """
 SELECT event_id, 2 AS dims, (round(a, 6) + 0.0) AS f0, (round(b, 6) + 0.0) AS f1 FROM cpts""",
     "parse_labeled": "WITH " + _REG_PTS.strip() + """

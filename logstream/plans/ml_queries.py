@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import parse_labeled, parse_vector
+from ..functions.parse import parse_labeled, parse_sparse, parse_vector, parsed_columns
 from ..operators.online_ml import (KMeansState, LinRegState, fit_scaling, kmeans_assign,
                                    kmeans_score, kmeans_train_batch, linreg_closed_form,
                                    linreg_score, linreg_train_batch, scale_features, unscale)
-from ..sources.fixtures import (KMEANS_START_CENTERS, SPARSE_DIM, clustering_lines, legacy_lines,
-                                regression_lines, sparse_lines, table, wide_start_centers)
+from ..operators.sparse import SparseKMeans, kmeans_assign_sparse, kmeans_train_sparse
+from ..session import write_once
+from ..sources.fixtures import (KMEANS_START_CENTERS, SPARSE_DIM, WIDE_SPARSE_DIM, clustering_lines,
+                                legacy_lines, regression_lines, sparse_lines, table,
+                                wide_sparse_centers, wide_sparse_lines, wide_start_centers)
 
 
 def _r(c, name):
@@ -29,15 +32,15 @@ def _r6(x: float) -> float:
 def regression_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = regression_lines(table(spark, sf_dir, "events"))
     label, feats = parse_labeled(F.col("value"))
-    return lines.select("event_id", label.alias("label"), feats.alias("features"))
+    return parsed_columns(lines, "event_id", label=label, features=feats)
 
 
 def clustering_points(spark: SparkSession, sf_dir: str, labeled: bool = False) -> DataFrame:
     lines = clustering_lines(table(spark, sf_dir, "events"), labeled=labeled)
     if labeled:
         label, feats = parse_labeled(F.col("value"))
-        return lines.select("event_id", label.alias("label"), feats.alias("features"))
-    return lines.select("event_id", parse_vector(F.col("value")).alias("features"))
+        return parsed_columns(lines, "event_id", label=label, features=feats)
+    return parsed_columns(lines, "event_id", features=parse_vector(F.col("value")))
 
 
 def q_parse_vector(spark, sf_dir):
@@ -156,6 +159,28 @@ def q_kmeans_train_wide(spark, sf_dir):
     return spark.createDataFrame(rows, "cluster int, dim int, center double, weight double")
 
 
+def _wide_sparse(spark, sf_dir) -> tuple[DataFrame, SparseKMeans]:
+    lines = wide_sparse_lines(table(spark, sf_dir, "events"))
+    points = write_once(parsed_columns(lines, "event_id", features=parse_sparse(F.col("value"))),
+                        "sparse-points")                # read by both sides of the join
+    return points, SparseKMeans.fixed(spark, wide_sparse_centers(), WIDE_SPARSE_DIM)
+
+
+def q_kmeans_assign_sparse(spark, sf_dir):
+    """Nearest of five sparse centers, vectors of a million dimensions."""
+    points, model = _wide_sparse(spark, sf_dir)
+    return kmeans_assign_sparse(points, model, "event_id").select("event_id", "cluster")
+
+
+def q_kmeans_train_sparse(spark, sf_dir):
+    """Stored entries of the centers after one batch."""
+    points, model = _wide_sparse(spark, sf_dir)
+    trained = kmeans_train_sparse(points, model, "event_id")
+    weight = F.element_at(F.array(*[F.lit(w) for w in trained.weights]), F.col("cluster") + 1)
+    return trained.centers.select("cluster", "index", _r(F.col("value"), "center"),
+                                  _r(weight, "weight"))
+
+
 ML_QUERIES = {
     "parse_vector": q_parse_vector,
     "parse_labeled": q_parse_labeled,
@@ -169,6 +194,8 @@ ML_QUERIES = {
     "kmeans_assign": q_kmeans_assign,
     "kmeans_train_batch": q_kmeans_train_batch,
     "kmeans_score": q_kmeans_score,
+    "kmeans_assign_sparse": q_kmeans_assign_sparse,
+    "kmeans_train_sparse": q_kmeans_train_sparse,
     "kmeans_assign_wide": q_kmeans_assign_wide,
     "kmeans_train_wide": q_kmeans_train_wide,
 }

@@ -25,7 +25,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import parse_access_log, parse_labeled, parse_vector, with_status_class
+from ..functions.parse import (parse_access_log, parse_labeled, parse_vector, parsed_columns,
+                               with_status_class)
 from ..operators.alarm import error_alarm
 from ..operators.online_ml import KMeansState, LinRegState
 from ..operators.records import to_access_rows, to_clicks, to_requests, to_urls
@@ -473,7 +474,7 @@ def _train_and_score(spark, sf_dir, name, train_lines, test_lines, train_points,
 
 def _labeled(lines: DataFrame) -> DataFrame:
     label, feats = parse_labeled(F.col("value"))
-    return lines.select("event_id", label.alias("label"), feats.alias("features"))
+    return parsed_columns(lines, "event_id", label=label, features=feats)
 
 
 def q_stream_linreg_train_score(spark, sf_dir):
@@ -488,7 +489,7 @@ def q_stream_linreg_train_score(spark, sf_dir):
 def q_stream_kmeans_train_score(spark, sf_dir):
     """Streaming k-means: training lines "[a, b]", test lines "(label,[a, b])"."""
     def vectors(lines):
-        return lines.select("event_id", parse_vector(F.col("value")).alias("features"))
+        return parsed_columns(lines, "event_id", features=parse_vector(F.col("value")))
 
     scored = _train_and_score(
         spark, sf_dir, "stream-kmeans", clustering_lines,

@@ -23,6 +23,10 @@ EVENT_TYPES = ["signup", "error", "click", "view", "purchase"]
 KMEANS_START_CENTERS = [[0.25, 0.25], [0.75, 0.75], [1.5, 0.25], [2.5, 0.75], [4.0, 0.5]]
 #   Sparse vectors: value/100 at index k of SPARSE_DIM.
 SPARSE_DIM = 100
+#   Wide sparse vectors of WIDE_SPARSE_DIM: value/100 at index WIDE_STEP * k, and 1 at index
+#   WIDE_TYPES + label of the event type.  Start center j: 1 at WIDE_TYPES + j and
+#   0.3 * (j + 1) at WIDE_STEP * (10 * j + 3).
+WIDE_SPARSE_DIM, WIDE_STEP, WIDE_TYPES = 1_000_000, 101, 500_000
 #   Wide clustering (embeddings, 64 dims): center j is WIDE_CENTER_VALUE in the
 #   dimensions d with d % 5 == j and 0 elsewhere (a rule, not a table).
 WIDE_K = 5
@@ -122,6 +126,20 @@ def sparse_lines(events: DataFrame) -> DataFrame:
     return events.select("event_id", text.alias("value"))
 
 
+def wide_sparse_lines(events: DataFrame) -> DataFrame:
+    """Sparse vectors "(WIDE_SPARSE_DIM,[WIDE_STEP * k,WIDE_TYPES + label],[value/100,1.0])"."""
+    text = F.concat(F.lit(f"({WIDE_SPARSE_DIM},["),
+                    (_k(F.col("props")) * WIDE_STEP).cast("string"), F.lit(","),
+                    (_label_of_type(F.col("event_type")) + WIDE_TYPES).cast("string"), F.lit("],["),
+                    (F.col("value") / 100.0).cast("string"), F.lit(",1.0])"))
+    return events.select("event_id", text.alias("value"))
+
+
+def wide_sparse_centers() -> list[dict[int, float]]:
+    return [{WIDE_TYPES + j: 1.0, WIDE_STEP * (10 * j + 3): 0.3 * (j + 1)}
+            for j in range(len(EVENT_TYPES))]
+
+
 def legacy_lines(events: DataFrame) -> DataFrame:
     """Labeled points in the legacy form "label,a b"."""
     text = F.concat(_label_of_type(F.col("event_type")).cast("double").cast("string"), F.lit(","),
