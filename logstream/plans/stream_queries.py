@@ -206,8 +206,7 @@ def q_stream_top_urls_newest(spark, sf_dir):
         urls = to_urls(parse_access_log(lines), carry=["ts"])
         counts = sliding_counts(urls.withWatermark("ts", delay), "url", TOP_WINDOW,
                                 TOP_SLIDE, time_col="ts")
-        return newest_window_top_k(counts, "url", 10, f"{run.out}/counts", f"{run.out}/top",
-                                   run.checkpoint)
+        return newest_window_top_k(counts, "url", 10, f"{run.out}/top", run.checkpoint)
 
     _drive(spark, start)
     top = spark.read.parquet(f"{run.out}/top")

@@ -6,7 +6,9 @@ a one-row table ``model_dir/batch=<id>`` in shared storage.  Training batch
 ``b`` always starts from the newest model saved by a batch *before* ``b``, so
 a replayed batch recomputes the same model (idempotent), and a restarted
 query continues from the saved model.  The scoring stream uses the newest
-saved model at the time its batch runs.
+saved model at the time its batch first runs, and writes it to
+``out_dir/_models/batch=<id>`` before it scores: a batch that is run again, after
+whatever training went on meanwhile, scores with the model it had.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.online_ml import (KMeansState, LinRegState, kmeans_score, kmeans_train_batch,
                                    linreg_score, linreg_train_batch)
+from ..session import path_exists
 from .sinks import newest_batch, run_batches
 
 _KINDS = {"linreg": LinRegState, "kmeans": KMeansState}
@@ -65,14 +68,25 @@ def train_stream(train: DataFrame, model_dir: str, checkpoint: str, initial,
     return run_batches(train, step, checkpoint, trigger)
 
 
+def pinned_model(spark: SparkSession, model_dir: str, out_dir: str, batch_id: int, initial):
+    """The model of a scoring batch: the one it is pinned to, else the newest, which it is
+    pinned to from now on."""
+    pins = f"{out_dir}/_models"
+    if path_exists(spark, f"{pins}/batch={batch_id}/_SUCCESS"):
+        return load_model(spark, pins, before=batch_id + 1)
+    state = load_model(spark, model_dir) or initial
+    save_model(spark, pins, batch_id, state)
+    return state
+
+
 def score_stream(test: DataFrame, model_dir: str, out_dir: str, checkpoint: str, initial,
                  features: str = "features", label: str | None = "label",
                  trigger: dict | None = None) -> StreamingQuery:
     """Score every test batch with the newest model (predictOnValues); results
-    go to ``out_dir/batch_id=<id>`` (idempotent)."""
+    go to ``out_dir/batch_id=<id>`` (idempotent: a replayed batch keeps its model)."""
     def step(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        state = load_model(spark, model_dir) or initial
+        state = pinned_model(spark, model_dir, out_dir, batch_id, initial)
         if isinstance(state, LinRegState):
             out = linreg_score(df, state, features).drop(features)
         else:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.windows import (counts_per_interval, sliding_from_slices, status_sums, top_k)
-from .sinks import read_latest, run_batches, upsert_by_key
+from .sinks import newest_batch, read_latest, run_batches, upsert_by_key
 
 
 def _keys(key) -> list[str]:
@@ -51,26 +51,51 @@ def read_status_runs(spark: SparkSession, table_dir: str, window: str, slide: st
                                expand=False)
 
 
-def newest_window_top_k(counts: DataFrame, key: str, k: int, table_dir: str, out_dir: str,
-                        checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """In every micro-batch, the k largest counts of the newest window.
+def newest_window_top_k(counts: DataFrame, key: str, k: int, out_dir: str, checkpoint: str,
+                        changes_dir: str | None = None,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """In every micro-batch, the k largest counts of the newest window, incrementally.
 
-    ``counts``: streaming ``sliding_counts`` (update mode).  A batch brings only the
-    counts that changed; they are kept by (window, key) in ``table_dir``, and the newest
-    window is read from there (a pushed-down filter) and ranked.  Written to
-    ``out_dir/batch_id=<id>``: window_start, key, n, rank.
+    ``counts``: streaming ``sliding_counts`` (update mode).  A batch brings the counts that
+    changed, and counts only grow, so a key that is neither among the last k of its window nor
+    in the batch cannot be among the next k: a batch ranks its own rows of the newest window
+    and the k rows written before it, whatever the history.  Written to
+    ``out_dir/batch_id=<id>``: window_start, key, n, rank.  ``changes_dir`` gets the rows whose
+    rank differs from the batch before: window_start, key, rank and previous_rank (NULL where
+    there is none: entered, or left).
     """
+    columns = ["window_start", key, "n", "rank"]
+
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         rows = df.select(F.col("window.start").alias("window_start"), key, "n")
-        rows.write.mode("overwrite").parquet(f"{table_dir}/log/batch_id={batch_id}")
-        kept = spark.read.parquet(f"{table_dir}/log")
-        newest = kept.agg(F.max("window_start")).first()[0]      # one time
-        if newest is None:
-            return
-        current = read_latest(spark, table_dir, ["window_start", key], ["batch_id"], ["n"]) \
-            .where(F.col("window_start") == F.lit(newest))
-        top_k(current, key, k, per="window_start").write.mode("overwrite").parquet(
-            f"{out_dir}/batch_id={batch_id}")
+        last = newest_batch(spark, out_dir, "batch_id", before=batch_id)
+        held = rows.withColumn("rank", F.lit(None).cast("int")).select(*columns).limit(0) \
+            if last is None else spark.read.parquet(f"{out_dir}/batch_id={last}").select(*columns)
+        rows.persist()
+        try:
+            both = rows.unionByName(held.drop("rank"))
+            newest = both.agg(F.max("window_start")).first()[0]      # one time
+            if newest is None:
+                return
+            now = both.where(F.col("window_start") == F.lit(newest)).groupBy(
+                "window_start", key).agg(F.max("n").alias("n"))
+            top_k(now, key, k, per="window_start").select(*columns).write.mode(
+                "overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            if changes_dir:
+                ranked = spark.read.parquet(f"{out_dir}/batch_id={batch_id}")
+                was = held.select("window_start", F.col(key).alias("_key"),
+                                  F.col("rank").alias("previous_rank"))
+                same = (ranked["window_start"] == was["window_start"]) & F.col(key).eqNullSafe(
+                    F.col("_key"))
+                changed = ranked.join(was, same, "full").where(
+                    ~F.col("rank").eqNullSafe(F.col("previous_rank")))
+                changed.select(
+                    F.coalesce(ranked["window_start"], was["window_start"]).alias("window_start"),
+                    F.when(F.col("rank").isNull(), F.col("_key")).otherwise(F.col(key)).alias(key),
+                    "rank", "previous_rank").write.mode("overwrite").parquet(
+                    f"{changes_dir}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     return run_batches(counts, write, checkpoint, trigger, output_mode="update")
