@@ -7,8 +7,8 @@ of BLOCK_DIMS dimensions, beside the originals.
 
 Search: a query probes the lists whose centroids are nearest.  In a chunk the first column
 block is read for all entries.  After each block a hypothesis test estimates the distance
-from the partial one (after a random rotation, d of D dimensions hold about d/D of it):
-entries for which "this one is among the nearest k" is rejected at EPSILON are abandoned;
+from the partial one (after a random rotation, d of D dimensions hold about d/D of it),
+against a bound that the SEEDS * k nearest by the first block give, scored whole: entries for which "this one is among the nearest k" is rejected at EPSILON are abandoned;
 their other columns are never read.  The threshold, the k-th smallest distance found so far,
 is carried from chunk to chunk inside a task.  Survivors are scored on the original vectors
 in double precision.
@@ -46,7 +46,8 @@ SAMPLE = 16_384          # entries that centroids are fitted on, at most
 MAX_LISTS = 1_024
 PROBE_SHARE, PROBE_LEAST = 0.85, 32
 BLOCK_DIMS = 16
-EPSILON = 1.5            # of the hypothesis test; larger abandons less
+EPSILON = 1.0            # of the hypothesis test; larger abandons less
+SEEDS = 8                # candidates per neighbour that are scored whole for the first bound
 CHUNK = 2_048            # entries
 QUERY_BLOCK = 256        # queries
 SEED = 7
@@ -190,10 +191,12 @@ def scan_chunk(query: np.ndarray, turned: np.ndarray, blocks: list[np.ndarray],
     width = blocks[0].shape[1]
     partial = ((blocks[0] - turned[:width]) ** 2).sum(1) if first is None else first
     read, done = n * width, width
-    if n > k:       # the best of the partial distances give a first bound
-        seeds = np.argpartition(partial, k - 1)[:k]
-        bound = min(bound, float(((original[seeds] - query) ** 2).sum(1).max()))
-        read += k * dims
+    if n > k:       # the k-th best of those nearest so far is close to that of all
+        most = min(n, SEEDS * k)
+        seeds = np.argpartition(partial, most - 1)[:most]
+        whole = ((original[seeds] - query) ** 2).sum(1)
+        bound = min(bound, float(np.partition(whole, k - 1)[k - 1]))
+        read += most * dims
     alive = np.arange(n)
     for block in blocks[1:]:
         factor = (1 + EPSILON / done ** 0.5) ** 2 * done / dims

@@ -39,6 +39,17 @@ def test_recall_and_scores_on_the_table(spark):
     assert answers(op1_ann(spark, SF_ORACLE)).keys() == {i for i in ids.tolist() if i % 100 == 0}
 
 
+def test_recall_where_the_table_has_more_lists_than_are_probed(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids = np.array([r["vec_id"] for r in rows])
+    x = np.array([r["embedding"] for r in rows], float)
+    got = answers(search(df, F.col("__id") % 20 == 0))
+    hits = sum(len({a for a, _ in brute(ids, x, int(np.flatnonzero(ids == q)[0]))}
+                   & {a for a, _ in found}) for q, found in got.items())
+    assert len(got) == sum(i % 20 == 0 for i in ids.tolist()) and hits / (10 * len(got)) >= 0.95
+
+
 def test_recall_when_lists_are_skipped(spark):
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(30, 24))
