@@ -158,6 +158,25 @@ z3 AS (
 )""")
 
 
+def late_rows(pieces: int, delay_s: int) -> str:
+    """Pieces arrive in order; late: before the newest time of earlier ones less the delay."""
+    return f"""
+WITH e AS (SELECT *, coalesce(event_id % {pieces}, 0) AS piece, epoch_us(ts) AS t FROM events),
+n AS (SELECT piece, max(t) AS newest FROM e GROUP BY piece)
+SELECT event_id, event_type,
+       t IS NULL OR coalesce(t < (SELECT max(newest) FROM n WHERE n.piece < e.piece)
+                             - {delay_s * 1000000}, false) AS late
+FROM e"""
+
+
+def arrival_counts(pieces: int, step_s: int) -> str:
+    """Piece k arrives at (k + 1) * step; windows of three steps sliding by one."""
+    return _with(f"""
+SELECT (event_id % {pieces} + 1 - i) * {step_s} AS window_start,
+       (event_id % {pieces} + 1 - i) * {step_s} + {3 * step_s} AS window_end, url_strict AS url, count(*) AS n
+FROM req, (SELECT unnest(range(3)) AS i) r GROUP BY ALL""")
+
+
 def session_progress(gap_s: int) -> str:
     """Every click with its session up to it."""
     return _with("""

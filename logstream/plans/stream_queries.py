@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,6 +35,7 @@ from ..session import new_work_dir
 from ..sources.fixtures import (KMEANS_START_CENTERS, access_log, clustering_lines,
                                 regression_lines, status_json, table)
 from ..sources.lines import read_lines, status_texts
+from ..streaming.arrivals import split_late, stamp_arrivals
 from ..streaming.history import committed_batches, sql_on_states
 from ..streaming.ml import train_and_score
 from ..streaming.ring import open_runs, run_windows, sliding_runs_stream
@@ -45,7 +46,8 @@ from ..streaming.sinks import (await_limit, newest_batch, read_latest, running_t
 from ..streaming.windows import (keep_slice_counts, newest_window_top_k, read_sliding_counts,
                                  read_status_runs)
 from .ml_oracle import CLUSTER_POINTS_CTE, REG_POINTS_CTE, argmin_sql, distances_sql
-from .oracle import BATCH_SQL, open_sessions, session_progress, status_run_states
+from .oracle import (BATCH_SQL, arrival_counts, late_rows, open_sessions, session_progress,
+                     status_run_states)
 from .queries import (ALARM_SLIDE, ALARM_WINDOW, TOP_SLIDE, TOP_WINDOW, URL_SLIDE, URL_WINDOW,
                       epoch_s)
 
@@ -54,6 +56,8 @@ BLOCK_ROWS = 4_000       # ids per landed block
 TEXT_LIMIT = 200         # row limit of stream_text_until_limit
 WATERMARK = 600          # seconds; least delay of a watermark
 HISTORY_SPANS = 4        # spans of time that stream_session_history lands one by one
+PIECES = 4               # pieces (event_id % PIECES) that the arrival queries land
+ARRIVAL_STEP = 10        # seconds between the arrivals of two pieces
 
 
 class _Run:
@@ -109,6 +113,21 @@ def _land(df: DataFrame, key: str, block: tuple[int, int] | None, folder: str) -
     df.where(rows).write.mode("append").parquet(folder)
 
 
+def _landed(spark, run: _Run, df: DataFrame, piece: Column, n: int):
+    """Land the rows with ``piece`` = 0, 1, .. n - 1 one after another (yields after each): one
+    scan sets the pieces apart, then each is copied from its own folder."""
+    staged = f"{run.landing}-staged"
+    df.withColumn("_piece", piece.cast("int")).write.partitionBy("_piece").parquet(staged)
+    kept = spark.read.schema(f"{_ddl(df)}, _piece int").parquet(staged)
+    for k in range(n):
+        kept.where(F.col("_piece") == k).drop("_piece").write.mode("append").parquet(run.landing)
+        yield k
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 def _lines(spark, sf_dir) -> DataFrame:
     return access_log(table_stream(spark, sf_dir, "events"))
 
@@ -309,9 +328,6 @@ def q_stream_session_history(spark, sf_dir):
     t = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = events.agg(F.min(t), F.max(t)).first()              # two numbers
     span = F.floor((t - F.lit(low)) * HISTORY_SPANS / F.lit((high or 0) - (low or 0) + 1))
-    staged = f"{run.landing}-staged"
-    events.where(F.col("ts").isNotNull()).withColumn("span", span.cast("int")) \
-        .write.partitionBy("span").parquet(staged)
     after = {}                                   # span -> the batch that ended it
 
     def start():
@@ -326,9 +342,7 @@ def q_stream_session_history(spark, sf_dir):
                 .option("checkpointLocation", run.checkpoint)
                 .trigger(availableNow=True).start())
 
-    with_span = spark.read.schema(f"{_ddl(events)}, span int").parquet(staged)
-    for k in range(HISTORY_SPANS):
-        with_span.where(F.col("span") == k).drop("span").write.mode("append").parquet(run.landing)
+    for k in _landed(spark, run, events.where(F.col("ts").isNotNull()), span, HISTORY_SPANS):
         _drive(spark, start)
         after[k] = max(committed_batches(spark, run.checkpoint), default=None)
 
@@ -343,8 +357,49 @@ def q_stream_session_history(spark, sf_dir):
         [], "span long, ip string, session_start long, session_length long, clickstream string")
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+def _piece() -> Column:
+    return F.coalesce(F.pmod(F.col("event_id"), F.lit(PIECES)), F.lit(0))
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Pieces that each span the whole time, one batch each: accepted and late rows."""
+    run = _Run(spark, "stream-late")
+    events = table(spark, sf_dir, "events")
+
+    def start():
+        rows = read_lines(spark, "files", run.landing, fmt="parquet", schema=events.schema)
+        return split_late(rows.select("event_id", "ts", "event_type"), "ts",
+                          f"{WATERMARK} seconds", run.out, run.checkpoint)
+
+    for _ in _landed(spark, run, events, _piece(), PIECES):
+        _finish(start())
+    schema = f"{_ddl(events.select('event_id', 'ts', 'event_type'))}, batch_id long"
+
+    def part(name: str, late: bool) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{run.out}/{name}").select(
+            "event_id", "event_type", F.lit(late).alias("late"))
+
+    return part("accepted", False).unionByName(part("late", True))
+
+
+def q_stream_arrival_url_counts(spark, sf_dir):
+    """URL counts over 30 s / 10 s windows of arrival time.  The ingest log stamps each batch
+    once; here its clock shows ARRIVAL_STEP seconds more for every batch."""
+    run = _Run(spark, "stream-arrival")
+    events = table(spark, sf_dir, "events")
+
+    def start():
+        rows = read_lines(spark, "files", run.landing, fmt="parquet", schema=events.schema)
+        urls = to_urls(parse_access_log(access_log(rows)))
+        return stamp_arrivals(urls, run.out, run.checkpoint,
+                              clock=lambda batch: (batch + 1) * ARRIVAL_STEP * 1_000_000)
+
+    for _ in _landed(spark, run, events, _piece(), PIECES):
+        _finish(start())
+    stamped = spark.read.schema("url string, arrival_time timestamp").parquet(f"{run.out}/batch_id=*")
+    counts = sliding_counts(stamped, "url", "30 seconds", "10 seconds", time_col="arrival_time")
+    return counts.select(epoch_s(F.col("window.start")).alias("window_start"),
+                         epoch_s(F.col("window.end")).alias("window_end"), "url", "n")
 
 
 def q_stream_click_progress(spark, sf_dir):
@@ -508,6 +563,8 @@ STREAM_QUERIES = {
     "stream_sliding_incremental": q_stream_sliding_incremental,
     "stream_click_progress": q_stream_click_progress,
     "stream_session_history": q_stream_session_history,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_arrival_url_counts": q_stream_arrival_url_counts,
     "stream_upsert_by_ip": q_stream_upsert_by_ip,
     "stream_upsert_row_counts": q_stream_upsert_row_counts,
     "stream_sql_per_batch": q_stream_sql_per_batch,
@@ -609,6 +666,8 @@ WHERE window_start = (SELECT max(epoch_us(ts)) // 21600000000 * 21600 FROM event
     "stream_sessions": BATCH_SQL["sessions_30m"],
     "stream_sliding_incremental": BATCH_SQL["sliding_url_counts_1s"],
     "stream_click_progress": session_progress(1800),
+    "stream_late_rows": late_rows(PIECES, WATERMARK),
+    "stream_arrival_url_counts": arrival_counts(PIECES, ARRIVAL_STEP),
     "stream_session_history": open_sessions(1800, HISTORY_SPANS, WATERMARK),
     "stream_upsert_by_ip": BATCH_SQL["latest_by_ip"],
     "stream_upsert_row_counts": "SELECT count(*) AS rows, count(*) AS total FROM events",

@@ -1,0 +1,141 @@
+"""Arrival stamps and late rows over restarts and replays; SQL over states; triggers."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from logstream.operators.windows import sliding_counts
+from logstream.session import new_work_dir
+from logstream.streaming.arrivals import arrival_of, split_late, stamp_arrivals
+from logstream.streaming.history import committed_batches, sql_on_states, state_changes
+from logstream.streaming.sessions import session_snapshot, sessionize_stream
+from logstream.streaming.sinks import delete_folder, run_batches, to_console
+
+SCHEMA = "id long, ip string, url string, ts timestamp"
+
+
+@pytest.fixture(autouse=True)
+def few_state_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.fixture()
+def landing(spark):
+    root = new_work_dir(spark, "arrival-test")
+
+    def add(rows):
+        df = spark.createDataFrame(rows, "id long, ip string, url string, s long")
+        df.select("id", "ip", "url", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode(
+            "append").parquet(f"{root}/in")
+    return root, add, lambda: spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
+
+
+def test_a_batch_keeps_its_arrival_time_when_it_runs_again(spark, landing):
+    root, add, stream = landing
+    ticks = iter([1_000_000, 5_000_000, 99_000_000, 120_000_000])
+
+    def run():
+        stamp_arrivals(stream(), f"{root}/out", f"{root}/cp",
+                       clock=lambda batch: next(ticks)).awaitTermination()
+
+    def seen():
+        return sorted((r["id"], r["a"]) for r in spark.read.parquet(f"{root}/out").select(
+            "id", F.unix_micros("arrival_time").alias("a")).collect())
+
+    add([(1, "a", "/x", 10)])
+    run()
+    add([(2, "a", "/x", 20), (3, "b", "/x", None)])
+    run()
+    first = seen()
+    assert first == [(1, 1_000_000), (2, 5_000_000), (3, 5_000_000)]
+    delete_folder(spark, f"{root}/cp/commits")               # nothing counts as committed
+    delete_folder(spark, f"{root}/out/batch_id=1")
+    run()                                                    # the clock is not asked again
+    assert seen() == first and next(ticks) == 99_000_000
+    stamped = spark.read.parquet(f"{root}/out")
+    counts = {(r["s"], r["url"]): r["n"] for r in sliding_counts(
+        stamped, "url", "4 seconds", "4 seconds", time_col="arrival_time").select(
+        F.unix_seconds("window.start").alias("s"), "url", "n").collect()}
+    assert counts == {(0, "/x"): 1, (4, "/x"): 2}
+
+
+def test_arrival_times_never_go_back(spark, landing):
+    root = landing[0]
+    assert arrival_of(spark, f"{root}/o", 0, lambda b: 50) == 50
+    assert arrival_of(spark, f"{root}/o", 1, lambda b: 40) == 50
+    assert arrival_of(spark, f"{root}/o", 1, lambda b: 70) == 50
+    assert abs(arrival_of(spark, f"{root}/o", 2) - time.time() * 1e6) < 60e6
+
+
+def test_every_row_is_accepted_or_late(spark, landing):
+    root, add, stream = landing
+
+    def run():
+        split_late(stream(), "ts", "1 minute", f"{root}/out", f"{root}/cp").awaitTermination()
+
+    def ids(part):
+        return sorted(r["id"] for r in spark.read.parquet(f"{root}/out/{part}").collect())
+
+    add([(1, "a", "/", 100), (2, "a", "/", 500), (3, "a", "/", None)])
+    run()
+    assert ids("accepted") == [1, 2] and ids("late") == [3]      # no earlier batch
+    add([(4, "a", "/", 440), (5, "a", "/", 439), (6, "a", "/", 900)])
+    run()
+    assert ids("accepted") == [1, 2, 4, 6] and ids("late") == [3, 5]
+    delete_folder(spark, f"{root}/cp/commits")
+    run()                                                        # replayed: the same parts
+    assert ids("accepted") == [1, 2, 4, 6] and ids("late") == [3, 5]
+    add([(7, "a", "/", 839), (8, "a", "/", 840)])
+    run()
+    assert ids("accepted") == [1, 2, 4, 6, 8] and ids("late") == [3, 5, 7]
+
+
+def test_sql_over_the_states_of_all_batches_and_their_changes(spark, landing):
+    root, add, stream = landing
+    for rows in ([(1, "a", "/1", 1000), (2, "b", "/1", 1000)], [(3, "a", "/2", 1100)],
+                 [(4, "c", "/3", 9000)]):
+        add(rows)
+        out = sessionize_stream(stream(), key="ip", time_col="ts", tie_col="id",
+                                watermark="1 minute")
+        out.writeStream.format("parquet").option("path", f"{root}/out").option(
+            "checkpointLocation", f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+    batches = committed_batches(spark, f"{root}/cp")
+    assert batches == list(range(len(batches))) and len(batches) >= 3
+    got = sql_on_states(
+        spark, lambda b: session_snapshot(spark, f"{root}/cp", batch_id=b), batches, "sessions",
+        "SELECT batch_id, sum(session_length) AS clicks, count(*) AS open FROM sessions "
+        "GROUP BY batch_id")
+    rows = {r["batch_id"]: (r["clicks"], r["open"]) for r in got.collect()}
+    assert rows[0] == (2, 2) and rows[batches[-1]] == (1, 1)
+    assert (3, 2) in rows.values()
+    assert not spark.catalog.tableExists("sessions")
+    changes = state_changes(spark, f"{root}/cp", 0).collect()
+    assert {r["change_type"] for r in changes} == {"update", "delete"}
+    assert {r["batch_id"] for r in changes} <= set(batches)
+    assert sql_on_states(spark, None, [], "sessions", "SELECT 1") is None
+
+
+def test_console_and_a_processing_time_trigger(spark, landing):
+    root, add, stream = landing
+    add([(1, "a", "/first", 10)])
+    printed = to_console(stream().select("url"), checkpoint=f"{root}/console")
+    printed.awaitTermination()          # the JVM prints; what it took is in the progress
+    assert "Console" in printed.lastProgress["sink"]["description"]
+    assert sum(p["numInputRows"] for p in printed.recentProgress) == 1
+    seen = []
+    query = run_batches(stream(), lambda df, i: seen.extend(r["id"] for r in df.collect()),
+                        f"{root}/cp", trigger={"processingTime": "200 milliseconds"})
+    try:
+        for want in ([1], [1, 2]):
+            if want[-1] == 2:
+                add([(2, "a", "/second", 20)])
+            end = time.time() + 60
+            while seen != want and time.time() < end:
+                time.sleep(0.1)
+            assert seen == want
+    finally:
+        query.stop()
