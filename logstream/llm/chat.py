@@ -10,10 +10,9 @@ the smallest id stays.  What stays is rendered in the ChatML layout:
     <|im_start|>role\ntext<|im_end|>\n            per turn
 
 A conversation is rendered in segments, one row each; joined in order they are the whole
-conversation.  A segment holds SEGMENT_TURNS turn numbers; in a conversation where that is
-more than SEGMENT_TURNS turns anywhere (repeated or NULL turn numbers, as when many logs have
-a NULL conv_id), all segments hold SEGMENT_TURNS places of its order instead.  So no segment
-has more than SEGMENT_TURNS turns, and OP6_SQL, which knows turn numbers only, differs there.
+conversation.  A segment holds SEGMENT_TURNS places of the conversation's order (the last one
+what is left), whatever its turn numbers are, so many logs with a NULL conv_id or repeated turn
+numbers make more segments, not larger ones.
 
 Places are found without gathering a conversation: turns are range-partitioned by (conv_id,
 turn, role, head of the text), and a turn's place is its row in its range plus the rows of
@@ -23,8 +22,7 @@ cuts see HEAD characters of a text; turns alike in all of that share a range.)
 
 DataFrame functions only.  Defined results: turns are ordered by (turn, role, text), NULLs
 first; rows that repeat all four columns are one turn; NULL role and text render as empty
-(but hash apart from empty); NULL conv_id is one conversation of its own, NULL turn is in
-segment 0; an empty table gives no rows; other columns are not read.
+(but hash apart from empty); NULL conv_id is one conversation of its own; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, read_table
 
-SEGMENT_TURNS = 64        # turn numbers, or places, per segment
+SEGMENT_TURNS = 64        # turns per segment
 PIECE = 64                # places per piece of the prefix hashes
 BLOCK = 4_096             # pieces per block
 HEAD = 256                # characters of a text that the cuts of the ranges see
@@ -78,7 +76,6 @@ def maximal(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """Turns of the conversations that no other one extends: conv_id, __segment, turn, role,
     text, and __turns (length of the conversation)."""
     rows = _placed(turns)
-    by_turn = F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(0)).cast("long")
     by_place = F.floor((F.col("__position") - 1) / segment_turns).cast("long")
     piece = F.floor((F.col("__position") - 1) / PIECE)
     salted = materialise(rows.select(
@@ -120,14 +117,9 @@ def maximal(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     stays = unique.join(proper, (F.col("__turns") == F.col("__length"))
                         & (F.col("__wa") == F.col("__pa"))
                         & (F.col("__wb") == F.col("__pb")), "left_anti")
-    full = rows.groupBy("conv_id", by_turn.alias("__s")).count().groupBy("conv_id").agg(
-        (F.max("count") > segment_turns).alias("__full"))
-    stays = stays.join(full.withColumnRenamed("conv_id", "__f"),
-                       F.col("conv_id").eqNullSafe(F.col("__f"))) \
-        .select(F.col("conv_id").alias("__c"), "__turns", "__full")
+    stays = stays.select(F.col("conv_id").alias("__c"), "__turns")
     return rows.join(stays, F.col("conv_id").eqNullSafe(F.col("__c"))).select(
-        "conv_id", F.when(F.col("__full"), by_place).otherwise(by_turn).alias("__segment"),
-        "turn", "role", "text", "__turns")
+        "conv_id", by_place.alias("__segment"), "turn", "role", "text", "__turns")
 
 
 def _named(*names: str):
@@ -167,11 +159,11 @@ u AS (SELECT min(conv_id) AS conv_id, n_turns, hash FROM h WHERE length = n_turn
 m AS (SELECT u.* FROM u WHERE NOT EXISTS (
         SELECT 1 FROM h WHERE h.length = u.n_turns AND h.hash = u.hash AND h.n_turns > h.length)),
 r AS (
-  SELECT t.conv_id, CAST(coalesce(t.turn // {SEGMENT_TURNS}, 0) AS BIGINT) AS segment, m.n_turns,
+  SELECT t.conv_id, CAST((t.length - 1) // {SEGMENT_TURNS} AS BIGINT) AS segment, m.n_turns,
          count(*) AS segment_turns,
          string_agg('{START}' || coalesce(role, '') || chr(10) || coalesce(text, '')
                     || '{END}' || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST,
                     text NULLS FIRST) AS rendered
-  FROM t JOIN m ON t.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY 1, 2, 3)
+  FROM p t JOIN m ON t.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY 1, 2, 3)
 SELECT *, sha256(rendered) AS rendered_sha256 FROM r
 """
