@@ -211,5 +211,7 @@ def op3_toxicity(spark, sf_dir: str) -> DataFrame:
 def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not rejected, all input columns."""
     model = fit(docs, read_table(spark, sf_dir, "labels"))
-    return score(docs, model, out="__toxicity").where(F.col("__toxicity") < 0.5).select(
-        *docs.columns)
+    name = "__toxicity"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, model, out=name).where(F.col(name) < 0.5).select(*docs.columns)
