@@ -40,8 +40,8 @@ _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 LATIN_PATTERN = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+"
                  f"|[{_S}]+(?![^{_S}])|[{_S}]+")
 
-CACHE_PIECES = 700_000     # encoded pieces remembered per worker
-CACHE_PAIRS = 1_000_000    # pair verdicts remembered per worker
+CACHE_PIECES = 1 << 18     # encoded pieces remembered by a task
+CACHE_PAIRS = 1 << 18      # pair verdicts remembered by a task
 LONGEST_CACHED = 48        # characters; longer matches are encoded afresh
 
 _split_any = regex.compile(PATTERN).findall
@@ -100,6 +100,11 @@ class Vocabulary:
             found = memo[tid] = ([] if two is None else self._edge(two[side], side, memo)) + [tid]
         return found
 
+    def forget(self) -> None:
+        self._pairs.clear()
+        self._left.clear()
+        self._right.clear()
+
     def valid_pair(self, a: int, b: int) -> bool:
         """Whether no merge crosses the boundary when the bytes of a, b are encoded.
 
@@ -208,6 +213,11 @@ class Encoder(dict):
             self[piece] = ids
         return ids
 
+    def forget(self) -> None:
+        """Drop what was remembered: workers outlive tasks, and other stages need the memory."""
+        self.clear()
+        self.vocab.forget()
+
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.__getitem__, split_text(text))))
 
@@ -245,6 +255,7 @@ def encode(docs: DataFrame, ranks_path: str, text_col: str = "text", out: str =
                 ids = pa.array([enc.encode(t or "") for t in part.column(at).to_pylist()],
                                pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
+        enc.forget()
 
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return per_batch(docs, run, schema)
@@ -276,6 +287,7 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(shas), pa.array(back)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        enc.forget()
 
     rows = docs.select(F.col("doc_id"), text_or_empty().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
