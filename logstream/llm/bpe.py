@@ -40,8 +40,9 @@ _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 LATIN_PATTERN = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+"
                  f"|[{_S}]+(?![^{_S}])|[{_S}]+")
 
-CACHE_PIECES = 1 << 18     # encoded pieces remembered by a task
-CACHE_PAIRS = 1 << 18      # pair verdicts remembered by a task
+CACHE_PIECES = 700_000     # encoded pieces remembered per worker
+CACHE_PAIRS = 1_000_000    # pair verdicts remembered per worker
+STAGE_PIECES = STAGE_PAIRS = 1 << 18   # by a task of a stage, whose workers other stages reuse
 LONGEST_CACHED = 48        # characters; longer matches are encoded afresh
 
 _split_any = regex.compile(PATTERN).findall
@@ -76,6 +77,7 @@ class Vocabulary:
         self._left: dict[int, list[int]] = {}
         self._right: dict[int, list[int]] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
+        self.most_pairs = CACHE_PAIRS
 
     def halves(self, tid: int) -> tuple[int, int] | None:
         """The two tokens whose merge forms ``tid`` (None: a single byte)."""
@@ -112,7 +114,7 @@ class Vocabulary:
         the tokens beside the boundary are a's right-edge and b's left-edge tokens; a
         merge of the two present crosses it if its turn comes before either grows.
         """
-        if len(self._pairs) >= CACHE_PAIRS:
+        if len(self._pairs) >= self.most_pairs:
             self._pairs.clear()
         verdict = self._pairs[a, b] = self._uncrossed(self._edge(a, 1, self._right),
                                                       self._edge(b, 0, self._left))
@@ -208,11 +210,16 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.piece(piece)
         if len(piece) <= LONGEST_CACHED:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= self.most_pieces:
                 self.clear()
             self[piece] = ids
         return ids
 
+    most_pieces = CACHE_PIECES
+
+    def remember(self, pieces: int, pairs: int) -> None:
+        self.most_pieces, self.vocab.most_pairs = pieces, pairs
+
     def forget(self) -> None:
         """Drop what was remembered: workers outlive tasks, and other stages need the memory."""
         self.clear()
@@ -250,6 +257,7 @@ def encode(docs: DataFrame, ranks_path: str, text_col: str = "text", out: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder_of(ranks)
+        enc.remember(STAGE_PIECES, STAGE_PAIRS)
         for batch in batches:
             for part in _slices(batch, at):
                 ids = pa.array([enc.encode(t or "") for t in part.column(at).to_pylist()],
@@ -276,6 +284,7 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder_of(ranks)
+        enc.remember(CACHE_PIECES, CACHE_PAIRS)
         decimal = {i: str(i) for i in enc.vocab.token}.__getitem__
         for batch in batches:
             n, shas, back = [], [], []
@@ -287,7 +296,6 @@ def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(shas), pa.array(back)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        enc.forget()
 
     rows = docs.select(F.col("doc_id"), text_or_empty().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
