@@ -11,6 +11,7 @@ from logstream.operators import online_ml
 from logstream.plans import stream_queries
 from logstream.plans.registry import all_queries, all_sql
 from logstream.streaming.ml import train_and_score
+from logstream.streaming.sinks import running_totals
 from oracle_harness import compare
 
 EMPTY = ["stream_text_until_limit", "stream_linreg_train_score", "stream_kmeans_train_score"]
@@ -68,6 +69,25 @@ def test_blocks_share_a_query_start(spark, many_blocks, monkeypatch, name):
     assert len(starts) == 3
 
 
+def test_batches_after_the_limit_do_not_follow_the_blocks(spark, many_blocks, monkeypatch):
+    folders = []
+
+    class Run(stream_queries._Run):
+        def __init__(self, *args):
+            super().__init__(*args)
+            folders.append(self.out)
+
+    monkeypatch.setattr(stream_queries, "_Run", Run)
+    got = all_queries()["stream_text_until_limit"](spark, many_blocks)
+    turns = spark.read.parquet(f"{many_blocks}/conversations.parquet")
+    want = turns.select(F.explode(F.split("text", "\n")).alias("value"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    first = turns.groupBy(F.floor(F.col("conv_id") / 32).alias("b")).count().orderBy("b").first()[1]
+    batches = running_totals(spark, folders[0]).orderBy("batch_id").collect()
+    assert batches[0]["rows"] == first                 # a block before the limit
+    assert len(batches) <= 2 + 200 // first            # those up to the limit, then one
+
+
 @pytest.mark.parametrize("window", [1, 7])
 def test_blocks_trained_together_equal_one_after_another(spark, monkeypatch, window):
     monkeypatch.setattr(online_ml, "WINDOW", window)
