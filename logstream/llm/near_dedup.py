@@ -18,15 +18,15 @@
 * Linked nodes form classes (connected components by star contraction on tables).
 
 Classes need every text linked to its class, not every pair compared.  A bucket of up to
-BLOCK nodes goes to one task whole.  A larger one meets leaders in rounds: first one member
-is the leader and those linked to it are the bucket's core; then several members of the
-core lead, and only members outside the core are verified against them (equi-joins on ids;
-hot leaders are split by adaptive execution).  A member that one band leaves outside and
-another one connects with the same core counts as connected.  In a group of near copies few stay outside its class; those are compared with
-all others of the bucket, block by block, and members of one class not with one another.  So
-no link between different classes is lost to the size of a bucket, and a group of near
-copies costs a few times its size.  (A large bucket of texts that are *not* similar, which
-four shared smallest k-mers make rare, costs the square of its size / BLOCK rows.)
+BLOCK nodes goes to one task whole.  Larger ones go in rounds, each of which starts from the
+classes that all links found so far make, of any band: members outside the class of most of
+their bucket meet leaders of that class, in blocks of up to about BLOCK members whose bags meet
+one another too, and once for all buckets that leave them outside the same class.  In a group of
+near copies few stay outside its class; those are compared with all others of the bucket, block
+by block, and members of one class not with one another.  So no link between different classes
+is lost to the size of a bucket, and a group of near copies costs a few times its size.  (Members
+of a large bucket that are *not* similar to most of it, which four shared smallest k-mers make
+rare, cost their number times its size / (4 * BLOCK) rows.)
 
 Texts travel compressed to the tasks that compare them.
 
@@ -198,32 +198,6 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return per_batch(rows, run, f"__id {kind}, __node binary, __sha string, __keys array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (__node, __other) that are linked."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}
-        for batch in batches:
-            linked = []
-            for a, other, b in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(),
-                                   batch.column(3).to_pylist()):
-                if other not in known:
-                    if len(known) > 64:
-                        known.clear()
-                    known[other] = _unpacked(b)
-                ga, gb = _unpacked(a), known[other]
-                linked.append(bag_jaccard(np.sort(ga), np.sort(gb)) >= SIMILARITY
-                              and aligned(ga, gb) >= SIMILARITY)
-            at = pa.array(np.flatnonzero(linked))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)],
-                                             ["__node", "__other"])
-
-    others = texts.withColumnsRenamed({"__n": "__m", "__packed": "__other_packed"})
-    joined = pairs.join(texts, F.col("__node") == F.col("__n")).join(
-        others, F.col("__other") == F.col("__m")).select(
-        "__node", "__other", "__packed", "__other_packed")
-    return per_batch(joined, run, "__node binary, __other binary")
-
-
 def _packed(docs: DataFrame, text_col: str) -> DataFrame:
     """__t (SHA-256 of the text), __packed (the text, compressed) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,59 +266,64 @@ def _alike(bags: list[np.ndarray], ask: list[int]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
-def _large(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside buckets above BLOCK nodes."""
-    members, links = members.withColumn("__core", F.lit(False)), None
+def _large(members: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
+    """``links``, as stars, and the links inside buckets above BLOCK nodes."""
+    here = members.select(F.col("__node").alias("__w")).distinct()
+    texts = materialise(texts.join(here, F.col("__n") == F.col("__w"), "left_semi"),
+                        "near-large-texts")
     for salt, many in enumerate(LEADERS):
-        first = F.row_number().over(W.partitionBy("__bucket").orderBy(
-            F.xxhash64("__node", F.lit(salt)), "__node"))
-        leads = members.where("__core") if salt else members
-        leads = leads.withColumn("__at", first).where(F.col("__at") <= many).select(
-            F.col("__bucket").alias("__b"), F.col("__node").alias("__other"))
-        leads = materialise(leads, "near-leaders")
-        met = members.where("NOT __core").join(leads, F.col("__bucket") == F.col("__b")).where(
-            "__node != __other").select("__bucket", "__node", "__other")
-        met = materialise(met, "near-met")
-        found = materialise(_verified(met.select("__node", "__other").distinct(), texts),
-                            "near-found")
-        links = found if links is None else links.unionByName(found)
-        pairs = found.withColumnsRenamed({"__node": "__n", "__other": "__o"})
-        joins = met.join(pairs, (F.col("__node") == F.col("__n"))
-                         & (F.col("__other") == F.col("__o"))).select("__bucket", "__node")
-        if not salt:        # the first leader is of the core it founds
-            joins = joins.unionByName(leads.select(F.col("__b").alias("__bucket"),
-                                                   F.col("__other").alias("__node")))
-        joins = joins.distinct().withColumnsRenamed({"__bucket": "__jb", "__node": "__jn"})
-        members = materialise(members.join(
-            joins, (F.col("__bucket") == F.col("__jb")) & (F.col("__node") == F.col("__jn")),
-            "left").select("__bucket", "__node", (F.col("__core") | F.col("__jn").isNotNull())
-                           .alias("__core")), "near-core")
-    return links.unionByName(_outside(members, texts))
-
-
-def _labelled(members: DataFrame) -> DataFrame:
-    """__bucket, __node, __label; nodes of one label are connected.  A bucket's core is, so
-    buckets that share a node of both cores are: a bucket takes the least bucket that a node
-    of its core has in common with it, a node the label of its own least one."""
-    core = members.where("__core").select(F.col("__bucket").alias("__b"), F.col("__node").alias("__n"))
-    home = materialise(core.groupBy("__n").agg(F.min("__b").alias("__home")), "near-home")
-    shared = core.join(home, "__n").groupBy("__b").agg(F.min("__home").alias("__least"))
-    names = home.join(shared, F.col("__home") == F.col("__b")).select(
-        "__n", F.concat(F.lit("bucket "), "__least").cast("binary").alias("__name"))
-    return materialise(members.join(names, F.col("__node") == F.col("__n"), "left").select(
-        "__bucket", "__node", F.coalesce("__name", "__node").alias("__label")), "near-labelled")
-
-
-def _outside(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Compare members of large buckets that no link of any band is seen to connect with most
-    of the bucket with all others of it: blocks of the former meet blocks of all members."""
-    labelled = _labelled(members)
-    main = labelled.groupBy("__bucket", "__label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = main.groupBy(F.col("__bucket").alias("__b")).agg(
-        F.max_by("__label", F.struct("n", "__label")).alias("__main"),
-        F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("__outs"),
-        F.ceil(F.sum("n") / (4 * BLOCK)).cast("int").alias("__alls"))
-    sized = labelled.join(sizes.where("__outs > 0"), F.col("__bucket") == F.col("__b"))
+        links, placed = _placed(members, links)
+        outs = placed.where("__label != __main")
+        if outs.isEmpty():
+            return links
+        found = _compared(_met(placed, outs, salt, many), texts, ["__bucket", "__i"])
+        links = links.unionByName(materialise(found, "near-found"))
+    links, placed = _placed(members, links)
+    return links.unionByName(_outside(placed, texts))
+
+
+def _met(placed: DataFrame, outs: DataFrame, salt: int, many: int) -> DataFrame:
+    """Members outside the class of most of a bucket in blocks, each with ``many`` leaders of
+    that class; a member that several buckets leave outside one class meets it in one of them."""
+    outs = outs.groupBy("__node", "__label", "__main").agg(
+        F.min_by("__bucket", F.xxhash64("__bucket", F.lit(salt))).alias("__bucket"))
+    blocks = outs.groupBy(F.col("__bucket").alias("__b")).agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
+    first = F.row_number().over(W.partitionBy("__bucket").orderBy(
+        F.xxhash64("__node", F.lit(salt)), "__node"))
+    leads = placed.where("__label = __main").withColumn("__at", first).where(
+        F.col("__at") <= many)
+    here = F.col("__bucket") == F.col("__b")
+    keep = ["__bucket", "__node", "__label"]
+    return outs.join(blocks, here).select(
+        *keep, F.pmod(F.xxhash64("__node", F.lit(7)), F.col("__blocks")).cast("int").alias("__i"),
+        F.lit(True).alias("__query")).unionByName(leads.join(blocks, here).select(
+            *keep, F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__i"),
+            F.lit(False).alias("__query")))
+
+
+def _placed(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links as stars; and of each member of a bucket the class that they put it in as
+    __label, with that of most members of the bucket as __main."""
+    classes = components(links)
+    labelled = materialise(members.join(classes, F.col("__node") == F.col("__n"), "left").select(
+        "__bucket", "__node", F.coalesce("__class", "__node").alias("__label")), "near-labelled")
+    main = labelled.groupBy("__bucket", "__label").agg(F.count(F.lit(1)).alias("n")).groupBy(
+        F.col("__bucket").alias("__b")).agg(
+        F.max_by("__label", F.struct("n", "__label")).alias("__main"))
+    placed = materialise(labelled.join(main, F.col("__bucket") == F.col("__b")).drop("__b"),
+                         "near-members-placed")
+    return classes.withColumnsRenamed({"__n": "__node", "__class": "__other"}), placed
+
+
+def _outside(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Compare members of large buckets outside the class of most of the bucket with all others
+    of it: blocks of the former meet blocks of all members."""
+    sizes = placed.groupBy(F.col("__bucket").alias("__b")).agg(
+        F.ceil(F.count_if(F.col("__label") != F.col("__main")) / (4 * BLOCK)).cast("int")
+        .alias("__outs"),
+        F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("__alls"))
+    sized = placed.join(sizes.where("__outs > 0"), F.col("__bucket") == F.col("__b"))
     part = lambda n: F.pmod(F.xxhash64("__node", F.lit(7)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keep = ["__bucket", "__node", "__label"]
@@ -464,7 +443,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
     links = materialise(_small(small, texts), "near-links")
     large = members.where(F.col("__size") > BLOCK).drop("__size")
     if not large.isEmpty():
-        links = links.unionByName(_large(large, texts))
+        links = _large(large, texts, links)
     classes = components(links)
 
     placed = rows.join(classes, F.col("__node") == F.col("__n"), "left").select(

@@ -176,3 +176,36 @@ def test_components(spark, shape):
                 todo.append(x)
         if len(seen) > 1:
             assert got.get(start, start) == min(seen)
+
+
+def test_rows_that_a_large_group_sends_to_comparison(spark, documents, monkeypatch):
+    """Loose copies of one text: what is not yet in the class of most of a bucket meets leaders
+    once for all buckets and in blocks, so the rows with texts stay near the members'."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    sent, members = [], []
+
+    def counted(name):
+        plain = getattr(near_dedup, name)
+
+        def run(rows, *others):
+            sent.append(rows.count())
+            return plain(rows, *others)
+        monkeypatch.setattr(near_dedup, name, run)
+
+    for name in ("_compared", "_verified"):           # the latter compared pairs of texts
+        if hasattr(near_dedup, name):
+            counted(name)
+    large = near_dedup._large
+
+    def seen(rows, *others):
+        members.append(rows.count())
+        return large(rows, *others)
+
+    monkeypatch.setattr(near_dedup, "_large", seen)
+    rnd = random.Random(11)
+    base = words(rnd, 150)
+    rows = list(enumerate(" ".join(edited(rnd, base, rnd.randint(1, 9))) for _ in range(160)))
+    got = near_duplicates(documents(rows)).collect()
+    assert {r["__id"]: r["__class_id"] for r in got} == brute(rows)
+    assert members[0] > 500
+    assert sum(sent[1:]) < 3 * members[0], (sent, members)     # the first: small buckets
