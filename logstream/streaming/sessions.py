@@ -10,9 +10,9 @@ emitted and dropped; an event-time timeout at the earliest such point wakes
 idle keys.
 
 Before the shuffle every task cuts its rows into segments per key (a map-side
-combine), so what reaches a key's state function in a micro-batch is at most
-tasks x (batch time span / gap) segments of ``max_clicks`` entries, whatever the
-key's row rate.  Between batches a key holds at most (watermark delay + gap) /
+combine, COMBINE_ROWS rows at a time), so what reaches a key's state function in a micro-batch
+is at most (tasks + rows / COMBINE_ROWS) x (batch time span / gap) segments of ``max_clicks``
+entries, whatever the key's row rate.  Between batches a key holds at most (watermark delay + gap) /
 gap segments; while a batch is folded in, also those of the batch's time span.
 A segment is late as a whole, when its end is before the watermark.
 """
@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -51,55 +52,48 @@ def _merge(segs: list[dict], g: int, max_clicks: int) -> list[dict]:
     return out
 
 
-def _row_segments(t: np.ndarray, tie: np.ndarray, v: np.ndarray, g: int,
-                  max_clicks: int) -> list[dict]:
-    """Cut rows of one key into gap-closed segments."""
-    order = np.lexsort((tie, t))
-    t, tie, v = t[order], tie[order], v[order]
-    bounds = [0, *(np.flatnonzero(np.diff(t) > g) + 1).tolist(), len(t)]
-    segs = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        segs.append({"start": int(t[a]), "end": int(t[b - 1]), "n": b - a,
-                     "firsts": [{"t": int(t[i]), "tie": int(tie[i]), "v": v[i]}
-                                for i in range(a, min(b, a + max_clicks))]})
-    return segs
-
-
 _SEGMENTS = ("_k string, _end timestamp, _s long, _e long, _n long, "
              "_firsts array<struct<t:long,tie:long,v:string>>")
-COMBINE_KEYS = 50_000    # keys a task combines before it passes their segments on
+COMBINE_ROWS = 1 << 18   # rows a task combines before it passes their segments on
+SEND_ROWS = 1 << 14      # segments per Arrow batch
 
 
 def _combine(g: int, max_clicks: int):
-    """Per task: rows to segments per key, merged over the task's Arrow batches."""
-    def emit(held: dict) -> pd.DataFrame:
-        flat = [(k, s) for k, segs in held.items() for s in segs]
-        return pd.DataFrame({
-            "_k": [k for k, _ in flat],
-            "_end": pd.to_datetime([s["end"] for _, s in flat], unit="us"),
-            "_s": [s["start"] for _, s in flat], "_e": [s["end"] for _, s in flat],
-            "_n": [s["n"] for _, s in flat], "_firsts": [s["firsts"] for _, s in flat]})
-
-    def fn(pdfs):
-        held: dict = {}
-        for pdf in pdfs:
-            keys = pdf["_k"].to_numpy(dtype=object)
-            codes, uniques = pd.factorize(keys, use_na_sentinel=False)
-            t = pdf["_t"].to_numpy(dtype="int64")
-            tie = pdf["_tie"].to_numpy(dtype="int64")
-            v = pdf["_v"].to_numpy(dtype=object)
-            by_key = np.argsort(codes, kind="stable")
-            cuts = np.flatnonzero(np.diff(codes[by_key])) + 1
-            for at in np.split(by_key, cuts) if len(by_key) else []:
-                k = uniques[codes[at[0]]]
-                k = k if isinstance(k, str) else None
-                held[k] = _merge(held.get(k, []) + _row_segments(
-                    t[at], tie[at], v[at], g, max_clicks), g, max_clicks)
-            if len(held) >= COMBINE_KEYS:
-                yield emit(held)
-                held = {}
-        if held:
-            yield emit(held)
+    """Per task: rows to segments per key, over COMBINE_ROWS rows or more at a time."""
+    def cut(batches: list) -> pa.Table:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        key = rows["_k"].combine_chunks()
+        codes = key.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        t = rows["_t"].to_numpy()
+        tie = rows["_tie"].fill_null(np.iinfo(np.int64).min).to_numpy()
+        order = np.lexsort((tie, t, codes))
+        k, at = codes[order], t[order]
+        new = (k[1:] != k[:-1]) | (np.diff(at) > g)
+        starts = np.flatnonzero(np.concatenate([[True], new]))
+        counts = np.diff(np.append(starts, len(at)))
+        kept = np.minimum(counts, max_clicks)
+        offsets = np.concatenate([[0], np.cumsum(kept)])
+        firsts = order[np.repeat(starts - offsets[:-1], kept) + np.arange(offsets[-1])]
+        entries = pa.StructArray.from_arrays(
+            [pa.array(t[firsts]), pa.array(tie[firsts]), rows["_v"].combine_chunks().take(
+                pa.array(firsts))], ["t", "tie", "v"])
+        ends = at[starts + counts - 1]
+        return pa.table({
+            "_k": key.take(pa.array(order[starts])),
+            "_end": pa.array(ends).cast(pa.timestamp("us", "UTC")),
+            "_s": pa.array(at[starts]), "_e": pa.array(ends), "_n": pa.array(counts),
+            "_firsts": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)})
+
+    def fn(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= COMBINE_ROWS:
+                yield from cut(held).to_batches(SEND_ROWS)
+                held, n = [], 0
+        if n:
+            yield from cut(held).to_batches(SEND_ROWS)
     return fn
 
 
@@ -147,7 +141,7 @@ def segments(clicks: DataFrame, gap: str | int, max_clicks: int, key: str, time_
             .select(F.col(key).cast("string").alias("_k"),
                     F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"),
                     tie.alias("_tie"), F.col(value_col).cast("string").alias("_v")))
-    return rows.mapInPandas(_combine(gap_micros(gap), max_clicks), _SEGMENTS)
+    return rows.mapInArrow(_combine(gap_micros(gap), max_clicks), _SEGMENTS)
 
 
 def sessionize_stream(clicks: DataFrame, gap: str | int = DEFAULT_GAP,

@@ -136,6 +136,30 @@ def test_hot_key_reaches_state_as_few_segments(spark):
     assert sizes == [2, 2]
 
 
+def test_segments_of_whole_batches(monkeypatch):
+    """Rows of many keys are cut at once, over Arrow batches and in pieces: NULL keys, urls and
+    ties, more clicks than kept, a gap exactly at the limit."""
+    import pyarrow as pa
+    from logstream.streaming import sessions
+    monkeypatch.setattr(sessions, "COMBINE_ROWS", 5)
+    rows = [("a", 0, 1, "/1"), (None, 7, 2, "/2"), ("a", 10, 3, None), ("a", 21, 4, "/4"),
+            ("a", 5, None, "/5"), ("b", 9, 6, "/6"),                       # six rows, a piece
+            ("b", 9, 5, "/7"), ("b", 19, 7, "/8"), ("b", 18, 8, "/9")]
+
+    def batch(part):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*part), (pa.string(), pa.int64(), pa.int64(),
+                                                         pa.string()))],
+            ["_k", "_t", "_tie", "_v"])
+
+    batches = [batch(rows[:3]), batch(rows[3:6]), batch(rows[6:])]
+    out = [r for b in sessions._combine(10, 2)(iter(batches)) for r in b.to_pylist()]
+    got = sorted(((r["_k"] or "", r["_s"], r["_e"], r["_n"], [f["v"] for f in r["_firsts"]])
+                  for r in out))
+    assert got == [("", 7, 7, 1, ["/2"]), ("a", 0, 10, 3, ["/1", "/5"]), ("a", 21, 21, 1, ["/4"]),
+                   ("b", 9, 9, 1, ["/6"]), ("b", 9, 19, 3, ["/7", "/9"])]
+
+
 def test_upsert_keeps_latest_and_rejects_null_keys(spark, workdir):
     landing, staging, ckpt, out = (f"{workdir}/{x}" for x in ("in", "stage", "ckpt", "out"))
     rows = [(1, BASE, "a", "/1"), (2, BASE + dt.timedelta(1), "a", "/2"),
