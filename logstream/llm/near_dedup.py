@@ -18,12 +18,12 @@
 * Linked nodes form classes (connected components by star contraction on tables).
 
 Classes need every text linked to its class, not every pair compared.  A bucket of up to
-BLOCK nodes goes to one task whole.  Larger ones go in rounds, each of which starts from the
-classes that all links found so far make, of any band: members outside the class of most of
-their bucket meet leaders of that class, in blocks of up to about BLOCK members whose bags meet
-one another too, and once for all buckets that leave them outside the same class.  In a group of
-near copies few stay outside its class; those are compared with all others of the bucket, block
-by block, and members of one class not with one another.  So no link between different classes
+BLOCK nodes goes to one task whole.  Larger ones go in blocks of about BLOCK members, each with
+the same few leaders of the bucket; a node meets PICKS of its large buckets so, which all nodes
+choose alike.  The links found, of any band, make classes.  In a group of near copies few stay
+outside the class of most of a bucket; those are compared with all others of the bucket, block by
+block, and members of one class not with one another: once for all buckets with the same main
+class, unless that takes more rows than bucket by bucket.  So no link between different classes
 is lost to the size of a bucket, and a group of near copies costs a few times its size.  (Members
 of a large bucket that are *not* similar to most of it, which four shared smallest k-mers make
 rare, cost their number times its size / (4 * BLOCK) rows.)
@@ -50,7 +50,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import keep_rows, materialise, per_batch, read_table, text_or_empty
@@ -58,7 +57,10 @@ from .common import keep_rows, materialise, per_batch, read_table, text_or_empty
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 20
 BLOCK = 128            # nodes of a bucket that one task compares
-LEADERS = (1, 6, 6)    # leaders that a bucket above BLOCK meets, by round
+LEADERS = 6            # nodes of a bucket above BLOCK that all its blocks meet
+PICKS = 2              # buckets above BLOCK in whose blocks a node is
+TEXTS = 256            # texts of a batch that are Python strings at a time
+FILE_ROWS = 25_000     # rows per file of the tables between steps
 CELLS = 1 << 16        # hashes that a task holds at a time for one text
 RECENT_BYTES = 1 << 24 # of k-mers that a worker keeps between groups
 KNOWN_WORDS = 1 << 16  # hashes of words that a worker remembers
@@ -178,6 +180,12 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     return len(ends) / (len(a) + len(b) - len(ends))
 
 
+def _texts(column: pa.Array) -> Iterator[str]:
+    """Texts of a batch; few are Python strings at a time."""
+    for i in range(0, len(column), TEXTS):
+        yield from column.slice(i, TEXTS).to_pylist()
+
+
 def _sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """__id, __node (digest of the words), __sha (of the text), __keys (bands)."""
     rows = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
@@ -186,7 +194,7 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, keys, shas = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in _texts(batch.column(1)):
                 digest, grams = kmers(text)
                 nodes.append(digest)
                 keys.append(bands(grams).view(np.int64) if len(grams) else [])
@@ -202,10 +210,13 @@ def _packed(docs: DataFrame, text_col: str) -> DataFrame:
     """__t (SHA-256 of the text), __packed (the text, compressed) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [t.encode("utf-8") for t in batch.column(0).to_pylist()]
+            shas, packed = [], []
+            for text in _texts(batch.column(0)):
+                data = text.encode("utf-8")
+                shas.append(hashlib.sha256(data).hexdigest())
+                packed.append(zlib.compress(data, 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string()),
-                 pa.array([zlib.compress(d, 1) for d in data], pa.binary())],
+                [pa.array(shas, pa.string()), pa.array(packed, pa.binary())],
                 ["__t", "__packed"])
 
     return per_batch(docs.select(text_or_empty(text_col).alias("__text")), run,
@@ -253,7 +264,7 @@ def _alike(bags: list[np.ndarray], ask: list[int]) -> list[tuple[int, int]]:
     if len(column):
         column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]]))
         # counts of common k-mers as a product of 0/1 matrices, some columns at a time
-        step = max(1, CELLS * 16 // len(bags))
+        step = min(int(column[-1]) + 1, max(1, CELLS * 16 // len(bags)))
         for low in range(0, int(column[-1]) + 1, step):
             a, b = np.searchsorted(column, [low, low + step])
             holds = np.zeros((len(bags), step), np.float32)
@@ -266,84 +277,89 @@ def _alike(bags: list[np.ndarray], ask: list[int]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
-def _large(members: DataFrame, texts: DataFrame, links: DataFrame) -> DataFrame:
-    """``links``, as stars, and the links inside buckets above BLOCK nodes."""
-    here = members.select(F.col("__node").alias("__w")).distinct()
-    texts = materialise(texts.join(here, F.col("__n") == F.col("__w"), "left_semi"),
-                        "near-large-texts")
-    for salt, many in enumerate(LEADERS):
-        links, placed = _placed(members, links)
-        outs = placed.where("__label != __main")
-        if outs.isEmpty():
-            return links
-        found = _compared(_met(placed, outs, salt, many), texts, ["__bucket", "__i"])
-        links = links.unionByName(materialise(found, "near-found"))
-    links, placed = _placed(members, links)
-    return links.unionByName(_outside(placed, texts))
-
-
-def _met(placed: DataFrame, outs: DataFrame, salt: int, many: int) -> DataFrame:
-    """Members outside the class of most of a bucket in blocks, each with ``many`` leaders of
-    that class; a member that several buckets leave outside one class meets it in one of them."""
-    outs = outs.groupBy("__node", "__label", "__main").agg(
-        F.min_by("__bucket", F.xxhash64("__bucket", F.lit(salt))).alias("__bucket"))
-    blocks = outs.groupBy(F.col("__bucket").alias("__b")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
-    first = F.row_number().over(W.partitionBy("__bucket").orderBy(
-        F.xxhash64("__node", F.lit(salt)), "__node"))
-    leads = placed.where("__label = __main").withColumn("__at", first).where(
-        F.col("__at") <= many)
-    here = F.col("__bucket") == F.col("__b")
-    keep = ["__bucket", "__node", "__label"]
-    return outs.join(blocks, here).select(
-        *keep, F.pmod(F.xxhash64("__node", F.lit(7)), F.col("__blocks")).cast("int").alias("__i"),
-        F.lit(True).alias("__query")).unionByName(leads.join(blocks, here).select(
-            *keep, F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__i"),
-            F.lit(False).alias("__query")))
-
-
-def _placed(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The links as stars; and of each member of a bucket the class that they put it in as
-    __label, with that of most members of the bucket as __main."""
-    classes = components(links)
-    labelled = materialise(members.join(classes, F.col("__node") == F.col("__n"), "left").select(
-        "__bucket", "__node", F.coalesce("__class", "__node").alias("__label")), "near-labelled")
+def _table(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``materialise`` a table of up to about ``rows`` rows in files of FILE_ROWS, but one per
+    core at least: a file per shuffle partition costs more than its few rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return materialise(df.coalesce(max(cores, -(-rows // FILE_ROWS))), name)
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Rows of the first comparison: buckets of up to BLOCK nodes whole, of larger ones blocks of
+    the nodes that pick the bucket, each with its leaders."""
+    large = members.where(F.col("__size") > BLOCK)
+    bucket = F.struct("__bucket", "__size")
+    picks = large.groupBy("__node").agg(F.array_distinct(F.array(*[
+        F.min_by(bucket, F.xxhash64("__bucket", F.lit(salt))) for salt in range(PICKS)])).alias("p"))
+    blocks = F.ceil(F.col("__size") / BLOCK).cast("int")
+    picks = picks.select("__node", F.explode("p").alias("p")).select("p.*", "__node").select(
+        "__bucket", F.pmod(F.xxhash64("__node", F.lit(7)), blocks).cast("int").alias("__i"), "__node")
+    leads = large.groupBy("__bucket", "__size").agg(F.array_distinct(F.array(*[
+        F.min_by("__node", F.xxhash64("__node", F.lit(salt))) for salt in range(LEADERS)])).alias("l"))
+    leads = leads.select("__bucket", "__size", F.explode("l").alias("__node")).select(
+        "__bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("__i"), "__node")
+    whole = members.where(F.col("__size") <= BLOCK).select(
+        "__bucket", F.lit(0).alias("__i"), "__node")
+    return whole.unionByName(picks).unionByName(leads).select(
+        "*", F.col("__node").alias("__label"), F.lit(True).alias("__query"))
+
+
+def _large(members: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Classes after the links between members of large buckets outside the class of most of the
+    bucket and all others of it."""
+    n = members.count()
+    labelled = _table(members.join(classes, F.col("__node") == F.col("__n"), "left").select(
+        "__bucket", "__node", F.coalesce("__class", "__node").alias("__label")),
+        "near-labelled", n)
     main = labelled.groupBy("__bucket", "__label").agg(F.count(F.lit(1)).alias("n")).groupBy(
         F.col("__bucket").alias("__b")).agg(
-        F.max_by("__label", F.struct("n", "__label")).alias("__main"))
-    placed = materialise(labelled.join(main, F.col("__bucket") == F.col("__b")).drop("__b"),
-                         "near-members-placed")
-    return classes.withColumnsRenamed({"__n": "__node", "__class": "__other"}), placed
-
-
-def _outside(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Compare members of large buckets outside the class of most of the bucket with all others
-    of it: blocks of the former meet blocks of all members."""
-    sizes = placed.groupBy(F.col("__bucket").alias("__b")).agg(
-        F.ceil(F.count_if(F.col("__label") != F.col("__main")) / (4 * BLOCK)).cast("int")
-        .alias("__outs"),
-        F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("__alls"))
-    sized = placed.join(sizes.where("__outs > 0"), F.col("__bucket") == F.col("__b"))
-    part = lambda n: F.pmod(F.xxhash64("__node", F.lit(7)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    keep = ["__bucket", "__node", "__label"]
-    left = sized.where("__label != __main").select(
-        *keep, part("__outs").alias("__i"), every("__alls").alias("__j"),
-        F.lit(True).alias("__query"))
-    right = sized.select(*keep, every("__outs").alias("__i"), part("__alls").alias("__j"),
+        F.max_by("__label", F.struct("n", "__label")).alias("__main"),
+        (F.sum("n") - F.max("n")).alias("__out"), F.sum("n").alias("__all"))
+    placed = _table(labelled.join(main.where("__out > 0"), F.col("__bucket") == F.col("__b"))
+                    .drop("__b"), "near-members-placed", n)
+    if placed.isEmpty():
+        return classes
+    found = materialise(_compared(_outside(placed), texts, ["__main", "__bucket", "__i", "__j"]),
+                        "near-found")
+    if found.isEmpty():
+        return classes
+    return components(classes.withColumnsRenamed({"__n": "__node", "__class": "__other"})
+                      .unionByName(found))
+
+
+def _outside(placed: DataFrame) -> DataFrame:
+    """Blocks of members outside the main class of large buckets with blocks of all members, of
+    the buckets with the same main class together where that takes no more rows."""
+    parts = lambda n: F.ceil(F.col(n) / (4 * BLOCK)).cast("int")
+    cost = F.col("__all") * parts("__out") + F.col("__out") * parts("__all")
+    apart = placed.groupBy("__bucket", "__main", "__out", "__all").agg(F.lit(0)).groupBy(
+        F.col("__main").alias("__m")).agg(F.sum(cost).alias("__apart"))
+    joint = placed.select("__main", "__node", "__label").distinct().groupBy("__main").agg(
+        F.count_if(F.col("__label") != F.col("__main")).alias("__out"),
+        F.count(F.lit(1)).alias("__all"))
+    joint = joint.join(apart, F.col("__main") == F.col("__m")).select(
+        "__m", (cost <= F.col("__apart")).alias("__joint"), F.col("__out").alias("__o"),
+        F.col("__all").alias("__a"))
+    pick = lambda a, b: F.when(F.col("__joint"), F.col(a)).otherwise(F.col(b))
+    # a row per main class of buckets above BLOCK; dealt by class, large ones would meet in a task
+    sized = placed.join(F.broadcast(joint), F.col("__main") == F.col("__m")).select(
+        "__main", F.when(~F.col("__joint"), F.col("__bucket")).alias("__bucket"), "__node", "__label",
+        (F.col("__label") != F.col("__main")).alias("__query"),
+        pick("__o", "__out").alias("__out"), pick("__a", "__all").alias("__all")).distinct()
+    part = lambda n: F.pmod(F.xxhash64("__node", F.lit(7)), parts(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), parts(n) - 1))
+    keep = ["__main", "__bucket", "__node", "__label"]
+    left = sized.where("__query").select(*keep, part("__out").alias("__i"),
+                                         every("__all").alias("__j"), "__query")
+    right = sized.select(*keep, every("__out").alias("__i"), part("__all").alias("__j"),
                          F.lit(False).alias("__query"))
-    return _compared(left.unionByName(right), texts, ["__bucket", "__i", "__j"])
-
-
-def _small(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside buckets of up to BLOCK nodes."""
-    return _compared(members.select("__bucket", "__node", F.col("__node").alias("__label"),
-                                    F.lit(True).alias("__query")), texts, ["__bucket"])
+    return left.unionByName(right)
 
 
 def _compared(rows: DataFrame, texts: DataFrame, group: list[str]) -> DataFrame:
-    """Links in each group between a node marked __query and any node of another label;
-    nodes that the links found already connect are not compared."""
+    """Links in each group between a node marked __query and any node of another label, as the
+    labels that they connect and the smallest of these; nodes that the links found already
+    connect are not compared."""
     def compare(table):
         sequences: dict[bytes, np.ndarray] = {}
         labels, asked = {}, set()
@@ -363,14 +379,13 @@ def _compared(rows: DataFrame, texts: DataFrame, group: list[str]) -> DataFrame:
                 x = root[x]
             return x
 
-        found: list[tuple[bytes, bytes]] = []
         ask = [i for i, n in enumerate(nodes) if n in asked]
         for i, j in _alike([sequences[n] for n in nodes], ask):
             a, b = nodes[i], nodes[j]
-            if top(labels[a]) != top(labels[b]) \
-                    and aligned(sequences[a], sequences[b]) >= SIMILARITY:
-                root[top(labels[b])] = top(labels[a])
-                found.append((a, b))
+            low, high = sorted((top(labels[a]), top(labels[b])))
+            if low != high and aligned(sequences[a], sequences[b]) >= SIMILARITY:
+                root[high] = low
+        found = [(label, top(label)) for label in root if root[label] != label]
         return pa.table({"__node": pa.array([f[0] for f in found], pa.binary()),
                          "__other": pa.array([f[1] for f in found], pa.binary())})
 
@@ -385,21 +400,22 @@ def components(links: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps (Kiveris et al., 2014); every step is
     joins and aggregates over a table, until the edges are stars.
     """
-    edges = materialise(links.select(F.greatest("__node", "__other").alias("u"),
-                                     F.least("__node", "__other").alias("v"))
-                        .where("u != v").distinct(), "near-edges")
+    n = links.count()
+    edges = _table(links.select(F.greatest("__node", "__other").alias("u"),
+                                F.least("__node", "__other").alias("v"))
+                   .where("u != v").distinct(), "near-edges", n)
     while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select(
             "k", F.least("k", "m").alias("m"))
         large = both.join(least, F.col("u") == F.col("k")).where(
             "v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialise(large, "near-large")
+        large = _table(large, "near-large", n)
         low = large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
         small = large.join(low, F.col("u") == F.col("k")).select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v")).where("u != v").distinct()
-        edges = materialise(small, "near-edges")
+        edges = _table(small, "near-edges", n)
     return edges.select(F.col("u").alias("__n"), F.col("v").alias("__class"))
 
 
@@ -419,41 +435,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id",
     __kept, __sha (of the text)."""
     rows = materialise(_sketched(docs, id_col, text_col).withColumn(
         "__row", F.monotonically_increasing_id()), "near-rows")
-    nodes = materialise(rows.groupBy("__node").agg(
-        F.min("__sha").alias("__s"), F.first("__keys").alias("__keys")), "near-nodes")
+    n = rows.count()
+    nodes = _table(rows.groupBy("__node").agg(
+        F.min("__sha").alias("__s"), F.first("__keys").alias("__keys")), "near-nodes", n)
     keyed = nodes.select("__node", F.explode("__keys").alias("__bucket"))
     shared = keyed.groupBy(F.col("__bucket").alias("__b")).agg(
         F.count(F.lit(1)).alias("__size"), F.bit_xor(F.xxhash64("__node")).alias("__set"))
     # bands with the same members would do the same work: one of them stays
     shared = shared.where("__size > 1").groupBy("__size", "__set").agg(
         F.min("__b").alias("__b"))
-    shared = materialise(shared, "near-buckets")
-    members = materialise(keyed.join(shared, F.col("__bucket") == F.col("__b")).select(
-        "__bucket", "__node", "__size"), "near-members")
+    shared = _table(shared, "near-buckets", n)
+    members = _table(keyed.join(shared, F.col("__bucket") == F.col("__b")).select(
+        "__bucket", "__node", "__size"), "near-members", n)
 
     wanted = members.select(F.col("__node").alias("__w")).distinct()
-    first = materialise(nodes.join(wanted, F.col("__node") == F.col("__w"), "left_semi").select(
-        F.col("__node").alias("__n"), "__s"), "near-wanted")
+    first = _table(nodes.join(wanted, F.col("__node") == F.col("__w"), "left_semi").select(
+        F.col("__node").alias("__n"), "__s"), "near-wanted", n)
     # merge: both sides grow with the corpus, so the join is the same at every size
     texts = _packed(docs, text_col).join(first.hint("merge"), F.col("__t") == F.col("__s")).select(
         "__n", "__packed").dropDuplicates(["__n"])
-    texts = materialise(texts, "near-texts")
+    texts = _table(texts, "near-texts", n)
 
-    small = members.where(F.col("__size") <= BLOCK)
-    links = materialise(_small(small, texts), "near-links")
+    links = materialise(_compared(_blocks(members), texts, ["__bucket", "__i"]), "near-links")
+    classes = components(links)
     large = members.where(F.col("__size") > BLOCK).drop("__size")
     if not large.isEmpty():
-        links = _large(large, texts, links)
-    classes = components(links)
+        classes = _large(large, texts, classes)
 
     placed = rows.join(classes, F.col("__node") == F.col("__n"), "left").select(
         "__id", "__sha", "__row", F.coalesce("__class", "__node").alias("__class"))
-    placed = materialise(placed, "near-placed")
+    placed = _table(placed, "near-placed", n)
     stays = placed.groupBy(F.col("__class").alias("__c")).agg(
         F.min(F.struct(F.col("__id").isNull(), F.col("__id").alias("id"),
                        F.col("__row").alias("row"))).alias("__first"),
         F.count(F.lit(1)).alias("__class_size"))
-    stays = materialise(stays, "near-stays")
+    stays = _table(stays, "near-stays", n)
     return placed.join(stays, F.col("__class") == F.col("__c")).select(
         "__id", F.col("__first.id").alias("__class_id"), "__class_size",
         (F.col("__row") == F.col("__first.row")).alias("__kept"), "__sha")

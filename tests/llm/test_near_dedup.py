@@ -209,3 +209,22 @@ def test_rows_that_a_large_group_sends_to_comparison(spark, documents, monkeypat
     assert {r["__id"]: r["__class_id"] for r in got} == brute(rows)
     assert members[0] > 500
     assert sum(sent[1:]) < 3 * members[0], (sent, members)     # the first: small buckets
+
+
+def test_a_large_group_takes_few_passes_over_the_graph(spark, documents, monkeypatch):
+    """Large buckets add one search for components to that of the first links, and compare what
+    stays outside once for all buckets of one main class."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    passes, plain = [], near_dedup.components
+
+    def counted(links):
+        passes.append(links.count())
+        return plain(links)
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    rnd = random.Random(12)
+    base = words(rnd, 150)
+    rows = list(enumerate(" ".join(edited(rnd, base, rnd.randint(1, 9))) for _ in range(160)))
+    got = near_duplicates(documents(rows)).collect()
+    assert {r["__id"]: r["__class_id"] for r in got} == brute(rows)
+    assert len(passes) <= 2
