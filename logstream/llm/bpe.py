@@ -42,7 +42,7 @@ LATIN_PATTERN = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]
 
 CACHE_PIECES = 700_000     # encoded pieces remembered per worker
 CACHE_PAIRS = 1_000_000    # pair verdicts remembered per worker
-STAGE_PIECES = STAGE_PAIRS = 1 << 18   # by a task of a stage, whose workers other stages reuse
+STAGE_PIECES = STAGE_PAIRS = 1 << 16   # by a task of a stage, whose workers other stages reuse
 LONGEST_CACHED = 48        # characters; longer matches are encoded afresh
 
 _split_any = regex.compile(PATTERN).findall
@@ -269,7 +269,7 @@ def encode(docs: DataFrame, ranks_path: str, text_col: str = "text", out: str =
     return per_batch(docs, run, schema)
 
 
-def _slices(batch: pa.RecordBatch, at: int, most: int = 16 << 20):
+def _slices(batch: pa.RecordBatch, at: int, most: int = 2 << 20):
     """Parts of a batch that hold about ``most`` bytes of column ``at`` each."""
     rows = max(1, min(batch.num_rows, batch.num_rows * most // max(1, batch.column(at).nbytes)))
     for i in range(0, batch.num_rows, rows):

@@ -1,15 +1,18 @@
 """BPE: equal to the public tokenizer library on random and given texts; appends and edits."""
 
 import hashlib
+import tracemalloc
 
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import SF_SMALL
-from logstream.llm.bpe import PATTERN, Encoder, PrefixTable, bpe_stage, digests, read_ranks
+from logstream.llm.bpe import (PATTERN, STAGE_PAIRS, STAGE_PIECES, Encoder, PrefixTable, _slices,
+                               bpe_stage, digests, read_ranks)
 from logstream.llm.queries import op4_bpe
 
 RANKS = read_ranks(public.path("byte_bpe_50k.tiktoken"))
@@ -84,3 +87,20 @@ def test_nulls_empty_repeated_and_clashing_columns(spark, documents):
     assert {r["doc_id"]: list(r["ids"]) for r in staged.where("doc_id = 3").collect()} == {
         3: LIBRARY.encode_ordinary("a b")}
     assert bpe_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_a_task_of_the_stage_holds_little():
+    enc = Encoder(RANKS)
+    enc.remember(STAGE_PIECES, STAGE_PAIRS)
+    tracemalloc.start()
+    for i in range(0, 150_000, 100):
+        text = " ".join(f"{j:x}".translate(str.maketrans("0123456789", "ghijklmnop"))
+                        for j in range(i * 977, (i + 100) * 977, 977))
+        assert enc.decode(enc.encode(text)) == text.encode()
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 30e6
+    texts = pa.RecordBatch.from_arrays([pa.array(["x" * 100_000] * 100)], ["text"])
+    parts = list(_slices(texts, 0))
+    assert sum(p.num_rows for p in parts) == 100
+    assert max(p.num_rows for p in parts) * 100_000 <= 2 << 20
